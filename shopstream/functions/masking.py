@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from shopstream.functions.numerics import col
+from shopstream.functions.numerics import col, first_match
 
 HIDDEN = "****"
 
@@ -34,10 +34,8 @@ def mask_email(c: Column | str) -> Column:
 def mask_price(c: Column | str) -> Column:
     """The band a price falls in."""
     c = col(c)
-    band = F.when(c.isNull(), F.lit(None).cast("string"))
-    for upper, label in PRICE_BANDS:
-        band = band.when(c < upper, F.lit(label))
-    return band.otherwise(F.lit(PRICE_TOP_BAND))
+    bands = [(c < upper, label) for upper, label in PRICE_BANDS]
+    return first_match([*bands, (c.isNotNull(), PRICE_TOP_BAND)])
 
 
 def digest(c: Column | str) -> Column:

@@ -8,6 +8,9 @@ the end. An overflow (above 9e14 currency units in one group) raises under ANSI.
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+from typing import Any
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -48,6 +51,9 @@ def safe_ratio(num: Column | str, den: Column | str, scale: int = 2, factor: int
     return F.round(value if factor == 1 else value * factor, scale)
 
 
-def sum_if(condition: Column, value: Column | str) -> Column:
-    """Sum over the rows that meet the condition, 0 when there are none."""
-    return F.coalesce(F.sum(F.when(condition, col(value))), F.lit(0))
+def first_match(cases: Iterable[tuple[Column, Any]], default: Any = None) -> Column:
+    """Value of the first condition that holds, else the default."""
+    chain = F
+    for condition, value in cases:
+        chain = chain.when(condition, value)
+    return chain.otherwise(default)

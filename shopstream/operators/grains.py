@@ -18,7 +18,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shopstream.functions.numerics import units
+from shopstream.functions.numerics import first_match, units
 
 ENTITY = "_entity"
 
@@ -67,9 +67,7 @@ def entity_grains(
         for kind, column in entities.items()
     }
     sets = [[*by, column] for column in entities.values()]
-    kind_of = F
-    for kind, gid in ids.items():
-        kind_of = kind_of.when(F.col("_gid") == gid, F.lit(kind))
+    kind_of = first_match((F.col("_gid") == gid, kind) for kind, gid in ids.items())
     return (
         df.groupingSets(sets, *columns)
         .agg(F.grouping_id().cast("bigint").alias("_gid"), F.count("*").alias("n"), *measures)

@@ -12,6 +12,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from shopstream.functions.numerics import first_match
 from shopstream.schema import EVENT_KEY, EVENT_TYPES, PRICE_MAX, PRICE_MIN, REQUIRED
 
 _ALLOWED = ", ".join(f"'{t}'" for t in EVENT_TYPES)
@@ -77,10 +78,7 @@ def quarantine_reason() -> Column:
         (~F.col("event_type").isin(*EVENT_TYPES), "invalid_event_type"),
         ((F.col("product_id") <= 0) | (F.col("user_id") <= 0), "non_positive_id"),
     )
-    reason = F
-    for condition, name in named:
-        reason = reason.when(condition, F.lit(name))
-    return reason.otherwise(F.lit("other"))
+    return first_match(named, "other")
 
 
 def quarantined(
