@@ -31,24 +31,30 @@ def money(total_units: Column | str) -> Column:
     return col(total_units).cast("double") / F.lit(float(MONEY_UNITS))
 
 
+def rounded(value: Column, scale: int = 2) -> Column:
+    """Round half up, deciding ties in decimal.
+
+    A quotient that ends in 5 may lie a hair below it in binary. Digits past the
+    eighth are settled first, so such ties always go up.
+    """
+    return F.round(F.round(value, 8), scale)
+
+
 def ratio(num: Column | str, den: Column | str, scale: int = 2) -> Column:
     """Rounded quotient, 0 where the denominator is not positive."""
     num, den = col(num), col(den)
     value = F.when(den > 0, num.cast("double") / den.cast("double")).otherwise(F.lit(0.0))
-    return F.round(value, scale)
+    return rounded(value, scale)
 
 
 def pct(num: Column | str, den: Column | str, scale: int = 2) -> Column:
     """Rounded percentage, 0 where the denominator is not positive."""
-    num, den = col(num), col(den)
-    value = F.when(den > 0, num.cast("double") / den.cast("double") * 100).otherwise(F.lit(0.0))
-    return F.round(value, scale)
+    return ratio(col(num) * 100, den, scale)
 
 
-def safe_ratio(num: Column | str, den: Column | str, scale: int = 2, factor: int = 1) -> Column:
+def safe_ratio(num: Column | str, den: Column | str, scale: int = 2) -> Column:
     """Rounded quotient, NULL (never an error) where the denominator is 0."""
-    value = F.try_divide(col(num).cast("double"), col(den).cast("double"))
-    return F.round(value if factor == 1 else value * factor, scale)
+    return rounded(F.try_divide(col(num).cast("double"), col(den).cast("double")), scale)
 
 
 def first_match(cases: Iterable[tuple[Column, Any]], default: Any = None) -> Column:

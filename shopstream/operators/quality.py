@@ -12,7 +12,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shopstream.functions.numerics import first_match
+from shopstream.functions.numerics import first_match, pct
 from shopstream.schema import EVENT_KEY, EVENT_TYPES, PRICE_MAX, PRICE_MIN, REQUIRED
 
 _ALLOWED = ", ".join(f"'{t}'" for t in EVENT_TYPES)
@@ -158,8 +158,7 @@ def report(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
         F.count_if(~passes(f"price BETWEEN {PRICE_MIN} AND {PRICE_MAX}")).alias("out_of_range_prices"),
         F.count_if(is_valid()).alias("valid_records"),
     )
-    share = F.try_divide(F.col("valid_records").cast("double"), F.col("total_records").cast("double"))
-    return counted.withColumn("quality_score", F.coalesce(F.round(share * 100, 2), F.lit(0.0)))
+    return counted.withColumn("quality_score", pct("valid_records", "total_records"))
 
 
 def report_dict(df: DataFrame) -> dict:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from shopstream.functions.numerics import money, pct, safe_ratio, units
+from shopstream.functions.numerics import money, pct, rounded, safe_ratio, units
 from shopstream.operators.grains import distinct_if, entity_grains, total, type_sums, typed
 
 CORE = (
@@ -144,7 +144,7 @@ def derive(days: DataFrame, frame: str = "rows") -> DataFrame:
                 "events_per_user": safe_ratio("total_events", users),
                 "events_per_session": safe_ratio("total_events", "unique_sessions"),
                 "revenue_per_user": safe_ratio(revenue, users),
-                "buyer_rate": safe_ratio("unique_buyers", users, factor=100),
+                "buyer_rate": safe_ratio(F.col("unique_buyers") * 100, users),
                 "_units": units(revenue),
             }
         )
@@ -160,11 +160,11 @@ def derive(days: DataFrame, frame: str = "rows") -> DataFrame:
                 "revenue_dod_change": change(rolled_units, F.col("_before")),
                 "users_dod_change": change(users, F.col("_users_before")),
                 "revenue_7d_avg": _rolling_mean(rolled_units, week),
-                "users_7d_avg": F.round(
-                    F.sum(users).over(week).cast("double") / F.count("*").over(week), 2
+                "users_7d_avg": rounded(
+                    F.sum(users).over(week).cast("double") / F.count("*").over(week)
                 ),
                 "conversion_7d_avg": _rolling_mean(F.col("_rate_units"), week),
-                "revenue_30d_total": F.round(money(F.sum(rolled_units).over(month)), 2),
+                "revenue_30d_total": rounded(money(F.sum(rolled_units).over(month))),
                 "is_weekend": F.col("day_of_week").isin(1, 7),
             }
         )
@@ -174,7 +174,7 @@ def derive(days: DataFrame, frame: str = "rows") -> DataFrame:
 
 def _rolling_mean(whole_units, frame):
     mean = money(F.sum(whole_units).over(frame)) / F.count("*").over(frame)
-    return F.round(mean, 2)
+    return rounded(mean)
 
 
 def daily_sales_summary(
@@ -190,7 +190,7 @@ def daily_sales_summary(
         out = days.withColumns(
             {
                 "overall_conversion_rate": pct("total_purchases", "total_views"),
-                "buyer_rate": safe_ratio("unique_buyers", "unique_users", factor=100),
+                "buyer_rate": safe_ratio(F.col("unique_buyers") * 100, "unique_users"),
             }
         ).select(*CORE)
     else:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from shopstream.functions.numerics import MONEY_UNITS, first_match, money, pct, ratio, units
+from shopstream.functions.numerics import MONEY_UNITS, first_match, money, pct, ratio, rounded, units
 from shopstream.operators.grains import distinct_if, entity_grains, of, type_sums, typed
 from shopstream.operators.rank import attach_rank, rank_table
 from shopstream.operators.silver import category_level
@@ -57,7 +57,7 @@ def _offers(silver: DataFrame) -> DataFrame:
     per_product = offers.groupBy("product_id").agg(
         F.min(F.struct("t_min", *described)).alias("first"),
         F.max(F.struct("t_max", "price"))["price"].alias("current_price"),
-        F.round(listed / F.sum("n") / MONEY_UNITS, 2).alias("avg_price"),
+        rounded(listed / F.sum("n") / MONEY_UNITS).alias("avg_price"),
         F.min("price").alias("min_price"),
         F.max("price").alias("max_price"),
         F.sum("n").alias("total_events"),
@@ -123,8 +123,8 @@ def _ranked_by_window(products: DataFrame) -> DataFrame:
     return products.withColumns(
         {
             "revenue_rank_global": F.dense_rank().over(Window.orderBy(down)),
-            "revenue_percentile": F.round(
-                F.percent_rank().over(Window.orderBy("total_revenue")) * 100, 2
+            "revenue_percentile": rounded(
+                F.percent_rank().over(Window.orderBy("total_revenue")) * 100
             ),
             "revenue_rank_in_category": F.dense_rank().over(
                 Window.partitionBy("category_l1").orderBy(down)
@@ -144,7 +144,7 @@ def _ranked(products: DataFrame) -> DataFrame:
     )
     for table, by in zip(tables, ([], ["category_l1"], ["brand"])):
         out = attach_rank(out, table, "_value", by)
-    return out.withColumn("revenue_percentile", F.round(F.col("_share") * 100, 2)).drop(
+    return out.withColumn("revenue_percentile", rounded(F.col("_share") * 100)).drop(
         "_share", "_value"
     )
 
@@ -157,7 +157,7 @@ def rank_products(products: DataFrame, rank: str = "scalable") -> DataFrame:
     return ranked.withColumns(
         {
             "performance_tier": first_match([(share >= p, t) for p, t in TIERS], LOWEST_TIER),
-            "popularity_score": F.round(popularity, 2),
+            "popularity_score": rounded(popularity),
         }
     )
 

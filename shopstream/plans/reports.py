@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shopstream.functions.numerics import money, pct, units
+from shopstream.functions.numerics import money, pct, rounded, units
 from shopstream.operators.silver import UNKNOWN
 
 
@@ -27,10 +27,6 @@ def _mean_count(c: str) -> Column:
     return F.try_divide(F.sum(c).cast("double"), F.count(c).cast("double"))
 
 
-def _r2(c: Column) -> Column:
-    return F.round(c, 2)
-
-
 # silver
 
 def event_type_distribution(events: DataFrame) -> DataFrame:
@@ -124,8 +120,8 @@ def segment_distribution(customers: DataFrame) -> DataFrame:
         customers.groupBy("customer_segment")
         .agg(
             F.count("*").alias("customer_count"),
-            _r2(_mean_amount("total_revenue")).alias("avg_revenue"),
-            _r2(_mean_count("total_purchases")).alias("avg_purchases"),
+            rounded(_mean_amount("total_revenue")).alias("avg_revenue"),
+            rounded(_mean_count("total_purchases")).alias("avg_purchases"),
         )
         .orderBy(F.desc("customer_count"), "customer_segment")
     )
@@ -164,8 +160,8 @@ def _product_groups(products: DataFrame, column: str, n: int, *more: Column) ->
         products.groupBy(column)
         .agg(
             F.count("*").alias("product_count"),
-            _r2(_revenue()).alias("total_revenue"),
-            _r2(_mean_amount("overall_conversion_rate")).alias("avg_conversion_rate"),
+            rounded(_revenue()).alias("total_revenue"),
+            rounded(_mean_amount("overall_conversion_rate")).alias("avg_conversion_rate"),
             *more,
         )
         .orderBy(F.desc("total_revenue"), column)
@@ -185,7 +181,7 @@ def product_summary(products: DataFrame) -> DataFrame:
     return products.agg(
         F.count("*").alias("total_products"),
         _revenue().alias("total_revenue"),
-        _r2(_mean_amount("overall_conversion_rate")).alias("avg_conversion_rate"),
+        rounded(_mean_amount("overall_conversion_rate")).alias("avg_conversion_rate"),
         F.sum("total_purchases").alias("total_purchases"),
     )
 
@@ -214,9 +210,9 @@ def day_of_week(days: DataFrame) -> DataFrame:
         days.groupBy("day_name", "day_of_week")
         .agg(
             F.count("*").alias("num_days"),
-            _r2(_mean_amount("total_revenue")).alias("avg_revenue"),
-            _r2(_mean_count("unique_users")).alias("avg_users"),
-            _r2(_mean_amount("overall_conversion_rate")).alias("avg_conversion_rate"),
+            rounded(_mean_amount("total_revenue")).alias("avg_revenue"),
+            rounded(_mean_count("unique_users")).alias("avg_users"),
+            rounded(_mean_amount("overall_conversion_rate")).alias("avg_conversion_rate"),
         )
         .orderBy("day_of_week")
     )
@@ -226,9 +222,9 @@ def daily_summary(days: DataFrame) -> DataFrame:
     return days.agg(
         F.count("*").alias("total_days"),
         _revenue().alias("total_revenue"),
-        _r2(_mean_amount("total_revenue")).alias("avg_daily_revenue"),
-        _r2(_mean_count("unique_users")).alias("avg_daily_users"),
-        _r2(_mean_amount("overall_conversion_rate")).alias("avg_conversion_rate"),
+        rounded(_mean_amount("total_revenue")).alias("avg_daily_revenue"),
+        rounded(_mean_count("unique_users")).alias("avg_daily_users"),
+        rounded(_mean_amount("overall_conversion_rate")).alias("avg_conversion_rate"),
     )
 
 
@@ -275,9 +271,9 @@ def funnel_by_category(funnel: DataFrame, n: int = 15) -> DataFrame:
             F.sum("sessions_with_view").alias("view_sessions"),
             F.sum("sessions_with_cart").alias("cart_sessions"),
             F.sum("sessions_with_purchase").alias("purchase_sessions"),
-            _r2(_mean_amount("session_view_to_cart_rate")).alias("avg_view_to_cart"),
-            _r2(_mean_amount("session_cart_to_purchase_rate")).alias("avg_cart_to_purchase"),
-            _r2(_mean_amount("cart_abandonment_rate")).alias("avg_cart_abandonment"),
+            rounded(_mean_amount("session_view_to_cart_rate")).alias("avg_view_to_cart"),
+            rounded(_mean_amount("session_cart_to_purchase_rate")).alias("avg_cart_to_purchase"),
+            rounded(_mean_amount("cart_abandonment_rate")).alias("avg_cart_abandonment"),
             _revenue().alias("total_revenue"),
         )
         .orderBy(F.desc("total_revenue"), "category_l1")
@@ -292,7 +288,7 @@ def cart_abandonment(funnel: DataFrame, min_sessions: int = 100, n: int = 10) ->
         .agg(
             F.sum("sessions_with_cart").alias("total_cart_sessions"),
             F.sum("cart_dropoff").alias("total_cart_abandonments"),
-            _r2(_mean_amount("cart_abandonment_rate")).alias("avg_abandonment_rate"),
+            rounded(_mean_amount("cart_abandonment_rate")).alias("avg_abandonment_rate"),
         )
         .filter(F.col("total_cart_sessions") > min_sessions)
         .orderBy(F.desc("avg_abandonment_rate"), "category_l1")
@@ -304,6 +300,6 @@ def funnel_summary(funnel: DataFrame) -> DataFrame:
     return funnel.agg(
         F.sum("sessions_with_view").alias("total_view_sessions"),
         F.sum("sessions_with_purchase").alias("total_purchase_sessions"),
-        _r2(_mean_amount("cart_abandonment_rate")).alias("avg_cart_abandonment"),
+        rounded(_mean_amount("cart_abandonment_rate")).alias("avg_cart_abandonment"),
         _revenue().alias("total_revenue"),
     ).withColumn("overall_conversion", pct("total_purchase_sessions", "total_view_sessions"))

@@ -60,13 +60,24 @@ SILVER_COLUMNS = (
 )
 
 
+_SPARK_TYPES = {
+    "string": T.StringType(),
+    "bigint": T.LongType(),
+    "int": T.IntegerType(),
+    "double": T.DoubleType(),
+    "date": T.DateType(),
+    "timestamp": T.TimestampType(),
+    "boolean": T.BooleanType(),
+}
+
+
 def _struct(columns: Iterable[tuple], overrides: dict[str, str] | None = None) -> T.StructType:
     overrides = overrides or {}
     out = T.StructType()
     for name, kind, *doc in columns:
         out = out.add(
             name,
-            T.DataType.fromDDL(overrides.get(name, kind)),
+            _SPARK_TYPES[overrides.get(name, kind)],
             True,
             {"comment": doc[0]} if doc else None,
         )
@@ -77,8 +88,13 @@ def _struct(columns: Iterable[tuple], overrides: dict[str, str] | None = None) -
 RAW_SCHEMA = _struct(EVENT_COLUMNS, {"event_time": "string"})
 BRONZE_SCHEMA = _struct((*EVENT_COLUMNS, *AUDIT_COLUMNS))
 SILVER_SCHEMA = _struct(SILVER_COLUMNS)
-ACCESS_SCHEMA = T.StructType.fromDDL(
-    "user_name string, customer_segment string, category_l1 string, is_admin boolean"
+ACCESS_SCHEMA = _struct(
+    (
+        ("user_name", "string"),
+        ("customer_segment", "string"),
+        ("category_l1", "string"),
+        ("is_admin", "boolean"),
+    )
 )
 
 
