@@ -18,7 +18,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shopstream.functions.numerics import first_match, units
+from shopstream.functions.numerics import MONEY_UNITS, case_when
 
 ENTITY = "_entity"
 
@@ -37,15 +37,15 @@ def typed(df: DataFrame, keep: Sequence[str], revenue: bool = False) -> DataFram
     With ``revenue`` the purchase amount comes along as whole money units, NULL for
     other types.
     """
-    flags = [(F.col("event_type") == t).cast("bigint").alias(c) for c, t in TYPE_COUNTERS.items()]
+    flags = [f"CAST(event_type = '{t}' AS BIGINT) AS {c}" for c, t in TYPE_COUNTERS.items()]
     extra = []
     if revenue:
-        bought = F.col("event_type") == "purchase"
+        bought = "CASE WHEN event_type = 'purchase' THEN {} END"
         extra = [
-            F.when(bought, units("price")).alias("paid_units"),
-            F.when(bought, F.col("price")).alias("paid"),
+            bought.format(f"CAST(round(price * {MONEY_UNITS}) AS BIGINT)") + " AS paid_units",
+            bought.format("price") + " AS paid",
         ]
-    return df.select(*keep, *flags, *extra)
+    return df.selectExpr(*keep, *flags, *extra)
 
 
 def type_sums() -> list[Column]:
@@ -67,7 +67,7 @@ def entity_grains(
         for kind, column in entities.items()
     }
     sets = [[*by, column] for column in entities.values()]
-    kind_of = first_match((F.col("_gid") == gid, kind) for kind, gid in ids.items())
+    kind_of = case_when((f"_gid = {gid}", kind) for kind, gid in ids.items())
     return (
         df.groupingSets(sets, *columns)
         .agg(F.grouping_id().cast("bigint").alias("_gid"), F.count("*").alias("n"), *measures)
@@ -76,17 +76,17 @@ def entity_grains(
     )
 
 
-def distinct_if(kind: str, column: str, condition: Column | None = None) -> Column:
+def distinct_if(kind: str, column: str, condition: str | None = None) -> Column:
     """Number of distinct non-NULL values of an entity, optionally only some of them."""
-    hit = (F.col(ENTITY) == kind) & F.col(column).isNotNull()
-    return F.count_if(hit if condition is None else hit & condition)
+    more = f" AND {condition}" if condition else ""
+    return F.expr(f"count_if({ENTITY} = '{kind}' AND {column} IS NOT NULL{more})")
 
 
 def total(kind: str, measure: str) -> Column:
     """Sum of a measure over the groups of one entity, that is over all input rows."""
-    return F.coalesce(F.sum(F.when(F.col(ENTITY) == kind, F.col(measure))), F.lit(0).cast("bigint"))
+    return F.expr(f"coalesce(sum(CASE WHEN {ENTITY} = '{kind}' THEN {measure} END), 0L)")
 
 
-def of(kind: str, value: Column | str) -> Column:
-    """A value only where the row belongs to the entity."""
-    return F.when(F.col(ENTITY) == kind, F.col(value) if isinstance(value, str) else value)
+def of(kind: str, value: str) -> Column:
+    """A value (SQL expression) only where the row belongs to the entity."""
+    return F.expr(f"CASE WHEN {ENTITY} = '{kind}' THEN {value} END")

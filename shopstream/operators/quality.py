@@ -53,16 +53,24 @@ def passes(predicate: str) -> Column:
 
 def is_valid(rules: Mapping[str, str] = PIPELINE_EXPECTATIONS, session_format: bool = False) -> Column:
     """All rules at once; optionally the session must look like a UUID too."""
-    good = F.lit(True)
-    for predicate in rules.values():
-        good = good & passes(predicate)
+    good = passes(conjunction(rules))
     if session_format:
         good = good & F.coalesce(F.col("user_session").rlike(SESSION_PATTERN), F.lit(False))
     return good
 
 
+def conjunction(rules: Mapping[str, str]) -> str:
+    """All rules as one SQL predicate."""
+    return " AND ".join(f"({p})" for p in rules.values()) or "true"
+
+
 def filter_valid(df: DataFrame, rules: Mapping[str, str] = PIPELINE_EXPECTATIONS) -> DataFrame:
-    return df.filter(is_valid(rules))
+    """The rows that meet all rules.
+
+    A filter drops a row whose predicate is NULL, so none of the wrapping of ``is_valid`` is
+    needed and comparisons of stored columns reach the Parquet scan.
+    """
+    return df.filter(conjunction(rules))
 
 
 def quarantine_reason() -> Column:
@@ -98,7 +106,7 @@ def quarantined(
 def apply(df: DataFrame, rules: Mapping[str, str], action: str = "drop") -> DataFrame:
     """Enforce rules: ``drop`` bad rows, ``warn`` (keep, listing broken rules) or ``fail`` the job."""
     if action == "drop":
-        return df.filter(is_valid(rules))
+        return filter_valid(df, rules)
     broken = F.array_compact(F.array(*[F.when(~passes(p), F.lit(n)) for n, p in rules.items()]))
     if action == "warn":
         return df.withColumn("failed_expectations", broken)
@@ -189,34 +197,31 @@ def duplicate_rows(
     """Every row but the first of its key, first meaning lowest in ``order``.
 
     Ties in ``order`` are settled by the remaining columns, so only fully equal
-    rows are interchangeable. A key may hold any share of the table: first rows are
-    found by a map-side combined aggregate, the join back may be split by
-    adaptive skew handling, and fully equal rows travel as a count until they are
-    listed in bounded blocks.
+    rows are interchangeable. A key may hold any share of the table: equal rows
+    collapse to a count on the map side, the first rows are found by another combined
+    aggregate, the join of the two may be split by adaptive skew handling, and
+    the rows are listed from their counts in bounded blocks.
     """
     lead = [c for c in order if c in df.columns and c not in keys]
-    rest = [c for c in df.columns if c not in keys and c not in lead]
-    body = [*lead, *rest]
+    body = [*lead, *[c for c in df.columns if c not in keys and c not in lead]]
     key = F.struct(*[F.col(c).alias(f"k{i}") for i, c in enumerate(keys)])
-    row = F.struct(*[F.col(c) for c in body]) if body else F.struct(F.lit(0).alias("_none"))
-    tagged = df.select(key.alias("_key"), row.alias("_row"))
+    row = F.struct(*body) if body else F.struct(F.lit(0).alias("_none"))
+    distinct = (
+        df.select(key.alias("_key"), row.alias("_row")).groupBy("_key", "_row").agg(F.count("*").alias("_n"))
+    )
     firsts = (
-        tagged.groupBy("_key")
-        .agg(F.count("*").alias("_n"), F.min("_row").alias("_first"))
-        .filter("_n > 1")
-        .drop("_n")
+        distinct.groupBy("_key")
+        .agg(F.min("_row").alias("_first"), F.sum("_n").alias("_all"))
+        .filter("_all > 1")
+        .select(F.col("_key").alias("_first_key"), "_first")
     )
-    repeated = tagged.join(firsts, "_key")
-    later = repeated.filter("_row != _first").select("_key", "_row")
-    copies = (
-        repeated.filter("_row = _first")
-        .groupBy("_key", "_row")
-        .agg((F.count("*") - 1).alias("_n"))
+    surplus = (
+        distinct.join(firsts, F.col("_key") == F.col("_first_key"))
+        .select("_key", "_row", F.expr("_n - CAST(_row = _first AS INT)").alias("_n"))
         .filter("_n > 0")
     )
-    listed = _repeat(copies, "_n")
     names = [F.col(f"_key.k{i}").alias(c) for i, c in enumerate(keys)]
-    return later.unionByName(listed).select(*names, *[f"_row.{c}" for c in body]).select(*df.columns)
+    return _repeat(surplus, "_n").select(*names, *[f"_row.{c}" for c in body]).select(*df.columns)
 
 
 def _repeat(df: DataFrame, count: str) -> DataFrame:

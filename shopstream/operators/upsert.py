@@ -76,6 +76,7 @@ def insert_new_table(
         undated = F.col("event_time").isNull()
         known = known.filter(undated if low is None else undated | F.col("event_time").between(low, high))
     tables.append(insert_new(known, batch, keys, order), target, partition_by)
+    tables.drop_path(spark, path)
 
 
 def upsert_table(
@@ -85,9 +86,13 @@ def upsert_table(
     partition_column: str = "event_date",
     order: Sequence[str] = FIRST_SEEN,
     moves: bool = False,
+    keep: str = "source",
 ) -> None:
     """Update or insert into a partitioned table, rewriting touched partitions only.
 
+    For a key on both sides ``keep="source"`` takes the new row, ``keep="first"`` the one
+    lower in ``order``, so that late copies of an event change nothing.
+
     Touched are the partitions of the batch. With the default key a row cannot change its
     partition, as the id covers the event time; for keys that allow it set ``moves`` and
     the partitions now holding those rows are looked up and rewritten too.
@@ -109,7 +114,12 @@ def upsert_table(
     # One value per partition folder: bounded by the calendar, not by the data.
     values = [r[0] for r in touched.distinct().collect()]
     before = current.filter(F.col(partition_column).isin(values))
-    upsert(before, batch, keys, order).write.parquet(merged_path)
+    if keep == "first":
+        both = before.unionByName(batch, allowMissingColumns=True)
+        content = deduplicate(both, keys, order)
+    else:
+        content = upsert(before, batch, keys, order)
+    content.write.parquet(merged_path)
     merged = spark.read.parquet(merged_path)
     tables.replace_partitions(merged, target, [partition_column])
     if moves:
@@ -117,3 +127,5 @@ def upsert_table(
         for value in set(values) - left:
             tables.drop_partition(spark, target, partition_column, str(value))
         spark.catalog.refreshByPath(target)
+    for path in (batch_path, merged_path):
+        tables.drop_path(spark, path)

@@ -7,7 +7,7 @@ import datetime
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shopstream.functions.numerics import first_match, money, pct, ratio, safe_ratio
+from shopstream.functions.numerics import case_when, money, pct, ratio, safe_ratio
 from shopstream.operators.grains import (
     ENTITY,
     distinct_if,
@@ -65,8 +65,8 @@ def _activity(silver: DataFrame) -> DataFrame:
         ],
     )
     day = of("date", "event_date")
-    bought_day = F.when(F.col("purchases") > 0, day)
-    busiest = F.max(of("hour", F.col("n") * _HOURS + (_HOURS - 1 - F.col("event_hour"))))
+    bought_day = of("date", "CASE WHEN purchases > 0 THEN event_date END")
+    busiest = F.max(of("hour", f"n * {_HOURS} + ({_HOURS - 1} - event_hour)"))
     return grains.groupBy("user_id").agg(
         distinct_if("session", "user_session").alias("total_sessions"),
         total("date", "n").alias("total_events"),
@@ -75,8 +75,8 @@ def _activity(silver: DataFrame) -> DataFrame:
         total("date", "removes").alias("total_cart_removes"),
         total("date", "purchases").alias("total_purchases"),
         distinct_if("product", "product_id").alias("unique_products_viewed"),
-        distinct_if("product", "product_id", F.col("carts") > 0).alias("unique_products_carted"),
-        distinct_if("product", "product_id", F.col("purchases") > 0).alias(
+        distinct_if("product", "product_id", "carts > 0").alias("unique_products_carted"),
+        distinct_if("product", "product_id", "purchases > 0").alias(
             "unique_products_purchased"
         ),
         money(total("date", "paid_units")).alias("total_revenue"),
@@ -105,17 +105,17 @@ def _favourites(silver: DataFrame) -> DataFrame:
         [],
     )
 
-    def most_frequent(kind: str, column: str, condition: Column) -> Column:
-        hit = (F.col(ENTITY) == kind) & condition
-        return F.min(F.when(hit, F.struct((-F.col("n")).alias("rank"), F.col(column).alias("value"))))
+    def most_frequent(kind: str, column: str, condition: str) -> Column:
+        hit = f"{ENTITY} = '{kind}' AND {condition}"
+        return F.expr(
+            f"min(CASE WHEN {hit} THEN named_struct('rank', -n, 'value', {column}) END).value"
+        )
 
     return grains.groupBy("user_id").agg(
         distinct_if("category", "category_l1").alias("unique_categories_engaged"),
         distinct_if("brand", "brand").alias("unique_brands_engaged"),
-        most_frequent("category", "category_l1", F.col("category_l1").isNotNull())["value"].alias(
-            "top_category"
-        ),
-        most_frequent("brand", "brand", F.col("brand") != UNKNOWN)["value"].alias("top_brand"),
+        most_frequent("category", "category_l1", "category_l1 IS NOT NULL").alias("top_category"),
+        most_frequent("brand", "brand", f"brand != '{UNKNOWN}'").alias("top_brand"),
     )
 
 
@@ -151,49 +151,42 @@ def as_of_date(silver: DataFrame, as_of: datetime.date | str | Column | None) ->
 
 def derive(customers: DataFrame, today: Column) -> DataFrame:
     """Rates, recency, scores, segment and churn risk from the aggregates."""
-    purchases, carts, views = (F.col(c) for c in ("total_purchases", "total_cart_adds", "total_views"))
-    revenue, sessions = F.col("total_revenue"), F.col("total_sessions")
-    idle = F.col("days_since_last_activity")
-
-    segment = first_match(
+    segment = case_when(
         [
-            *[(purchases >= least, name) for least, name in PURCHASE_SEGMENTS],
-            (carts > 0, "Cart Abandoner"),
-            (views > ENGAGED_VIEWS, "Engaged Browser"),
+            *[(f"total_purchases >= {least}", name) for least, name in PURCHASE_SEGMENTS],
+            ("total_cart_adds > 0", "Cart Abandoner"),
+            (f"total_views > {ENGAGED_VIEWS}", "Engaged Browser"),
         ],
         "Visitor",
     )
-    recency = first_match([(idle <= d, 5 - i) for i, d in enumerate(RECENCY_DAYS)], 1)
-    frequency = first_match([(sessions >= n, 5 - i) for i, n in enumerate(FREQUENCY_SESSIONS)], 1)
-    monetary = first_match(
-        [*[(revenue >= r, 5 - i) for i, r in enumerate(MONETARY_REVENUE)], (revenue > 0, 2)], 1
-    )
-    churn = first_match(
-        [
-            (purchases <= 0, "N/A"),
-            *[(idle > days, risk) for days, risk in CHURN_DAYS],
-        ],
-        "Low",
+    idle = "days_since_last_activity"
+    scores = {
+        "recency_score": [f"{idle} <= {days}" for days in RECENCY_DAYS],
+        "frequency_score": [f"total_sessions >= {n}" for n in FREQUENCY_SESSIONS],
+        "monetary_score": [*[f"total_revenue >= {r}" for r in MONETARY_REVENUE], "total_revenue > 0"],
+    }
+    churn = case_when(
+        [("total_purchases <= 0", "N/A"), *[(f"{idle} > {d}", risk) for d, risk in CHURN_DAYS]], "Low"
     )
     with_dates = customers.withColumns(
         {
-            "view_to_cart_rate": pct(carts, views),
-            "cart_to_purchase_rate": pct(purchases, carts),
-            "overall_conversion_rate": pct(purchases, views),
-            "customer_lifetime_value": revenue,
+            "view_to_cart_rate": pct("total_cart_adds", "total_views"),
+            "cart_to_purchase_rate": pct("total_purchases", "total_cart_adds"),
+            "overall_conversion_rate": pct("total_purchases", "total_views"),
+            "customer_lifetime_value": F.col("total_revenue"),
             "days_since_last_activity": F.datediff(today, "last_activity_date"),
             "days_since_last_purchase": F.datediff(today, "last_purchase_date"),
-            "customer_tenure_days": F.datediff("last_activity_date", "first_activity_date"),
-            "avg_events_per_session": safe_ratio("total_events", sessions),
+            "customer_tenure_days": F.expr("datediff(last_activity_date, first_activity_date)"),
+            "avg_events_per_session": safe_ratio("total_events", "total_sessions"),
             "avg_events_per_day": ratio("total_events", "unique_days_active"),
             "customer_segment": segment,
         }
     )
+    # The first bound that holds gives 5 points, the next 4 and so on; none gives 1.
     scored = with_dates.withColumns(
-        {"recency_score": recency, "frequency_score": frequency, "monetary_score": monetary}
+        {name: case_when(zip(bounds, (5, 4, 3, 2)), 1) for name, bounds in scores.items()}
     )
-    score = F.col("recency_score") + F.col("frequency_score") + F.col("monetary_score")
-    return scored.withColumns({"rfm_score": score, "churn_risk": churn})
+    return scored.withColumns({"rfm_score": F.expr(" + ".join(scores)), "churn_risk": churn})
 
 
 def customer_metrics(

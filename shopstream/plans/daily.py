@@ -39,7 +39,7 @@ def aggregate(silver: DataFrame, approx: float | None = None) -> DataFrame:
             F.max("paid").alias("paid_max"),
         ],
     )
-    sold = F.col("purchases") > 0
+    sold = "purchases > 0"
     days = grains.groupBy("event_date").agg(
         total("brand", "n").alias("total_events"),
         total("brand", "views").alias("total_views"),
@@ -132,19 +132,16 @@ def derive(days: DataFrame, frame: str = "rows") -> DataFrame:
     # Rolling sums stay in whole money units so that they are exact.
     rolled_units = F.col("_units")
 
-    def change(now, before):
-        return pct(now - before, before)
-
     return (
         days.withColumns(
             {
                 "view_to_cart_rate": pct("total_cart_adds", "total_views"),
                 "cart_to_purchase_rate": pct("total_purchases", "total_cart_adds"),
                 "overall_conversion_rate": pct("total_purchases", "total_views"),
-                "events_per_user": safe_ratio("total_events", users),
+                "events_per_user": safe_ratio("total_events", "unique_users"),
                 "events_per_session": safe_ratio("total_events", "unique_sessions"),
-                "revenue_per_user": safe_ratio(revenue, users),
-                "buyer_rate": safe_ratio(F.col("unique_buyers") * 100, users),
+                "revenue_per_user": safe_ratio("total_revenue", "unique_users"),
+                "buyer_rate": safe_ratio("unique_buyers * 100", "unique_users"),
                 "_units": units(revenue),
             }
         )
@@ -157,8 +154,8 @@ def derive(days: DataFrame, frame: str = "rows") -> DataFrame:
         )
         .withColumns(
             {
-                "revenue_dod_change": change(rolled_units, F.col("_before")),
-                "users_dod_change": change(users, F.col("_users_before")),
+                "revenue_dod_change": pct("_units - _before", "_before"),
+                "users_dod_change": pct("unique_users - _users_before", "_users_before"),
                 "revenue_7d_avg": _rolling_mean(rolled_units, week),
                 "users_7d_avg": rounded(
                     F.sum(users).over(week).cast("double") / F.count("*").over(week)
@@ -190,7 +187,7 @@ def daily_sales_summary(
         out = days.withColumns(
             {
                 "overall_conversion_rate": pct("total_purchases", "total_views"),
-                "buyer_rate": safe_ratio(F.col("unique_buyers") * 100, "unique_users"),
+                "buyer_rate": safe_ratio("unique_buyers * 100", "unique_users"),
             }
         ).select(*CORE)
     else:

@@ -59,7 +59,7 @@ def aggregate(
         [*type_sums(), F.sum("paid_units").alias("paid_units")],
     )
     distincts = [
-        distinct_if(kind, column, None if reached is None else F.col(reached) > 0).alias(name)
+        distinct_if(kind, column, reached and f"{reached} > 0").alias(name)
         for kind, column, *stage_names in STAGES
         for reached, name in zip(_REACHED, stage_names)
         if name
@@ -111,8 +111,8 @@ def derive(stages: DataFrame) -> DataFrame:
     kept as they are.
     """
     dropped = {
-        "view_dropoff": F.col("sessions_with_view") - F.col("sessions_with_cart"),
-        "cart_dropoff": F.col("sessions_with_cart") - F.col("sessions_with_purchase"),
+        "view_dropoff": F.expr("sessions_with_view - sessions_with_cart"),
+        "cart_dropoff": F.expr("sessions_with_cart - sessions_with_purchase"),
     }
     rates = {}
     for kind, seen, carted, bought in (
@@ -127,7 +127,7 @@ def derive(stages: DataFrame) -> DataFrame:
     after = {
         "view_dropoff_rate": pct("view_dropoff", "sessions_with_view"),
         "cart_abandonment_rate": pct("cart_dropoff", "sessions_with_cart"),
-        "net_cart_adds": F.col("total_cart_adds") - F.col("total_cart_removes"),
+        "net_cart_adds": F.expr("total_cart_adds - total_cart_removes"),
         "revenue_per_purchasing_session": ratio("total_revenue", "sessions_with_purchase"),
         "revenue_per_total_session": ratio("total_revenue", "total_sessions"),
         "product_view_to_cart_rate": pct("unique_products_carted", "unique_products_viewed"),
@@ -164,12 +164,12 @@ def _sessions_only(silver: DataFrame) -> DataFrame:
     known = F.col("user_session").isNotNull()
     stages = per_session.groupBy(*GRAIN).agg(
         F.count_if(known).alias("total_sessions"),
-        F.count_if(known & (F.col("views") > 0)).alias("sessions_with_view"),
-        F.count_if(known & (F.col("carts") > 0)).alias("sessions_with_cart"),
-        F.count_if(known & (F.col("purchases") > 0)).alias("sessions_with_purchase"),
+        F.count_if(known & F.expr("views > 0")).alias("sessions_with_view"),
+        F.count_if(known & F.expr("carts > 0")).alias("sessions_with_cart"),
+        F.count_if(known & F.expr("purchases > 0")).alias("sessions_with_purchase"),
         money(F.coalesce(F.sum("paid_units"), F.lit(0).cast("bigint"))).alias("total_revenue"),
     )
-    gap = F.col("sessions_with_cart") - F.col("sessions_with_purchase")
+    gap = "sessions_with_cart - sessions_with_purchase"
     return stages.withColumns(
         {
             "session_view_to_cart_rate": pct("sessions_with_cart", "sessions_with_view"),

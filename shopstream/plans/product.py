@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from shopstream.functions.numerics import MONEY_UNITS, first_match, money, pct, ratio, rounded, units
+from shopstream.functions.numerics import MONEY_UNITS, case_when, money, pct, ratio, rounded, units
 from shopstream.operators.grains import distinct_if, entity_grains, of, type_sums, typed
 from shopstream.operators.rank import attach_rank, rank_table
 from shopstream.operators.silver import category_level
@@ -82,9 +82,9 @@ def _audience(silver: DataFrame) -> DataFrame:
     day = of("date", "event_date")
     return grains.groupBy("product_id").agg(
         distinct_if("user", "user_id").alias("unique_users_total"),
-        distinct_if("user", "user_id", F.col("views") > 0).alias("unique_users_viewed"),
-        distinct_if("user", "user_id", F.col("carts") > 0).alias("unique_users_carted"),
-        distinct_if("user", "user_id", F.col("purchases") > 0).alias("unique_users_purchased"),
+        distinct_if("user", "user_id", "views > 0").alias("unique_users_viewed"),
+        distinct_if("user", "user_id", "carts > 0").alias("unique_users_carted"),
+        distinct_if("user", "user_id", "purchases > 0").alias("unique_users_purchased"),
         distinct_if("session", "user_session").alias("unique_sessions"),
         F.min(day).alias("first_seen_date"),
         F.max(day).alias("last_seen_date"),
@@ -107,7 +107,7 @@ def derive(products: DataFrame) -> DataFrame:
             "cart_to_purchase_rate": pct("total_purchases", "total_cart_adds"),
             "overall_conversion_rate": pct("total_purchases", "total_views"),
             "cart_abandonment_rate": pct(
-                F.col("total_cart_adds") - F.col("total_purchases"), "total_cart_adds"
+                "total_cart_adds - total_purchases", "total_cart_adds"
             ),
             "revenue_per_view": ratio("total_revenue", "total_views", 4),
             "views_per_session": ratio("total_views", "unique_sessions"),
@@ -152,11 +152,11 @@ def _ranked(products: DataFrame) -> DataFrame:
 def rank_products(products: DataFrame, rank: str = "scalable") -> DataFrame:
     """Add ranks, percentile, tier and popularity to derived product rows."""
     ranked = {"scalable": _ranked, "window": _ranked_by_window}[rank](products)
-    share = F.col("revenue_percentile")
-    popularity = sum((F.col(c) * w for c, w in POPULARITY_WEIGHTS.items()), F.lit(0.0))
+    share = "revenue_percentile"
+    popularity = F.expr(" + ".join(f"{c} * {w}D" for c, w in POPULARITY_WEIGHTS.items()))
     return ranked.withColumns(
         {
-            "performance_tier": first_match([(share >= p, t) for p, t in TIERS], LOWEST_TIER),
+            "performance_tier": case_when([(f"{share} >= {p}", t) for p, t in TIERS], LOWEST_TIER),
             "popularity_score": rounded(popularity),
         }
     )

@@ -14,7 +14,13 @@ SESSION_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+    # Do not group in place by a subset of the keys, e.g. by the product of an earlier join:
+    # one hot product would then hold up a task that the full key would have spread.
+    "spark.sql.requireAllClusterKeysForDistribution": "true",
 }
+# Recording the Python line of every Column call doubles the time the driver needs to
+# describe a wide table; the plan is the same without.
+BUILD_CONF = {"spark.python.sql.dataFrameDebugging.enabled": "false"}
 
 
 def get_spark(
@@ -34,7 +40,7 @@ def get_spark(
         builder = builder.master(master)
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
-    for key, value in {**SESSION_CONF, **conf}.items():
+    for key, value in {**SESSION_CONF, **BUILD_CONF, **conf}.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     return configure(spark)

@@ -111,6 +111,12 @@ def replace_partitions(df: DataFrame, target: str, partition_by: Sequence[str])
     df.sparkSession.catalog.refreshByPath(target)
 
 
+def drop_path(spark: SparkSession, path: str) -> None:
+    """Remove an intermediate table."""
+    fs, jpath = _fs(spark, path)
+    fs.delete(jpath, True)
+
+
 def drop_partition(spark: SparkSession, target: str, column: str, value: str) -> bool:
     """Remove one partition folder; true if there was one."""
     fs, jpath = _fs(spark, f"{target.rstrip('/')}/{column}={value}")

@@ -264,8 +264,8 @@ def test_a_hot_user_is_spread_over_tasks(spark):
 def test_rates(spark):
     df = spark.createDataFrame([(0, 1), (1, 3), (1, 160), (-1, 160)], "d int, n int")
     assert [r[0] for r in df.select(pct("n", "d")).collect()] == [0.0, 300.0, 16000.0, 0.0]
-    assert spark.range(1).select(pct(F.lit(1), F.lit(160))).first()[0] == 0.63
-    assert spark.range(1).select(safe_ratio(F.lit(1), F.lit(0))).first()[0] is None
+    assert spark.range(1).select(pct("1", "160")).first()[0] == 0.63
+    assert spark.range(1).select(safe_ratio("1", "0")).first()[0] is None
 
 
 def test_ties_are_decided_in_decimal(spark):

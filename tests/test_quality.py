@@ -119,6 +119,14 @@ def test_report_is_one_pass(dirty):
     assert q.report(dirty)._jdf.queryExecution().executedPlan().toString().count("Exchange") == 1
 
 
+def test_valid_filter_reaches_the_scan(spark, dirty, tmp_path):
+    path = str(tmp_path / "t")
+    dirty.write.parquet(path)
+    plan = q.filter_valid(spark.read.parquet(path))._jdf.queryExecution().executedPlan().toString()
+    pushed = plan.split("PushedFilters: [")[1].split("], ReadSchema")[0]
+    assert "In(event_" in pushed and "IsNotNull(price)" in pushed
+
+
 def test_session_format(spark):
     df = spark.createDataFrame(
         [("0c1a2b3d-0c1a-2b3d-4e5f-0c1a2b3d4e5f",), ("session-001",), (None,)], "user_session string"

@@ -114,6 +114,15 @@ def test_batch_run_is_idempotent(spark, dirty, tmp_path):
     pipeline.run_batch(spark, csv, root, as_of="2019-10-05")
     assert state() == first
 
+    # A second file: one late copy in other spelling, one new event of the same day.
+    late = dirty.filter("product_id = 1005").withColumn("event_type", F.lit("View"))
+    new = dirty.filter("product_id = 1004").withColumn("user_id", F.lit(9))
+    write_events_csv(late.unionByName(new), str(tmp_path / "more"))
+    pipeline.run_batch(spark, str(tmp_path / "more"), root, as_of="2019-10-05")
+    after = state()
+    assert (len(after["events_raw"]), len(after["events_cleaned"])) == (11, 8)
+    assert set(first["events_cleaned"]) < set(after["events_cleaned"])
+
 
 # session
 
