@@ -633,6 +633,7 @@ STATEMENTS = {
     "stream_quarantine": f"""SELECT {RAW}, {REASON} AS quarantine_reason FROM csv_bronze
       WHERE {REJECTED}""",
     "stream_upsert": f"SELECT {SILVER} FROM csv_silver",
+    "batch_load": funnel_derived(f"({funnel_agg('csv_silver')})").strip(),
     "processed_files": "SELECT true AS all_processed",
     "profile_csv": "SELECT count(*) AS row_count, "
     + ", ".join(f"count(*) - count({c}) AS null_{c}" for c in RAW.split(", "))
