@@ -8,26 +8,40 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from shopstream.session import scratch_path
 from shopstream.sources import tables
 
 ADVISORY = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
 
 
 def compact(
-    spark: SparkSession, path: str, partition_by: Sequence[str] = (), file_bytes: int = 256 << 20
+    spark: SparkSession,
+    path: str,
+    partition_by: Sequence[str] = (),
+    file_bytes: int = 256 << 20,
+    only: Sequence[object] | None = None,
 ) -> tuple[int, int]:
     """Merge small files; returns the number of files before and after.
 
     Files are sized by adaptive rebalancing to about ``file_bytes``, so large partitions get
-    several files and hot ones are not written by a single task.
+    several files and hot ones are not written by a single task. On a large table name
+    the values of the first partition column to rewrite in ``only``, say the days
+    loaded since the last time; other partitions are neither read nor written.
     """
     before = tables.data_files(spark, path)
     saved = spark.conf.get(ADVISORY)
     spark.conf.set(ADVISORY, str(file_bytes))
     try:
         df = tables.read_table(spark, path)
-        df = df if partition_by else df.hint("rebalance")
-        tables.write_full(df, path, partition_by)
+        if only is not None:
+            # Complete in the shared folder before any old file goes.
+            staged = scratch_path(spark, "compact")
+            df.filter(F.col(partition_by[0]).isin(list(only))).write.parquet(staged)
+            tables.replace_partitions(spark.read.parquet(staged), path, partition_by)
+            tables.drop_path(spark, staged)
+        else:
+            df = df if partition_by else df.hint("rebalance")
+            tables.write_full(df, path, partition_by)
     finally:
         spark.conf.set(ADVISORY, saved)
     return before, tables.data_files(spark, path)

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import datetime
 from collections.abc import Callable, Mapping, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -110,8 +110,11 @@ def run_batch(
         fresh = bronze if seen is None else bronze.filter(F.col("ingestion_timestamp") >= F.lit(seen))
     upsert_table(to_silver(fresh), at["events_cleaned"], keep="first")
     silver = tables.read_table(spark, at["events_cleaned"])
-    made = build({"events_raw": bronze, "events_cleaned": silver})
-    made["customer_metrics"] = customer_metrics(silver, as_of=as_of, audit=True)
+    dated = replace(
+        TABLES["customer_metrics"], make=lambda s: customer_metrics(s, as_of=as_of, audit=True)
+    )
+    given = {"events_raw": bronze, "events_cleaned": silver}
     for name in ("events_quarantine", *GOLD):
+        made = build(given, [name], {**TABLES, "customer_metrics": dated})
         tables.write_full(made[name], at[name], TABLES[name].partition_by)
     return at

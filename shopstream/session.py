@@ -60,9 +60,11 @@ def shared_dir(spark: SparkSession) -> str:
     driver and executors share a disk, may fall back to a temporary folder.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
+    current = spark.sparkContext.getCheckpointDir()
     if configured:
+        if not current:
+            spark.sparkContext.setCheckpointDir(configured)
         return configured.rstrip("/")
-    current = spark.sparkContext.getCheckpointDir()
     if current:
         return current.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):

@@ -3,11 +3,14 @@ from __future__ import annotations
 from datetime import date, datetime
 
 import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from shopstream.functions.numerics import first_match, pct, rounded, safe_ratio, units
 from shopstream.plans import customer, daily, funnel, product, reports
 from shopstream.plans.quality_metrics import quality_metrics
+from shopstream.schema import EVENT_TYPES
 from tests.conftest import LOADED, by_key, make_silver, rows_of
 
 AS_OF = "2019-10-05"
@@ -194,6 +197,38 @@ def test_strategies_agree(shop, strategy):
     assert rows_of(funnel.aggregate(shop, strategy=strategy)) == rows_of(funnel.aggregate(shop))
 
 
+@settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(
+    st.lists(
+        st.tuples(
+            st.sampled_from(["2019-10-01 10:00:00", "2019-10-02 11:00:00"]),
+            st.sampled_from(EVENT_TYPES),
+            st.integers(1, 3),
+            st.sampled_from(["a.x", "b.y", "unknown"]),
+            st.sampled_from(["p", "unknown"]),
+            st.sampled_from([0.0, 0.1, 19.99]),
+            st.integers(1, 3),
+            st.sampled_from([None, "", "s1", "s2"]),
+        ),
+        min_size=1,
+        max_size=30,
+    )
+)
+def test_grains_equal_literal_distinct_counts(spark, rows):
+    df = make_silver(spark, rows)
+    assert rows_of(funnel.aggregate(df)) == rows_of(funnel.aggregate(df, strategy="expand"))
+    literal = df.groupBy("user_id").agg(
+        F.count_distinct("user_session").alias("total_sessions"),
+        F.count_distinct(F.expr("CASE WHEN event_type = 'cart' THEN product_id END")).alias(
+            "unique_products_carted"
+        ),
+        F.count_distinct("brand").alias("unique_brands_engaged"),
+        F.expr("mode(event_hour, true)").alias("most_active_hour"),
+        F.expr("mode(category_l1, true)").alias("top_category"),
+    )
+    assert rows_of(customer.aggregate(df).select(*literal.columns)) == rows_of(literal)
+
+
 def test_unknown_strategy(silver):
     with pytest.raises(ValueError):
         funnel.aggregate(silver, strategy="guess")

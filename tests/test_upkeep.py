@@ -32,6 +32,16 @@ def test_compaction_of_partitions(spark, shop, tmp_path):
     assert tables.read_table(spark, path).count() == 3 * shop.count()
 
 
+def test_compaction_of_one_partition(spark, shop, tmp_path):
+    path = str(tmp_path / "t")
+    for _ in range(3):
+        tables.append(shop, path, ["event_type"])
+    carts = {f.name for f in (tmp_path / "t" / "event_type=cart").iterdir()}
+    before, after = mt.compact(spark, path, ["event_type"], only=["view"])
+    assert after < before and {f.name for f in (tmp_path / "t" / "event_type=cart").iterdir()} == carts
+    assert tables.read_table(spark, path).count() == 3 * shop.count()
+
+
 @pytest.mark.parametrize("curve", ["linear", "morton"])
 def test_clustering_narrows_the_files(spark, shop, curve):
     wide = shop.select("user_id", "product_id").repartition(8)

@@ -495,10 +495,8 @@ def processed_files(spark, d):
 
 
 def batch_load(spark, d):
-    """Files to gold through every table, loaded twice; the funnel read back at the end."""
-    root = scratch_path(spark, "lake")
-    for _ in range(2):
-        at = run_batch(spark, csv_folder(spark, d), root, AS_OF)
+    """Files to gold through every table; the funnel read back at the end."""
+    at = run_batch(spark, csv_folder(spark, d), scratch_path(spark, "lake"), AS_OF)
     return plain(tables.read_table(spark, at["conversion_funnel"]))
 
 
