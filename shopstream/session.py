@@ -17,6 +17,12 @@ SESSION_CONF = {
     # Do not group in place by a subset of the keys, e.g. by the product of an earlier join:
     # one hot product would then hold up a task that the full key would have spread.
     "spark.sql.requireAllClusterKeysForDistribution": "true",
+    # A day of event ids outgrows executor memory; this store keeps them on local disk and
+    # saves the changes of each micro-batch to the checkpoint.
+    "spark.sql.streaming.stateStore.providerClass": (
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+    ),
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
 }
 # Recording the Python line of every Column call doubles the time the driver needs to
 # describe a wide table; the plan is the same without.
