@@ -10,6 +10,8 @@ from tests.conftest import TESTDATA
 
 from __spark_entry__ import entry, oracle_sql, queries
 from compare import connect, difference
+from workload.oracle import ORACLE
+from workload.queries import QUERIES
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(TESTDATA), reason="no test tables")
 
@@ -19,11 +21,11 @@ def duck():
     return connect(TESTDATA)
 
 
-def test_every_query_has_its_sql():
-    assert set(queries()) == set(oracle_sql())
+def test_every_query_of_the_library_has_its_sql():
+    assert set(QUERIES) == set(ORACLE) <= set(oracle_sql()) <= set(queries())
 
 
-@pytest.mark.parametrize("name", list(queries()))
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_query_matches_sql(spark, duck, name):
     assert difference(spark, duck, TESTDATA, name) is None
 
