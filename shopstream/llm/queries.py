@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shopstream.llm import bpe_codec, token_count
+from shopstream.llm import bpe_codec, secrets, token_count
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -30,7 +30,21 @@ def op5_token_count(spark, d):
     return token_count.token_counts(table(spark, d, "documents"), tokenizer, limit=512)
 
 
+def op6_secrets(spark, d):
+    found = secrets.scan(table(spark, d, "documents"))
+    count = lambda kind: F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long")
+    return found.select(
+        "doc_id",
+        count("assign").alias("n_assign"),
+        count("access").alias("n_access"),
+        count("hex").alias("n_hex"),
+        F.sha2(secrets.listed("spans", secrets.BASE).cast("binary"), 256).alias("base_sha256"),
+        secrets.listed("spans", secrets.KINDS).alias("spans"),
+    )
+
+
 QUERIES = {
     "op2_bpe_codec": op2_bpe_codec,
     "op5_token_count": op5_token_count,
+    "op6_secrets": op6_secrets,
 }
