@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
 # Bytes of text handled at once inside a task; bounds the memory of vectorised work.
@@ -42,10 +43,10 @@ def blocks(batch: pa.RecordBatch, block_bytes: int) -> Iterator[pa.RecordBatch]:
     sizes = [0] * rows
     for column in batch.columns:
         if pa.types.is_string(column.type) or pa.types.is_binary(column.type):
-            for i, n in enumerate(pa.compute.binary_length(column).to_pylist()):
+            for i, n in enumerate(pc.binary_length(column).to_pylist()):
                 sizes[i] += n or 0
         elif pa.types.is_list(column.type):
-            for i, n in enumerate(pa.compute.list_value_length(column).to_pylist()):
+            for i, n in enumerate(pc.list_value_length(column).to_pylist()):
                 sizes[i] += 8 * (n or 0)
     start = held = 0
     for i, n in enumerate(sizes):

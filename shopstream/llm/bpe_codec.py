@@ -13,6 +13,7 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -218,7 +219,7 @@ def decode(encoded: DataFrame, ranks: str, id_col: str = "doc_id", ids_col: str
 
     def work(block: pa.RecordBatch) -> pa.RecordBatch:
         column = block.column(1)
-        counts = np.array(pa.compute.fill_null(pa.compute.list_value_length(column), 0), np.int64)
+        counts = np.array(pc.fill_null(pc.list_value_length(column), 0), np.int64)
         flat = np.asarray(column.flatten())
         model = codec(file.value, "")
         data = model.decode(flat)

@@ -2,4 +2,32 @@
 
 from __future__ import annotations
 
-ORACLE: dict[str, str] = {}
+# A rule covers a host if the host is its own or ends in it after a dot.
+OP8 = """
+WITH rules(rhost, rpath, rverdict) AS (
+    VALUES ('org', '/', 'allow'), ('example.org', '/es/', 'block'), ('example.org', '/en/1', 'block'),
+           ('com', '/fr/', 'allow'), ('com', '/de/', 'block')
+),
+rest AS (
+    SELECT page_id,
+           CASE WHEN strpos(url, '://') > 0
+                THEN regexp_extract(substr(url, strpos(url, '://') + 3), '^[^?#]*', 0, 's') ELSE '' END AS r
+    FROM pages
+),
+urls AS (
+    SELECT page_id,
+           translate(CASE WHEN strpos(r, '/') > 0 THEN left(r, strpos(r, '/') - 1) ELSE r END,
+                     'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+           CASE WHEN strpos(r, '/') > 0 THEN substr(r, strpos(r, '/')) ELSE '' END AS path
+    FROM rest
+),
+hits AS (
+    SELECT page_id, host, path, rhost || rpath AS rule, rverdict,
+           row_number() OVER (PARTITION BY page_id ORDER BY length(rhost) DESC, length(rpath) DESC) AS k
+    FROM urls JOIN rules ON (host = rhost OR ends_with(host, '.' || rhost)) AND starts_with(path, rpath)
+)
+SELECT u.page_id, u.host, u.path, h.rule, coalesce(h.rverdict, 'allow') AS verdict
+FROM urls u LEFT JOIN hits h ON h.page_id = u.page_id AND h.k = 1
+"""
+
+ORACLE: dict[str, str] = {"op8_url_rules": OP8}

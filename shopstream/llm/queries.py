@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shopstream.llm import bpe_codec, secrets, token_count
+from shopstream.llm import bpe_codec, secrets, token_count, url_rules
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -43,8 +43,24 @@ def op6_secrets(spark, d):
     )
 
 
+# The rules that the query's contract names.
+URL_RULES = [
+    ("org", "/", "allow"),
+    ("example.org", "/es/", "block"),
+    ("example.org", "/en/1", "block"),
+    ("com", "/fr/", "allow"),
+    ("com", "/de/", "block"),
+]
+
+
+def op8_url_rules(spark, d):
+    rules = spark.createDataFrame(URL_RULES, url_rules.RULES_SCHEMA)
+    return url_rules.judge(table(spark, d, "pages"), rules)
+
+
 QUERIES = {
     "op2_bpe_codec": op2_bpe_codec,
     "op5_token_count": op5_token_count,
     "op6_secrets": op6_secrets,
+    "op8_url_rules": op8_url_rules,
 }
