@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+
+# The folder that holds this package.
+ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 # Bytes of text handled at once inside a task; bounds the memory of vectorised work.
 BLOCK_BYTES = 2 << 20
@@ -17,6 +21,22 @@ def narrow(df: DataFrame, **columns: str) -> DataFrame:
     return df.select(*(df[f"`{old}`"].alias(new) for new, old in columns.items()))
 
 
+def importable(spark: SparkSession) -> None:
+    """Let Python workers on machines with this folder import the package, wherever the driver was started.
+
+    On other machines the package has to be installed or sent with ``--py-files``.
+    """
+    env = spark.sparkContext.environment
+    paths = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if ROOT not in paths:
+        env["PYTHONPATH"] = os.pathsep.join([ROOT, *paths])
+
+
+def map_arrow(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema) -> DataFrame:
+    importable(df.sparkSession)
+    return df.mapInArrow(run, schema)
+
+
 def map_blocks(
     df: DataFrame,
     work: Callable[[pa.RecordBatch], pa.RecordBatch | None],
@@ -32,7 +52,7 @@ def map_blocks(
                 if made is not None:
                     yield made
 
-    return df.mapInArrow(run, schema)
+    return map_arrow(df, run, schema)
 
 
 def blocks(batch: pa.RecordBatch, block_bytes: int) -> Iterator[pa.RecordBatch]:

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shopstream.llm import bpe_codec, secrets, token_count, url_rules
+from shopstream.llm import bpe_codec, language_id, secrets, token_count, url_rules
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -58,9 +58,23 @@ def op8_url_rules(spark, d):
     return url_rules.judge(table(spark, d, "pages"), rules)
 
 
+def fold(doc_id, n: int):
+    """Remainder of the CRC-32 of an id's decimal text."""
+    return F.pmod(F.crc32(F.col(doc_id).cast("string").cast("binary")), F.lit(n))
+
+
+def op9_language_id(spark, d):
+    docs = table(spark, d, "documents")
+    model = language_id.fit(docs.filter(fold("doc_id", 3) != 1))
+    return language_id.identify(docs, model).select(
+        "doc_id", (fold("doc_id", 3) == 1).alias("held_out"), "lang_pred", "score", "languages"
+    )
+
+
 QUERIES = {
     "op2_bpe_codec": op2_bpe_codec,
     "op5_token_count": op5_token_count,
     "op6_secrets": op6_secrets,
     "op8_url_rules": op8_url_rules,
+    "op9_language_id": op9_language_id,
 }
