@@ -6,13 +6,27 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shopstream.llm import bpe_codec, language_id, secrets, token_count, url_rules
+from shopstream.llm import bpe_codec, language_id, quality_rules, secret_scan, token_count, url_rules
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def fold(doc_id: str, n: int):
+    """Remainder of the CRC-32 of an id's decimal text."""
+    return F.pmod(F.crc32(F.col(doc_id).cast("string").cast("binary")), F.lit(n))
+
+
+def op1_quality(spark, d):
+    stats = quality_rules.with_statistics(table(spark, d, "documents"))
+    labels = table(spark, d, "labels").filter(fold("doc_id", 4) != 2)
+    model = quality_rules.fit_on_labels(stats, labels)
+    return quality_rules.scores(stats, model, 0.7).select(
+        "doc_id", (fold("doc_id", 4) == 2).alias("held_out"), "score", "predicted"
+    )
+
+
 def op2_bpe_codec(spark, d):
     """Every text encoded, the identifiers decoded again, and digests of both."""
     ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -31,15 +45,15 @@ def op5_token_count(spark, d):
 
 
 def op6_secrets(spark, d):
-    found = secrets.scan(table(spark, d, "documents"))
+    found = secret_scan.scan(table(spark, d, "documents"))
     count = lambda kind: F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long")
     return found.select(
         "doc_id",
         count("assign").alias("n_assign"),
         count("access").alias("n_access"),
         count("hex").alias("n_hex"),
-        F.sha2(secrets.listed("spans", secrets.BASE).cast("binary"), 256).alias("base_sha256"),
-        secrets.listed("spans", secrets.KINDS).alias("spans"),
+        F.sha2(secret_scan.listed("spans", secret_scan.BASE).cast("binary"), 256).alias("base_sha256"),
+        secret_scan.listed("spans", secret_scan.KINDS).alias("spans"),
     )
 
 
@@ -58,11 +72,6 @@ def op8_url_rules(spark, d):
     return url_rules.judge(table(spark, d, "pages"), rules)
 
 
-def fold(doc_id, n: int):
-    """Remainder of the CRC-32 of an id's decimal text."""
-    return F.pmod(F.crc32(F.col(doc_id).cast("string").cast("binary")), F.lit(n))
-
-
 def op9_language_id(spark, d):
     docs = table(spark, d, "documents")
     model = language_id.fit(docs.filter(fold("doc_id", 3) != 1))
@@ -72,6 +81,7 @@ def op9_language_id(spark, d):
 
 
 QUERIES = {
+    "op1_quality": op1_quality,
     "op2_bpe_codec": op2_bpe_codec,
     "op5_token_count": op5_token_count,
     "op6_secrets": op6_secrets,
