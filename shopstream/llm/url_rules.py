@@ -89,13 +89,15 @@ def judge(
     )
     copied = opened.join(salts, "top").withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)))
     stack_type = opened.schema["stack"].dataType
+    # One column for both, or Spark would sweep in place after the join on the label alone.
+    lane = F.concat_ws("\x02", "top", "salt").alias("lane")
     events = copied.select(
-        "top", "salt", "key", F.lit(0).alias("kind"), "stack",
+        lane, "key", F.lit(0).alias("kind"), "stack",
         F.lit(None).cast("string").alias("host"), F.lit(None).cast("string").alias("path"),
     ).unionByName(
-        spread.select("top", "salt", "key", F.lit(1).alias("kind"), F.lit(None).cast(stack_type).alias("stack"), "host", "path")
+        spread.select(lane, "key", F.lit(1).alias("kind"), F.lit(None).cast(stack_type).alias("stack"), "host", "path")
     )
-    sweep = Window.partitionBy("top", "salt").orderBy("key", "kind").rowsBetween(Window.unboundedPreceding, 0)
+    sweep = Window.partitionBy("lane").orderBy("key", "kind").rowsBetween(Window.unboundedPreceding, 0)
     covering = F.filter("open", lambda r: F.startswith(F.col("key"), r["key"]))
     winners = (
         events.withColumn("open", F.last("stack", ignorenulls=True).over(sweep))
