@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shopstream.llm import bpe_codec, language_id, ngram_join, quality_rules, secret_scan, token_count, url_rules
+from shopstream.llm import bpe_codec, decontaminate, language_id, ngram_join, quality_rules, secret_scan, token_count, url_rules
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -84,6 +84,10 @@ def op9_language_id(spark, d):
     )
 
 
+def op10_decontaminate(spark, d):
+    return decontaminate.contaminated(table(spark, d, "documents"), table(spark, d, "benchmark"))
+
+
 QUERIES = {
     "op1_quality": op1_quality,
     "op2_bpe_codec": op2_bpe_codec,
@@ -92,4 +96,5 @@ QUERIES = {
     "op6_secrets": op6_secrets,
     "op8_url_rules": op8_url_rules,
     "op9_language_id": op9_language_id,
+    "op10_decontaminate": op10_decontaminate,
 }
