@@ -14,6 +14,7 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -42,7 +43,7 @@ class Index(NamedTuple):
 
 
 def index(ids: list, texts: list[str | None], least: int) -> Index:
-    w = words(pa.array(texts, pa.string()))
+    w = words(pc.utf8_lower(pa.array(texts, pa.string())))
     every = runs(w.value, least)
     item = np.repeat(np.arange(len(ids)), np.diff(w.first))
     at = np.arange(len(every))
@@ -107,7 +108,7 @@ def tiling(item: np.ndarray, doc: np.ndarray, usable: np.ndarray, least: int) ->
 
 def search(column: pa.Array, known: Index, least: int, coverage: float) -> list[tuple[int, int, float, list]]:
     """(row, item number, covered share, tiles) of each contaminated pair."""
-    w = words(column)
+    w = words(pc.utf8_lower(column))
     every = runs(w.value, least)
     at = np.flatnonzero(known.maybe[every >> np.uint64(64 - FILTER_BITS)])
     if not len(at) or not len(known.seed):
@@ -176,7 +177,7 @@ def contaminated(
 ) -> DataFrame:
     """``doc_id, item_id, coverage, tiles`` for each document and item with tiles over ``coverage`` of the item's words.
 
-    Words stand between ASCII white space, A-Z lower-cased. Items of fewer than ``least`` words cannot be
+    Words stand between ASCII white space and are compared in lower case. Items of fewer than ``least`` words cannot be
     found. Documents without a hit have no row; a null text is empty; repeated documents each have
     theirs, and a null id stays null; repeated items count once; other columns are ignored; empty tables give an
     empty result. The benchmark is the query set: parts of a fixed size go to the workers one after the
