@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shopstream.llm import bpe_codec, decontaminate, language_id, ngram_join, quality_rules, secret_scan, token_count, url_rules
+from shopstream.llm import bpe_codec, decontaminate, language_id, ngram_join, quality_rules, secret_scan, suffix_dedup, token_count, url_rules
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -43,6 +43,10 @@ def op3_ngram_join(spark, d):
     return ngram_join.jaccard_components(table(spark, d, "documents"), k=3, percent=90)
 
 
+def op4_suffix_dedup(spark, d):
+    return suffix_dedup.repeated_passages(table(spark, d, "documents"), least=50)
+
+
 def op5_token_count(spark, d):
     tokenizer = public_tokenizers.path("byte_bpe_50k.json")
     return token_count.token_counts(table(spark, d, "documents"), tokenizer, limit=512)
@@ -92,6 +96,7 @@ QUERIES = {
     "op1_quality": op1_quality,
     "op2_bpe_codec": op2_bpe_codec,
     "op3_ngram_join": op3_ngram_join,
+    "op4_suffix_dedup": op4_suffix_dedup,
     "op5_token_count": op5_token_count,
     "op6_secrets": op6_secrets,
     "op8_url_rules": op8_url_rules,
