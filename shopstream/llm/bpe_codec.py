@@ -27,7 +27,7 @@ NONE = np.int32(2**31 - 1)
 BUCKETS = (4, 8, 12, 16, 24, 32, 64, 128)
 _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 
-_codecs: dict[tuple[bytes, str], Codec] = {}
+_models: dict[tuple, object] = {}
 
 
 class PairTable:
@@ -77,26 +77,20 @@ class PairTable:
         return out
 
 
-class Codec:
+def read_ranks(file: bytes) -> dict[bytes, int]:
+    return {base64.b64decode(a): int(b) for a, b in map(bytes.split, filter(bytes.strip, file.splitlines()))}
+
+
+class Encoder:
     def __init__(self, file: bytes, pattern: str):
-        self.ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, file.splitlines()) if a}
+        self.ranks = read_ranks(file)
         missing = [b for b in range(256) if bytes([b]) not in self.ranks]
         if missing:
             raise ValueError(f"ranks lack the bytes {missing}")
         self.pairs = PairTable(self.ranks)
         self.byte_ids = np.array([self.ranks[bytes([b])] for b in range(256)], np.int32)
         self.pieces = Pieces(pattern)
-        self.by_piece, self.by_word = Memory(size=250_000), Memory(size=150_000)
-        size = max(self.ranks.values()) + 1
-        lengths = np.zeros(size + 1, np.int64)
-        for token, rank in self.ranks.items():
-            lengths[rank + 1] = len(token)
-        self.lengths = lengths[1:]
-        self.starts = np.cumsum(lengths)[:-1]
-        by_rank = sorted((rank, token) for token, rank in self.ranks.items())
-        self.data = np.frombuffer(b"".join(token for _, token in by_rank), np.uint8)
-
-    # Encoding
+        self.by_piece, self.by_word = Memory(size=150_000), Memory(size=100_000)
 
     def encode(self, found: list[str]) -> list[bytes]:
         """Identifiers of each text, as packed 32-bit integers."""
@@ -117,7 +111,7 @@ class Codec:
             if whole is not None:
                 out[piece] = np.int32(whole).tobytes()
             elif len(raw) > BUCKETS[-1]:
-                merged = merges(self.byte_ids[list(raw)].tolist(), self.pairs.by_pair, range(len(self.lengths)))
+                merged = merges(self.byte_ids[list(raw)].tolist(), self.pairs.by_pair, range(max(self.ranks.values()) + 1))
                 out[piece] = np.array([i for i in merged if i >= 0], np.int32).tobytes()
             else:
                 rest.append((len(raw), raw, piece))
@@ -163,7 +157,15 @@ class Codec:
             ranks[each[some], at[some] - 1] = self.pairs.lookup(ids[each[some], at[some] - 1], ids[each[some], at[some]])
         return out
 
-    # Decoding
+
+class Decoder:
+    def __init__(self, file: bytes):
+        ranks = read_ranks(file)
+        lengths = np.zeros(max(ranks.values()) + 2, np.int64)
+        for token, rank in ranks.items():
+            lengths[rank + 1] = len(token)
+        self.lengths, self.starts = lengths[1:], np.cumsum(lengths)[:-1]
+        self.data = np.frombuffer(b"".join(sorted(ranks, key=ranks.get)), np.uint8)
 
     def decode(self, flat: np.ndarray) -> np.ndarray:
         """Bytes of the identifiers, one after the other."""
@@ -175,12 +177,12 @@ class Codec:
         return self.data[np.repeat(self.starts[flat] - (ends - sizes), sizes) + np.arange(total)]
 
 
-def codec(file: bytes, pattern: str) -> Codec:
-    """The codec of a file, built once in each Python worker."""
-    if (file, pattern) not in _codecs:
-        _codecs.clear()
-        _codecs[file, pattern] = Codec(file, pattern)
-    return _codecs[file, pattern]
+def of_file(kind: type, *args):
+    """An encoder or decoder of a file, built once in each Python worker."""
+    if (kind, *args) not in _models:
+        _models.clear()
+        _models[kind, *args] = kind(*args)
+    return _models[kind, *args]
 
 
 def _read(docs: DataFrame, ranks: str):
@@ -199,7 +201,7 @@ def encode(docs: DataFrame, ranks: str, pattern: str, id_col: str = "doc_id", te
     file = _read(docs, ranks)
 
     def work(block: pa.RecordBatch) -> pa.RecordBatch:
-        some = codec(file.value, pattern).encode(texts(block.column(1)))
+        some = of_file(Encoder, file.value, pattern).encode(texts(block.column(1)))
         flat = np.frombuffer(b"".join(some), np.int32)
         offsets = np.concatenate([[0], np.cumsum([len(ids) // 4 for ids in some])]).astype(np.int32)
         return batch(["doc_id", "ids"], [block.column(0), pa.ListArray.from_arrays(offsets, flat)])
@@ -207,7 +209,7 @@ def encode(docs: DataFrame, ranks: str, pattern: str, id_col: str = "doc_id", te
     kind = dict(docs.dtypes)[id_col]
     # Larger blocks share more repeated words.
     rows = narrow(docs, doc_id=id_col, text=text_col)
-    return map_blocks(rows, work, f"doc_id {kind}, ids array<int>", 8 << 20)
+    return map_blocks(rows, work, f"doc_id {kind}, ids array<int>", 3 << 20)
 
 
 def decode(encoded: DataFrame, ranks: str, id_col: str = "doc_id", ids_col: str = "ids") -> DataFrame:
@@ -221,7 +223,7 @@ def decode(encoded: DataFrame, ranks: str, id_col: str = "doc_id", ids_col: str
         column = block.column(1)
         counts = np.array(pc.fill_null(pc.list_value_length(column), 0), np.int64)
         flat = np.asarray(column.flatten())
-        model = codec(file.value, "")
+        model = of_file(Decoder, file.value)
         data = model.decode(flat)
         sizes = np.concatenate([[0], np.cumsum(model.lengths[flat])])
         offsets = sizes[np.concatenate([[0], np.cumsum(counts)])].astype(np.int32)

@@ -6,7 +6,18 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shopstream.llm import bpe_codec, decontaminate, language_id, ngram_join, quality_rules, secret_scan, suffix_dedup, token_count, url_rules
+from shopstream.llm import (
+    bpe_codec,
+    decontaminate,
+    language_id,
+    nearest,
+    ngram_join,
+    quality_rules,
+    secret_scan,
+    suffix_dedup,
+    token_count,
+    url_rules,
+)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -75,6 +86,10 @@ URL_RULES = [
 ]
 
 
+def op7_nearest(spark, d):
+    return nearest.search(table(spark, d, "embeddings"), "id % 20 = 0", k=20)
+
+
 def op8_url_rules(spark, d):
     rules = spark.createDataFrame(URL_RULES, url_rules.RULES_SCHEMA)
     return url_rules.judge(table(spark, d, "pages"), rules)
@@ -99,6 +114,7 @@ QUERIES = {
     "op4_suffix_dedup": op4_suffix_dedup,
     "op5_token_count": op5_token_count,
     "op6_secrets": op6_secrets,
+    "op7_nearest": op7_nearest,
     "op8_url_rules": op8_url_rules,
     "op9_language_id": op9_language_id,
     "op10_decontaminate": op10_decontaminate,
