@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import math
 import re
+from collections.abc import Callable
 from typing import NamedTuple
 
 import numpy as np
@@ -18,6 +19,7 @@ from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 from shopstream.llm.arrow import batch, map_blocks, narrow
 from shopstream.llm.words import SPACE, Words, mix, runs, words
@@ -138,13 +140,13 @@ class Rule(NamedTuple):
 
     bounds: tuple[tuple[str, float, float], ...]
 
-    def column(self) -> Column:
+    def column(self, of: Callable[[str], Column] = F.col) -> Column:
         out = F.lit(True)
         for name, low, high in self.bounds:
             if low > -math.inf:
-                out = out & (F.col(name) > F.lit(low))
+                out = out & (of(name) > F.lit(low))
             if high < math.inf:
-                out = out & (F.col(name) <= F.lit(high))
+                out = out & (of(name) <= F.lit(high))
         return out
 
 
@@ -152,11 +154,11 @@ class Model(NamedTuple):
     intercept: float
     rules: tuple[tuple[Rule, float], ...]
 
-    def score(self) -> Column:
-        """Probability of label 1 as a column over the statistics."""
+    def score(self, of: Callable[[str], Column] = F.col) -> Column:
+        """Probability of label 1 as a column over the statistics; ``of`` gives the column of a name."""
         z = F.lit(self.intercept)
         for rule, weight in self.rules:
-            z = z + F.when(rule.column(), F.lit(weight)).otherwise(F.lit(0.0))
+            z = z + F.when(rule.column(of), F.lit(weight)).otherwise(F.lit(0.0))
         return F.lit(1.0) / (F.lit(1.0) + F.exp(-z))
 
 
@@ -248,3 +250,19 @@ def scores(stats: DataFrame, model: Model, threshold: float = 0.7) -> DataFrame:
     return stats.select("doc_id", model.score().alias("score")).withColumn(
         "predicted", (F.col("score") >= threshold).cast("int")
     )
+
+
+def filtered(docs: DataFrame, model: Model, threshold: float = 0.7, text_col: str = "text") -> DataFrame:
+    """The rows of ``docs``, all columns, whose text scores ``threshold`` or more. Each row is judged by its own text, whatever its id."""
+    at, inputs = docs.columns.index(text_col), "quality statistics"
+    kind = pa.struct([(s, pa.float64()) for s in STATS])
+
+    def work(block: pa.RecordBatch) -> pa.RecordBatch:
+        stats = statistics(words(block.column(at)))
+        made = pa.StructArray.from_arrays([pa.array(c) for c in stats.T], fields=list(kind))
+        return pa.RecordBatch.from_arrays([*block.columns, made], names=[*block.schema.names, inputs])
+
+    fields = StructType([StructField(s, DoubleType()) for s in STATS])
+    judged = map_blocks(docs, work, StructType([*docs.schema.fields, StructField(inputs, fields)]))
+    score = model.score(lambda name: F.col(f"`{inputs}`.{name}"))
+    return judged.filter(score >= threshold).drop(inputs)
