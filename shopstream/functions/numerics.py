@@ -32,23 +32,19 @@ def money(total_units: Column | str) -> Column:
 
 
 def rounded(value: Column, scale: int = 2) -> Column:
-    """Round half up, deciding ties in decimal.
-
-    A quotient that ends in 5 may lie a hair below it in binary. Digits past the
-    eighth are settled first, so such ties always go up.
-    """
-    return F.round(F.round(value, 8), scale)
+    """Rounded half up, once. A double is rounded by its shortest decimal form, so a quotient of whole
+    numbers that is a tie in decimal counts as one."""
+    return F.round(value, scale)
 
 
 def ratio(num: str, den: str, scale: int = 2) -> Column:
-    """Rounded quotient, 0 where the denominator is not positive.
+    """Rounded quotient of whole numbers, 0 where the denominator is not positive.
 
     Numerator and denominator are SQL expressions. A derived table holds dozens of rates,
     and one parsed text per rate is far cheaper for the driver than a tree of Column calls.
     """
     quotient = f"CAST({num} AS DOUBLE) / CAST({den} AS DOUBLE)"
-    value = f"CASE WHEN {den} > 0 THEN {quotient} ELSE 0D END"
-    return F.expr(f"round(round({value}, 8), {scale})")
+    return F.expr(f"round(CASE WHEN {den} > 0 THEN {quotient} ELSE 0D END, {scale})")
 
 
 def pct(num: str, den: str, scale: int = 2) -> Column:
@@ -57,9 +53,23 @@ def pct(num: str, den: str, scale: int = 2) -> Column:
 
 
 def safe_ratio(num: str, den: str, scale: int = 2) -> Column:
-    """Rounded quotient, NULL (never an error) where the denominator is 0."""
-    quotient = f"try_divide(CAST({num} AS DOUBLE), CAST({den} AS DOUBLE))"
-    return F.expr(f"round(round({quotient}, 8), {scale})")
+    """Rounded quotient of whole numbers, NULL (never an error) where the denominator is 0."""
+    return F.expr(f"round(try_divide(CAST({num} AS DOUBLE), CAST({den} AS DOUBLE)), {scale})")
+
+
+def amount_units(amount: str) -> str:
+    """SQL for an amount as a whole number of ten-thousandths: a quotient of it is exact on ties."""
+    return f"round(({amount}) * {MONEY_UNITS})"
+
+
+def money_ratio(amount: str, den: str, scale: int = 2) -> Column:
+    """``ratio`` of an amount of money."""
+    return ratio(amount_units(amount), f"({den}) * {MONEY_UNITS}", scale)
+
+
+def safe_money_ratio(amount: str, den: str, scale: int = 2) -> Column:
+    """``safe_ratio`` of an amount of money."""
+    return safe_ratio(amount_units(amount), f"({den}) * {MONEY_UNITS}", scale)
 
 
 def case_when(cases: Iterable[tuple[str, Any]], default: Any = None) -> Column:

@@ -17,7 +17,7 @@ ADVISORY = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
 def compact(
     spark: SparkSession,
     path: str,
-    partition_by: Sequence[str] = (),
+    partition_by: Sequence[str] | None = None,
     file_bytes: int = 256 << 20,
     only: Sequence[object] | None = None,
 ) -> tuple[int, int]:
@@ -26,8 +26,16 @@ def compact(
     Files are sized by adaptive rebalancing to about ``file_bytes``, so large partitions get
     several files and hot ones are not written by a single task. On a large table name
     the values of the first partition column to rewrite in ``only``, say the days
-    loaded since the last time; other partitions are neither read nor written.
+    loaded since the last time (None for the partition without one); other partitions are
+    neither read nor written. The table keeps its partition columns, found from its folders;
+    ``partition_by`` may name them, and others are refused.
     """
+    there = tables.partition_columns(spark, path)
+    if partition_by is not None and list(partition_by) != there:
+        raise ValueError(f"{path} is partitioned by {there}, not by {list(partition_by)}")
+    if only is not None and not there:
+        raise ValueError(f"{path} has no partitions to choose from")
+    partition_by = there
     before = tables.data_files(spark, path)
     saved = spark.conf.get(ADVISORY)
     spark.conf.set(ADVISORY, str(file_bytes))
@@ -36,7 +44,7 @@ def compact(
         if only is not None:
             # Complete in the shared folder before any old file goes.
             staged = scratch_path(spark, "compact")
-            df.filter(F.col(partition_by[0]).isin(list(only))).write.parquet(staged)
+            df.filter(tables.in_partitions(partition_by[0], only)).write.parquet(staged)
             tables.replace_partitions(spark.read.parquet(staged), path, partition_by)
             tables.drop_path(spark, staged)
         else:
@@ -106,6 +114,6 @@ def apply_retention(
     dated = [v for v in tables.partition_values(spark, path, partition_column) if v[:1].isdigit()]
     expired = [v for v in dated if v < limit]
     for value in expired:
-        tables.drop_partition(spark, path, partition_column, value)
+        tables.drop_partition(spark, path, f"{partition_column}={value}")
     spark.catalog.refreshByPath(path)
     return expired

@@ -71,7 +71,7 @@ def insert_new_table(
     source.write.parquet(path)
     batch = spark.read.parquet(path)
     known = tables.read_table(spark, target)
-    if "event_time" in keys:
+    if {"event_time", "event_id"} & set(keys):  # the id is made from the time, among others
         low, high = batch.agg(F.min("event_time"), F.max("event_time")).first()
         undated = F.col("event_time").isNull()
         known = known.filter(undated if low is None else undated | F.col("event_time").between(low, high))
@@ -93,7 +93,7 @@ def upsert_table(
     For a key on both sides ``keep="source"`` takes the new row, ``keep="first"`` the one
     lower in ``order``, so that late copies of an event change nothing.
 
-    Touched are the partitions of the batch. With the default key a row cannot change its
+    Touched are the partitions of the batch, that of NULL included. With the default key a row cannot change its
     partition, as the id covers the event time; for keys that allow it set ``moves`` and
     the partitions now holding those rows are looked up and rewritten too.
     The new content is complete in the shared folder before any old file goes, so
@@ -111,9 +111,9 @@ def upsert_table(
     if moves:
         ids = batch.select(*keys).distinct()
         touched = touched.union(current.join(ids, list(keys), "left_semi").select(partition_column))
-    # One value per partition folder: bounded by the calendar, not by the data.
+    # One value per partition folder: the column must be one with few values, such as a date.
     values = [r[0] for r in touched.distinct().collect()]
-    before = current.filter(F.col(partition_column).isin(values))
+    before = current.filter(tables.in_partitions(partition_column, values))
     if keep == "first":
         both = before.unionByName(batch, allowMissingColumns=True)
         content = deduplicate(both, keys, order)
@@ -125,7 +125,7 @@ def upsert_table(
     if moves:
         left = {r[0] for r in merged.select(partition_column).distinct().collect()}
         for value in set(values) - left:
-            tables.drop_partition(spark, target, partition_column, str(value))
+            tables.drop_partition(spark, target, tables.partition_folder(spark, partition_column, value))
         spark.catalog.refreshByPath(target)
     for path in (batch_path, merged_path):
         tables.drop_path(spark, path)

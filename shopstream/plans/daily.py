@@ -5,7 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from shopstream.functions.numerics import money, pct, rounded, safe_ratio, units
+from shopstream.functions.numerics import (
+    MONEY_UNITS,
+    money,
+    pct,
+    rounded,
+    safe_money_ratio,
+    safe_ratio,
+    units,
+)
 from shopstream.operators.grains import distinct_if, entity_grains, total, type_sums, typed
 
 CORE = (
@@ -140,7 +148,7 @@ def derive(days: DataFrame, frame: str = "rows") -> DataFrame:
                 "overall_conversion_rate": pct("total_purchases", "total_views"),
                 "events_per_user": safe_ratio("total_events", "unique_users"),
                 "events_per_session": safe_ratio("total_events", "unique_sessions"),
-                "revenue_per_user": safe_ratio("total_revenue", "unique_users"),
+                "revenue_per_user": safe_money_ratio("total_revenue", "unique_users"),
                 "buyer_rate": safe_ratio("unique_buyers * 100", "unique_users"),
                 "_units": units(revenue),
             }
@@ -170,8 +178,8 @@ def derive(days: DataFrame, frame: str = "rows") -> DataFrame:
 
 
 def _rolling_mean(whole_units, frame):
-    mean = money(F.sum(whole_units).over(frame)) / F.count("*").over(frame)
-    return rounded(mean)
+    total = F.sum(whole_units).over(frame).cast("double")
+    return rounded(total / (F.count("*").over(frame) * MONEY_UNITS))
 
 
 def daily_sales_summary(

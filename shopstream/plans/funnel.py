@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shopstream.functions.numerics import money, pct, ratio, units
+from shopstream.functions.numerics import money, money_ratio, pct, units
 from shopstream.operators.grains import distinct_if, entity_grains, total, type_sums, typed
 
 GRAIN = ("event_date", "category_l1")
@@ -128,8 +128,8 @@ def derive(stages: DataFrame) -> DataFrame:
         "view_dropoff_rate": pct("view_dropoff", "sessions_with_view"),
         "cart_abandonment_rate": pct("cart_dropoff", "sessions_with_cart"),
         "net_cart_adds": F.expr("total_cart_adds - total_cart_removes"),
-        "revenue_per_purchasing_session": ratio("total_revenue", "sessions_with_purchase"),
-        "revenue_per_total_session": ratio("total_revenue", "total_sessions"),
+        "revenue_per_purchasing_session": money_ratio("total_revenue", "sessions_with_purchase"),
+        "revenue_per_total_session": money_ratio("total_revenue", "total_sessions"),
         "product_view_to_cart_rate": pct("unique_products_carted", "unique_products_viewed"),
         "product_cart_to_purchase_rate": pct("unique_products_purchased", "unique_products_carted"),
         "view_stage_pct": F.lit(100.0),

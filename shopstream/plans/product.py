@@ -2,23 +2,19 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shopstream.functions.numerics import MONEY_UNITS, case_when, money, pct, ratio, rounded, units
+from shopstream.functions.numerics import MONEY_UNITS, case_when, money, money_ratio, pct, ratio, rounded, units
 from shopstream.operators.grains import distinct_if, entity_grains, of, type_sums, typed
 from shopstream.operators.rank import attach_rank, rank_table
 from shopstream.operators.silver import category_level
-from shopstream.session import shared_dir
 
 # Percentile bounds of the tiers and the popularity weights.
 TIERS = ((90, "Top 10%"), (75, "Top 25%"), (50, "Top 50%"), (25, "Bottom 50%"))
 LOWEST_TIER = "Bottom 25%"
 POPULARITY_WEIGHTS = {"total_views": 0.2, "total_cart_adds": 0.3, "total_purchases": 0.5}
 
-# Up to this many product rows one task may sort them all.
-WINDOW_RANK_ROWS = 1_000_000
-
 AGGREGATE_COLUMNS = (
     "product_id category_id category_code category_l1 category_l2 category_l3 brand avg_price "
     "min_price max_price current_price total_events total_views total_cart_adds "
@@ -57,7 +53,7 @@ def _offers(silver: DataFrame) -> DataFrame:
     per_product = offers.groupBy("product_id").agg(
         F.min(F.struct("t_min", *described)).alias("first"),
         F.max(F.struct("t_max", "price"))["price"].alias("current_price"),
-        rounded(listed / F.sum("n") / MONEY_UNITS).alias("avg_price"),
+        rounded(listed / (F.sum("n") * MONEY_UNITS)).alias("avg_price"),
         F.min("price").alias("min_price"),
         F.max("price").alias("max_price"),
         F.sum("n").alias("total_events"),
@@ -109,7 +105,7 @@ def derive(products: DataFrame) -> DataFrame:
             "cart_abandonment_rate": pct(
                 "total_cart_adds - total_purchases", "total_cart_adds"
             ),
-            "revenue_per_view": ratio("total_revenue", "total_views", 4),
+            "revenue_per_view": money_ratio("total_revenue", "total_views", 4),
             "views_per_session": ratio("total_views", "unique_sessions"),
             "purchase_user_ratio": pct("unique_users_purchased", "unique_users_viewed"),
             "avg_purchases_per_buyer": ratio("total_purchases", "unique_users_purchased"),
@@ -117,41 +113,23 @@ def derive(products: DataFrame) -> DataFrame:
     )
 
 
-def _ranked_by_window(products: DataFrame) -> DataFrame:
-    """Ranks through plain windows: exact, but all products meet in one task."""
-    down = F.col("total_revenue").desc()
-    return products.withColumns(
-        {
-            "revenue_rank_global": F.dense_rank().over(Window.orderBy(down)),
-            "revenue_percentile": rounded(
-                F.percent_rank().over(Window.orderBy("total_revenue")) * 100
-            ),
-            "revenue_rank_in_category": F.dense_rank().over(
-                Window.partitionBy("category_l1").orderBy(down)
-            ),
-            "revenue_rank_in_brand": F.dense_rank().over(Window.partitionBy("brand").orderBy(down)),
-        }
-    )
-
-
 def _ranked(products: DataFrame) -> DataFrame:
-    """The same ranks with every task bounded, see ``operators.rank``."""
+    """Revenue ranks with every task bounded, see ``operators.rank``; one grouping feeds all three."""
     out = products.withColumn("_value", units("total_revenue"))
+    facts = out.groupBy("category_l1", "brand", "_value").agg(F.count("*").alias("_n"))
     tables = (
-        rank_table(out, "_value", [], rank="revenue_rank_global", percent="_share"),
-        rank_table(out, "_value", ["category_l1"], rank="revenue_rank_in_category"),
-        rank_table(out, "_value", ["brand"], rank="revenue_rank_in_brand"),
+        ([], rank_table(facts, "_value", [], "revenue_rank_global", "_share", count="_n")),
+        (["category_l1"], rank_table(facts, "_value", ["category_l1"], "revenue_rank_in_category", count="_n")),
+        (["brand"], rank_table(facts, "_value", ["brand"], "revenue_rank_in_brand", count="_n")),
     )
-    for table, by in zip(tables, ([], ["category_l1"], ["brand"])):
+    for by, table in tables:
         out = attach_rank(out, table, "_value", by)
-    return out.withColumn("revenue_percentile", rounded(F.col("_share") * 100)).drop(
-        "_share", "_value"
-    )
+    return out.withColumn("revenue_percentile", rounded(F.col("_share") * 100)).drop("_share", "_value")
 
 
-def rank_products(products: DataFrame, rank: str = "scalable") -> DataFrame:
+def rank_products(products: DataFrame) -> DataFrame:
     """Add ranks, percentile, tier and popularity to derived product rows."""
-    ranked = {"scalable": _ranked, "window": _ranked_by_window}[rank](products)
+    ranked = _ranked(products)
     share = "revenue_percentile"
     popularity = F.expr(" + ".join(f"{c} * {w}D" for c, w in POPULARITY_WEIGHTS.items()))
     return ranked.withColumns(
@@ -162,16 +140,11 @@ def rank_products(products: DataFrame, rank: str = "scalable") -> DataFrame:
     )
 
 
-def product_performance(
-    silver: DataFrame, columns: str = "full", rank: str = "auto", audit: bool = False
-) -> DataFrame:
+def product_performance(silver: DataFrame, columns: str = "full", audit: bool = False) -> DataFrame:
     """The product gold table; ``columns="core"`` gives the compact pipeline variant.
 
-    The percentile runs with revenue, so the best sellers get the top tier.
-
-    Ranking reads the product rows several times, so the full variant checkpoints them
-    first. ``rank="auto"`` then counts them and takes plain windows up to
-    ``WINDOW_RANK_ROWS`` products, the bounded ranking beyond.
+    The percentile runs with revenue, so the best sellers get the top tier. Lazy: the ranks come
+    from a second, narrow aggregation of the same events.
     """
     if columns == "core":
         users = silver.groupBy("product_id").agg(F.count_distinct("user_id").alias("unique_users"))
@@ -182,9 +155,5 @@ def product_performance(
         }
         out = _offers(silver).join(users, "product_id").withColumns(rates).select(*CORE)
     else:
-        shared_dir(silver.sparkSession)
-        products = derive(aggregate(silver)).checkpoint()
-        if rank == "auto":
-            rank = "window" if products.count() <= WINDOW_RANK_ROWS else "scalable"
-        out = rank_products(products, rank)
+        out = rank_products(derive(aggregate(silver)))
     return out.withColumn("processed_timestamp", F.current_timestamp()) if audit else out

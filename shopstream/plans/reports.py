@@ -9,18 +9,18 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shopstream.functions.numerics import money, pct, rounded, units
+from shopstream.functions.numerics import MONEY_UNITS, money, pct, rounded, units
 from shopstream.operators.silver import UNKNOWN
 
 
 def _revenue(c: str = "total_revenue") -> Column:
-    """Exact sum of an amount column."""
-    return money(F.sum(units(c)))
+    """Exact sum of an amount column; grand totals may pass the range of a whole number of units."""
+    return F.sum(F.col(c).cast("decimal(38,4)")).cast("double")
 
 
 def _mean_amount(c: str) -> Column:
     """Mean of an amount or rate column from its exact sum."""
-    return F.try_divide(money(F.sum(units(c))), F.count(c).cast("double"))
+    return F.try_divide(F.sum(units(c)).cast("double"), F.count(c).cast("double") * MONEY_UNITS)
 
 
 def _mean_count(c: str) -> Column:

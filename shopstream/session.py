@@ -10,6 +10,8 @@ from pyspark.sql import SparkSession
 # Event dates, hours and event ids depend on the zone, so it is pinned.
 SESSION_CONF = {
     "spark.sql.session.timeZone": "UTC",
+    # Sums of money that do not fit raise an error instead of wrapping round.
+    "spark.sql.ansi.enabled": "true",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",

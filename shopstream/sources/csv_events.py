@@ -22,13 +22,13 @@ def read_events_csv(
     return reader.csv(path)
 
 
-def write_events_csv(bronze: DataFrame, path: str) -> None:
+def write_events_csv(bronze: DataFrame, path: str, mode: str = "overwrite") -> None:
     """Write bronze events in the raw file form (times as text with a UTC suffix)."""
     text_time = F.concat(F.date_format("event_time", "yyyy-MM-dd HH:mm:ss"), F.lit(" UTC"))
     (
         bronze.withColumn("event_time", text_time)
         .select(*RAW_SCHEMA.names)
-        .write.mode("overwrite")
+        .write.mode(mode)
         .option("header", True)
         .csv(path)
     )

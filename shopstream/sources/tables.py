@@ -6,9 +6,10 @@ A target holding a slash is a path, anything else a catalog name.
 from __future__ import annotations
 
 import uuid
-from collections.abc import Sequence
+from collections.abc import Iterable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def is_path(target: str) -> bool:
@@ -117,12 +118,41 @@ def drop_path(spark: SparkSession, path: str) -> None:
     fs.delete(jpath, True)
 
 
-def drop_partition(spark: SparkSession, target: str, column: str, value: str) -> bool:
+def in_partitions(column: str, values: Iterable[object]) -> Column:
+    """Whether a row lies in one of these partitions, that of NULL included."""
+    values = list(values)
+    known = F.coalesce(F.col(column).isin([v for v in values if v is not None]), F.lit(False))
+    return known | F.col(column).isNull() if None in values else known
+
+
+def partition_folder(spark: SparkSession, column: str, value: object) -> str:
+    """Name of a partition's folder, escaped as the writer does it."""
+    text = None if value is None else str(value)
+    return spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.getPartitionPathString(column, text)
+
+
+def drop_partition(spark: SparkSession, target: str, folder: str) -> bool:
     """Remove one partition folder; true if there was one."""
-    fs, jpath = _fs(spark, f"{target.rstrip('/')}/{column}={value}")
+    root = target.rstrip("/")
+    fs, parent = _fs(spark, root)
+    # A path made from parent and child is taken as it is, so escapes in the name stay.
+    jpath = spark._jvm.org.apache.hadoop.fs.Path(parent, folder)
     return fs.exists(jpath) and fs.delete(jpath, True)
 
 
+def partition_columns(spark: SparkSession, target: str) -> list[str]:
+    """Partition columns of a table, from the names along one chain of its folders."""
+    fs, jpath = _fs(spark, target)
+    found = []
+    while True:
+        names = sorted(s.getPath().getName() for s in fs.listStatus(jpath) if s.isDirectory())
+        named = [n for n in names if "=" in n]
+        if not named:
+            return found
+        found.append(named[0].split("=", 1)[0])
+        jpath = spark._jvm.org.apache.hadoop.fs.Path(jpath, named[0])
+
+
 def partition_values(spark: SparkSession, target: str, column: str) -> list[str]:
     """Values of a table's first partition column, from the folder names alone."""
     fs, jpath = _fs(spark, target)
@@ -133,11 +163,7 @@ def partition_values(spark: SparkSession, target: str, column: str) -> list[str]
 
 def data_files(spark: SparkSession, target: str) -> int:
     """Number of data files below a path."""
-    fs, jpath = _fs(spark, target)
-    files, count = fs.listFiles(jpath, True), 0
-    while files.hasNext():
-        count += files.next().getPath().getName().endswith(".parquet")
-    return count
+    return len(spark.read.parquet(target).inputFiles())
 
 
 def register_external(spark: SparkSession, name: str, path: str) -> DataFrame:

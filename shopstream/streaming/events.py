@@ -65,12 +65,12 @@ def start_append(
     return writer.start()
 
 
-def silver_stream(bronze: DataFrame, dedup_delay: str | None = "1 day", audit: bool = True) -> DataFrame:
-    """Cleaned events of a stream.
+def silver_stream(bronze: DataFrame, dedup_delay: str | None = None, audit: bool = True) -> DataFrame:
+    """Cleaned events of a stream, copies included: ``insert_silver`` writes each event once.
 
-    With ``dedup_delay`` copies of an event whose times lie within that delay are dropped;
-    a copy later than that passes, where the batch form would drop it. Rows without
-    a time are rejected before the watermark sees them.
+    With ``dedup_delay`` the stream itself drops copies, from a state that holds the ids of that delay. Then
+    **every event later than the delay is dropped too, whether seen before or not**, so a backfill needs the
+    default. Rows without a time are rejected before the watermark sees them.
     """
     out = to_silver(bronze, dedup=False, audit=audit)
     if dedup_delay:
@@ -83,6 +83,17 @@ def quarantine_stream(bronze: DataFrame) -> DataFrame:
     return to_quarantine(bronze, F.current_timestamp())
 
 
+def insert_silver(
+    events: DataFrame, target: str, checkpoint: str, trigger: Mapping[str, object] = ONCE
+) -> StreamingQuery:
+    """Add each micro-batch's new events to a silver table, however late they come.
+
+    The first copy to arrive stays. A key lookup reads the table's ids within the times of the batch only, and
+    files already written keep as they are.
+    """
+    return insert_stream(events, target, checkpoint, ("event_id",), ("event_date",), trigger)
+
+
 def upsert_stream(
     df: DataFrame,
     target: str,

@@ -5,9 +5,10 @@ from datetime import date, datetime
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from shopstream.functions.numerics import first_match, pct, rounded, safe_ratio, units
+from shopstream.functions.numerics import first_match, money_ratio, pct, ratio, rounded, safe_ratio, units
 from shopstream.plans import customer, daily, funnel, product, reports
 from shopstream.plans.quality_metrics import quality_metrics
 from shopstream.schema import EVENT_TYPES
@@ -133,10 +134,35 @@ def test_attributes_come_from_the_first_event_and_price_from_the_last(spark):
     assert (row["avg_price"], row["min_price"], row["max_price"]) == (7.0, 5.0, 9.0)
 
 
-@pytest.mark.parametrize("rank", ["window", "scalable"])
-def test_both_rankings_agree(shop, rank):
-    wanted = product.product_performance(shop, rank="window")
-    assert rows_of(product.product_performance(shop, rank=rank)) == rows_of(wanted)
+def test_ranks_equal_plain_windows(shop):
+    got = product.product_performance(shop)
+    down = F.desc("total_revenue")
+    wanted = got.withColumns(
+        {
+            "revenue_rank_global": F.dense_rank().over(Window.orderBy(down)),
+            "revenue_percentile": F.round(F.percent_rank().over(Window.orderBy("total_revenue")) * 100, 2),
+            "revenue_rank_in_category": F.dense_rank().over(Window.partitionBy("category_l1").orderBy(down)),
+            "revenue_rank_in_brand": F.dense_rank().over(Window.partitionBy("brand").orderBy(down)),
+        }
+    )
+    assert rows_of(got) == rows_of(wanted)
+
+
+def test_product_ranking_is_lazy_and_bounded(spark, shop):
+    tracker = spark.sparkContext.statusTracker()
+    before = len(tracker.getJobIdsForGroup(None))
+    plan = product.product_performance(shop)._jdf.queryExecution().optimizedPlan().toString()
+    assert len(tracker.getJobIdsForGroup(None)) == before
+    # The only windows over a whole group run over totals of coarse buckets.
+    for line in plan.splitlines():
+        if "Window [" in line:
+            assert "_coarse" in line or "_fine" in line or "_values" in line, line
+
+
+def test_rates_are_rounded_once(spark):
+    df = spark.createDataFrame([(148588, 1203629, 2469, 20000)], "a bigint, b bigint, c bigint, d bigint")
+    row = df.select(pct("a", "b").alias("below"), ratio("c", "d * 0.01").alias("tie"), money_ratio("3.015D", "3").alias("money")).first()
+    assert tuple(row) == (12.34, 12.35, 1.01)
 
 
 def test_core_products(silver):

@@ -16,7 +16,7 @@ ROW = st.tuples(st.sampled_from([None, "a", "b"]), st.integers(0, 60) | st.integ
 @given(st.lists(ROW, min_size=1, max_size=60))
 def test_ranks_equal_the_window_functions(spark, rows):
     df = spark.createDataFrame(rows, "g string, v bigint").withColumn("id", F.monotonically_increasing_id())
-    old, rank.BUCKET_BITS = rank.BUCKET_BITS, 3
+    old, (rank.FINE_BITS, rank.COARSE_BITS) = (rank.FINE_BITS, rank.COARSE_BITS), (2, 5)
     try:
         for by in ([], ["g"]):
             table = rank.rank_table(df, "v", by, "r", "p")
@@ -25,7 +25,7 @@ def test_ranks_equal_the_window_functions(spark, rows):
             want = df.withColumns({"r": F.dense_rank().over(down), "p": F.percent_rank().over(up)})
             assert rows_of(got, "id", "r", "p") == rows_of(want, "id", "r", "p")
     finally:
-        rank.BUCKET_BITS = old
+        rank.FINE_BITS, rank.COARSE_BITS = old
 
 
 def test_one_row(spark):

@@ -67,7 +67,7 @@ def test_stream_equals_batch_and_takes_files_once(spark, place):
 
 def test_silver_stream_equals_batch(spark, place):
     query = streaming.start_append(
-        streaming.silver_stream(bronze_of(spark, place)), str(place / "out"), str(place / "check"), ["event_date"]
+        streaming.silver_stream(bronze_of(spark, place), "1 day"), str(place / "out"), str(place / "check"), ["event_date"]
     )
     streaming.run_available(query)
     same(tables.read_table(spark, str(place / "out")), to_silver(to_bronze(read_events_csv(spark, str(place / "in")))))
@@ -77,7 +77,7 @@ def test_silver_stream_drops_copies_of_later_batches(spark, place):
     for name in ("a.csv", "b.csv"):
         put(place / "in", name, text_rows(DIRTY_ROWS))
     query = streaming.start_append(
-        streaming.silver_stream(bronze_of(spark, place, max_files=1)), str(place / "out"), str(place / "check"), []
+        streaming.silver_stream(bronze_of(spark, place, max_files=1), "1 day"), str(place / "out"), str(place / "check"), []
     )
     streaming.run_available(query)
     assert tables.read_table(spark, str(place / "out")).count() == 7
@@ -139,3 +139,16 @@ def test_failure_is_reported(spark, place):
 
 def test_stream_schema(spark, place):
     assert set(bronze_of(spark, place).columns) == set(BRONZE_SCHEMA.names)
+
+
+def test_late_events_arrive_once(spark, tmp_path):
+    """Files out of date order: an event far behind the others is new all the same."""
+    folder = tmp_path / "in"
+    folder.mkdir()
+    days = ["2021-11-20", "2021-11-21", "2021-10-05", "2021-11-22", "2021-10-05"]
+    for i, day in enumerate(days):
+        put(folder, f"{i}.csv", [(f"{day} 10:00:00 UTC", "view", 70 + len(day), 1, "a.b", "c", 1.0, 400 + int(day[-2:]), "s")])
+    events = streaming.silver_stream(bronze_of(spark, tmp_path, max_files=1))
+    streaming.run_available(streaming.insert_silver(events, str(tmp_path / "out"), str(tmp_path / "check")))
+    out = tables.read_table(spark, str(tmp_path / "out"))
+    assert sorted(str(r.event_date) for r in out.collect()) == sorted(set(days))

@@ -33,8 +33,8 @@ SILVER = f"event_id, {RAW}, {DERIVED}"
 
 
 def rnd(value: str, scale: int = 2) -> str:
-    """Half-up rounding decided in decimal."""
-    return f"CAST(ROUND(CAST({value} AS DECIMAL(38,8)), {scale}) AS DOUBLE)"
+    """Half-up rounding of a double's shortest decimal form, once."""
+    return f"CAST(ROUND(CAST(CAST(CAST({value} AS DOUBLE) AS VARCHAR) AS DECIMAL(38,15)), {scale}) AS DOUBLE)"
 
 
 def ratio(num: str, den: str, scale: int = 2) -> str:
@@ -45,15 +45,29 @@ def pct(num: str, den: str) -> str:
     return ratio(f"({num}) * 100", den)
 
 
+def in_units(value: str) -> str:
+    """An amount as a whole number of ten-thousandths."""
+    return f"CAST(ROUND({value} * 10000) AS BIGINT)"
+
+
+def money_ratio(amount: str, den: str, scale: int = 2) -> str:
+    return ratio(in_units(amount), f"({den} * 10000)", scale)
+
+
 def total(value: str) -> str:
     """Exact sum of amounts."""
     return f"CAST(coalesce(sum(CAST({value} AS DECIMAL(18,4))), 0) AS DOUBLE)"
 
 
-def mean(value: str) -> str:
+def mean_money(value: str) -> str:
+    """Mean of an amount that is not rounded afterwards: the amount in units of money, divided once."""
     return f"CAST(sum(CAST({value} AS DECIMAL(18,4))) AS DOUBLE) / count({value})"
 
 
+def mean(value: str) -> str:
+    return f"CAST(sum({in_units(value)}) AS DOUBLE) / (count({value}) * 10000)"
+
+
 def only(kind: str) -> str:
     return f"FILTER (event_type = '{kind}')"
 
@@ -116,7 +130,7 @@ def customer_agg(silver: str) -> str:
           count(DISTINCT category_l1) AS unique_categories_engaged,
           count(DISTINCT brand) AS unique_brands_engaged,
           {total("CASE WHEN event_type = 'purchase' THEN price END")} AS total_revenue,
-          {mean("CASE WHEN event_type = 'purchase' THEN price END")} AS avg_purchase_value,
+          {mean_money("CASE WHEN event_type = 'purchase' THEN price END")} AS avg_purchase_value,
           max(price) {only('purchase')} AS max_purchase_value,
           min(event_time) AS first_activity_time, max(event_time) AS last_activity_time,
           min(event_date) AS first_activity_date, max(event_date) AS last_activity_date,
@@ -197,7 +211,7 @@ def product_derived(agg: str) -> str:
         {pct('total_purchases', 'total_cart_adds')} AS cart_to_purchase_rate,
         {pct('total_purchases', 'total_views')} AS overall_conversion_rate,
         {pct('total_cart_adds - total_purchases', 'total_cart_adds')} AS cart_abandonment_rate,
-        {ratio('total_revenue', 'total_views', 4)} AS revenue_per_view,
+        {money_ratio('total_revenue', 'total_views', 4)} AS revenue_per_view,
         {ratio('total_views', 'unique_sessions')} AS views_per_session,
         {pct('unique_users_purchased', 'unique_users_viewed')} AS purchase_user_ratio,
         {ratio('total_purchases', 'unique_users_purchased')} AS avg_purchases_per_buyer
@@ -238,7 +252,7 @@ def daily_agg(silver: str) -> str:
         count(DISTINCT product_id) AS unique_products_interacted,
         count(DISTINCT product_id) {only('purchase')} AS unique_products_sold,
         {total("CASE WHEN event_type = 'purchase' THEN price END")} AS total_revenue,
-        {mean("CASE WHEN event_type = 'purchase' THEN price END")} AS avg_order_value,
+        {mean_money("CASE WHEN event_type = 'purchase' THEN price END")} AS avg_order_value,
         max(price) {only('purchase')} AS max_order_value,
         count(DISTINCT category_l1) {only('purchase')} AS categories_with_sales,
         count(DISTINCT brand) {only('purchase')} AS brands_with_sales
@@ -246,24 +260,24 @@ def daily_agg(silver: str) -> str:
 
 
 def daily_derived(agg: str, week: str, month: str) -> str:
-    revenue = "CAST(total_revenue AS DECIMAL(18,4))"
+    revenue = in_units("total_revenue")
     return f"""
       SELECT * EXCLUDE (before, users_before, rate),
         {pct(f'{revenue} - before', 'before')} AS revenue_dod_change,
         {pct('unique_users - users_before', 'users_before')} AS users_dod_change,
-        {rnd(f'CAST(sum({revenue}) OVER w AS DOUBLE) / count(*) OVER w')} AS revenue_7d_avg,
+        {rnd(f'CAST(sum({revenue}) OVER w AS DOUBLE) / (count(*) OVER w * 10000)')} AS revenue_7d_avg,
         {rnd('CAST(sum(unique_users) OVER w AS DOUBLE) / count(*) OVER w')} AS users_7d_avg,
-        {rnd('CAST(sum(rate) OVER w AS DOUBLE) / count(*) OVER w')} AS conversion_7d_avg,
-        {rnd(f'sum({revenue}) OVER m')} AS revenue_30d_total,
+        {rnd('CAST(sum(rate) OVER w AS DOUBLE) / (count(*) OVER w * 10000)')} AS conversion_7d_avg,
+        {rnd(f'CAST(sum({revenue}) OVER m AS DOUBLE) / 10000')} AS revenue_30d_total,
         day_of_week IN (1, 7) AS is_weekend
       FROM (SELECT *,
           {pct('total_cart_adds', 'total_views')} AS view_to_cart_rate,
           {pct('total_purchases', 'total_cart_adds')} AS cart_to_purchase_rate,
           {pct('total_purchases', 'total_views')} AS overall_conversion_rate,
-          CAST({pct('total_purchases', 'total_views')} AS DECIMAL(18,4)) AS rate,
+          {in_units(pct('total_purchases', 'total_views'))} AS rate,
           {rnd('CAST(total_events AS DOUBLE) / unique_users')} AS events_per_user,
           {rnd('CAST(total_events AS DOUBLE) / unique_sessions')} AS events_per_session,
-          {rnd('total_revenue / unique_users')} AS revenue_per_user,
+          {rnd(f'CAST({revenue} AS DOUBLE) / (unique_users * 10000)')} AS revenue_per_user,
           {rnd('unique_buyers * 100.0 / unique_users')} AS buyer_rate,
           lag({revenue}) OVER (ORDER BY event_date) AS before,
           lag(unique_users) OVER (ORDER BY event_date) AS users_before
@@ -318,8 +332,8 @@ def funnel_derived(agg: str) -> str:
         {pct('sessions_with_cart - sessions_with_purchase', 'sessions_with_cart')}
           AS cart_abandonment_rate,
         total_cart_adds - total_cart_removes AS net_cart_adds,
-        {ratio('total_revenue', 'sessions_with_purchase')} AS revenue_per_purchasing_session,
-        {ratio('total_revenue', 'total_sessions')} AS revenue_per_total_session,
+        {money_ratio('total_revenue', 'sessions_with_purchase')} AS revenue_per_purchasing_session,
+        {money_ratio('total_revenue', 'total_sessions')} AS revenue_per_total_session,
         {pct('unique_products_carted', 'unique_products_viewed')} AS product_view_to_cart_rate,
         {pct('unique_products_purchased', 'unique_products_carted')} AS product_cart_to_purchase_rate,
         CAST(100.0 AS DOUBLE) AS view_stage_pct,
@@ -630,6 +644,10 @@ STATEMENTS = {
       count(DISTINCT user_id) AS unique_users FROM events WHERE event_type LIKE 'p%' GROUP BY 1""",
     "stream_bronze": f"SELECT {RAW} FROM csv_bronze",
     "stream_silver": f"SELECT {SILVER} FROM csv_silver",
+    "stream_late": f"SELECT {SILVER} FROM csv_silver",
+    "compact_partitioned": f"SELECT {SILVER} FROM silver",
+    "upsert_null_partition": """SELECT CASE WHEN user_id % 3 <> 0 THEN event_type END AS kind, count(*) AS n
+      FROM silver WHERE user_id % 2 = 0 OR user_id % 5 <> 4 GROUP BY 1""",
     "stream_quarantine": f"""SELECT {RAW}, {REASON} AS quarantine_reason FROM csv_bronze
       WHERE {REJECTED}""",
     "stream_upsert": f"SELECT {SILVER} FROM csv_silver",

@@ -284,7 +284,7 @@ def product_performance(spark, d):
 
 
 def product_rank_scalable(spark, d):
-    out = product.product_performance(clean(spark, d), rank="scalable")
+    out = product.product_performance(clean(spark, d))
     return out.select(
         "product_id", "revenue_rank_global", "revenue_percentile", "revenue_rank_in_category",
         "revenue_rank_in_brand", "performance_tier",
@@ -468,10 +468,24 @@ def stream_bronze(spark, d):
 
 
 def stream_silver(spark, d):
-    out = streaming.silver_stream(_bronze_stream(spark, d), audit=False)
+    """All files in one micro-batch, copies dropped from the stream's own state."""
+    out = streaming.silver_stream(_bronze_stream(spark, d), dedup_delay="1 day", audit=False)
     return plain(_drained(spark, out, ["event_date"]))
 
 
+def stream_late(spark, d):
+    """The same events in several micro-batches, the latest days first: late events and late copies arrive."""
+    folder = scratch_path(spark, "late")
+    raw = to_bronze(read_events_csv(spark, csv_folder(spark, d)))
+    day = F.dayofmonth("event_time")
+    for part in (day > 20, day <= 10, day > 5, F.lit(True)):
+        write_events_csv(raw.filter(part), folder, mode="append")
+    target, checkpoint = scratch_path(spark, "silver"), scratch_path(spark, "stream")
+    events = streaming.silver_stream(to_bronze(streaming.read_event_stream(spark, folder, max_files=2)), audit=False)
+    streaming.run_available(streaming.insert_silver(events, target, checkpoint))
+    return plain(tables.read_table(spark, target))
+
+
 def stream_quarantine(spark, d):
     out = streaming.quarantine_stream(_bronze_stream(spark, d))
     return plain(_drained(spark, out, []).drop("quarantine_timestamp"))
@@ -518,6 +532,26 @@ def compact(spark, d):
     return plain(tables.read_table(spark, path))
 
 
+def compact_partitioned(spark, d):
+    """A partitioned table stays partitioned: its rows, and the days its folders name."""
+    path = scratch_path(spark, "compact")
+    tables.write_full(clean(spark, d).repartition(4), path, ["event_date"], staged=False)
+    maintenance.compact(spark, path)
+    kept = spark.createDataFrame([(v,) for v in tables.partition_values(spark, path, "event_date")], "day string")
+    return plain(tables.read_table(spark, path)).join(kept, F.col("event_date").cast("string") == F.col("day")).drop("day")
+
+
+def upsert_null_partition(spark, d):
+    """Two deliveries into a table with a partition of NULL: the second leaves the first's rows there."""
+    target = scratch_path(spark, "nulls")
+    rows = clean(spark, d).select(
+        "event_id", "event_time", "user_id", F.expr("CASE WHEN user_id % 3 <> 0 THEN event_type END").alias("kind")
+    )
+    for part in (F.col("user_id") % 2 == 0, F.col("user_id") % 5 != 4):
+        upsert.upsert_table(rows.filter(part), target, partition_column="kind", order=("event_time",))
+    return tables.read_table(spark, target).groupBy("kind").agg(F.count("*").alias("n"))
+
+
 def cluster(spark, d):
     path = scratch_path(spark, "cluster")
     rows = maintenance.cluster(clean(spark, d), ["user_id", "product_id"], curve="morton")
@@ -538,7 +572,7 @@ QUERIES: dict[str, Query] = {
         bronze_parse, csv_roundtrip, silver_clean, silver_dedup, event_id, category_levels, date_parts,
         filter_valid, orders_filter_valid, quarantine, quarantine_reasons, expectation_counts,
         expectations_apply, expectations_warn, quality_report, completeness_flags, validity_flags,
-        duplicate_count, duplicate_rows, insert_new, upsert_rows, upsert_table,
+        duplicate_count, duplicate_rows, insert_new, upsert_rows, upsert_table, upsert_null_partition,
         customer_agg, customer_metrics, customer_core, customer_latest_day,
         product_agg, product_derived, product_performance, product_rank_scalable, product_core,
         daily_agg, daily_sales_summary, daily_calendar_frames, daily_core,
@@ -548,9 +582,9 @@ QUERIES: dict[str, Query] = {
         events_between, user_journey, purchases_in_category,
         mask_functions, secure_by_segment, secure_by_category, secure_as_admin, no_pii, mask_customer,
         mask_events, mask_tagged, access_coverage, audit_daily,
-        stream_bronze, stream_silver, stream_quarantine, stream_upsert, processed_files,
+        stream_bronze, stream_silver, stream_late, stream_quarantine, stream_upsert, processed_files,
         batch_load,
-        profile_csv, null_profile, compact, cluster, retention,
+        profile_csv, null_profile, compact, compact_partitioned, cluster, retention,
     )
 }
 QUERIES |= {
