@@ -6,6 +6,10 @@ place in them. The kept suffixes are sorted by fingerprints of their first ``k``
 to ``least``, so those with a long common beginning are neighbours. Each is compared with the one before it;
 if the first ``k`` words are equal, the two documents are laid side by side at that shift and
 every common run is extended left and right as far as it goes.
+
+A suffix may share ``k`` words with its neighbours and ``least`` with one further away, to the left. So where
+a suffix with equals is not inside a run found so far, the runs of ``least`` words around all suffixes that begin like it are
+compared by their hashes.
 """
 
 from __future__ import annotations
@@ -168,6 +172,52 @@ def extend(pairs: DataFrame, least: int) -> DataFrame:
     return map_blocks(pairs.select("a", "b", "text_a", "text_b", "shifts"), work, "node bigint, start int, end int")
 
 
+def around(members: DataFrame, aligned: DataFrame, texts: DataFrame, least: int) -> DataFrame:
+    """``node, start, end`` of runs of ``least`` words that the alignment of neighbours has missed.
+
+    ``members`` has the suffixes with equals. Those inside an aligned run are done; for the others, all runs of
+    ``least`` words that hold a suffix with the same head are compared.
+    """
+    k, width = window(least)
+    inside = F.exists("spans", lambda s: (s["start"] <= F.col("place")) & (s["end"] >= F.col("place") + k))
+    missing = members.join(aligned, "node", "left").filter(~F.coalesce(inside, F.lit(False))).select("head", "node", "place")
+    missing = written(missing, "suffix_missing")
+    asked = members.join(missing.select("head").distinct(), "head")
+
+    def runs_of(rows: DataFrame) -> DataFrame:
+        return rows.groupBy("node").agg(F.collect_set("place").alias("places")).join(texts, "node").select("node", "text", "places")
+
+    def hashes(block: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        w = words(block.column(1))
+        every = long_runs(w.value, least)
+        row, start = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        for i, places in enumerate(block.column(2).to_pylist()):
+            at = np.unique(np.subtract.outer(np.array(places, np.int64), np.arange(width)).ravel())
+            at = at[(at >= 0) & (at + least <= w.first[i + 1] - w.first[i])]
+            row.append(np.full(len(at), i))
+            start.append(at)
+        row, start = np.concatenate(row), np.concatenate(start)
+        return every[w.first[row] + start].view(np.int64), block.column(0).to_numpy()[row], start
+
+    def holders(block: pa.RecordBatch) -> pa.RecordBatch:
+        """Least and greatest node of each run of words: equal runs of a block are one row."""
+        value, node, _ = hashes(block)
+        order = np.lexsort((node, value))
+        value, node = value[order], node[order]
+        first = np.flatnonzero(np.diff(value, prepend=value[:1] - 1)) if len(value) else np.zeros(0, np.int64)
+        last = np.append(first[1:], len(value))[: len(first)] - 1
+        return batch(["value", "low", "high"], [pa.array(value[first]), pa.array(node[first]), pa.array(node[last])])
+
+    def places_of(block: pa.RecordBatch) -> pa.RecordBatch:
+        value, node, start = hashes(block)
+        return batch(["value", "node", "start"], [pa.array(value), pa.array(node), pa.array(start.astype(np.int32))])
+
+    held = map_blocks(runs_of(asked), holders, "value bigint, low bigint, high bigint")
+    shared = held.groupBy("value").agg(F.min("low").alias("low"), F.max("high").alias("high")).filter("low < high")
+    own = map_blocks(runs_of(missing), places_of, "value bigint, node bigint, start int")
+    return own.join(shared.select("value"), "value").select("node", "start", (F.col("start") + least).alias("end"))
+
+
 def merged(spans: DataFrame) -> DataFrame:
     """``node, spans``: the union of each node's spans, as spans apart from each other, in order."""
     order = Window.partitionBy("node").orderBy("start", "end")
@@ -189,9 +239,8 @@ def repeated_passages(docs: DataFrame, least: int = LEAST, id_col: str = "doc_id
     touch, and ``n_repeated`` their words. All holders of a passage come out, the first one too. Rows with
     equal word sequences are copies of each other: the whole is their span (from ``least`` words up). Repeats inside one document do
     not count. A null or shorter text has no row; rows with a null id take part and come out with it; other
-    columns are ignored; an empty table gives an empty result. No group is capped. Suffixes are compared
-    with their neighbour in the order, so where three or more documents share the same ``k`` words but different pairs of them share
-    ``least``, a pair may be met through its neighbours only.
+    columns are ignored; an empty table gives an empty result. No group is capped. Exact up to collisions of
+    64-bit hashes, but that a passage is found in a document where it stands first if it stands there twice.
     """
     made = written(features(docs, least, id_col, text_col), "suffix_features")
     key = ["seq_a", "seq_b", "n_words"]
@@ -214,11 +263,16 @@ def repeated_passages(docs: DataFrame, least: int = LEAST, id_col: str = "doc_id
     ends = (
         met.filter("edge").select("head", "tail", "b", "place_b").distinct()
         .withColumn("a", F.lag("b").over(order)).withColumn("place_a", F.lag("place_b").over(order))
-        .filter("a IS NOT NULL").select("a", "place_a", "b", "place_b")
+        .filter("a IS NOT NULL").select("head", "a", "place_a", "b", "place_b")
+    )
+    equal = met.filter("NOT edge").select("head", "a", "place_a", "b", "place_b").unionByName(ends).filter("a <> b")
+    members = written(
+        equal.select("head", F.col("a").alias("node"), F.col("place_a").alias("place"))
+        .union(equal.select("head", "b", "place_b")).distinct(),
+        "suffix_members",
     )
     pairs = (
-        met.filter("NOT edge").select("a", "place_a", "b", "place_b").unionByName(ends)
-        .filter("a <> b")
+        equal
         .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"),
                 F.when(F.col("a") < F.col("b"), F.col("place_a") - F.col("place_b")).otherwise(F.col("place_b") - F.col("place_a")).alias("shift"))
         .groupBy("a", "b").agg(F.collect_set("shift").alias("shifts"))
@@ -229,7 +283,9 @@ def repeated_passages(docs: DataFrame, least: int = LEAST, id_col: str = "doc_id
     sides = pairs.join(texts.select(F.col("node").alias("a"), F.col("text").alias("text_a")), "a").join(
         texts.select(F.col("node").alias("b"), F.col("text").alias("text_b")), "b"
     )
-    found = merged(extend(sides, least))
+    aligned = written(merged(extend(sides, least)), "suffix_runs")
+    further = around(members, aligned, texts, least)
+    found = merged(aligned.select("node", F.explode("spans").alias("s")).select("node", "s.start", "s.end").union(further))
     whole = F.array(F.struct(F.lit(0).alias("start"), F.col("n_words").cast("int").alias("end"))).cast(SPANS)
     of_node = nodes.join(found, "node", "left").select(
         *key, F.when(F.col("copies") > 1, whole).otherwise(F.col("spans").cast(SPANS)).alias("spans")
