@@ -17,7 +17,7 @@ def test_times_are_parsed(raw):
     out = to_bronze(raw, audit=False)
     assert out.schema["event_time"].dataType == T.TimestampType()
     assert out.filter("event_time IS NULL").count() == 0
-    assert out.agg(F.min("event_time")).first()[0] == datetime(2019, 10, 1)
+    assert out.agg(F.min("event_time")).first()[0] == datetime(2021, 3, 8, 7, 14, 9)
 
 
 def test_unreadable_time_gives_null(spark):
@@ -34,9 +34,9 @@ def test_expected_dirt_of_the_sample(raw):
     out = to_bronze(raw, audit=False)
     assert out.count() == len(RAW_ROWS)
     kinds = {r[0] for r in out.select("event_type").distinct().collect()}
-    assert kinds == {"view", "cart", "purchase"} and kinds <= set(schema.EVENT_TYPES)
+    assert kinds == {"view", "cart", "remove_from_cart", "purchase"} and kinds <= set(schema.EVENT_TYPES)
     gaps = null_counts(out).first()
-    assert (gaps["category_code"], gaps["brand"], gaps["event_time"]) == (1, 1, 0)
+    assert (gaps["category_code"], gaps["brand"], gaps["event_time"]) == (1, 3, 0)
 
 
 def test_files_get_lineage(spark, dirty, tmp_path):

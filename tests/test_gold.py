@@ -14,7 +14,7 @@ from shopstream.plans.quality_metrics import quality_metrics
 from shopstream.schema import EVENT_TYPES
 from tests.conftest import LOADED, by_key, make_silver, rows_of
 
-AS_OF = "2019-10-05"
+AS_OF = "2021-03-15"
 
 
 # customers
@@ -23,32 +23,32 @@ def test_customer_counts_and_value(silver):
     rows = by_key(customer.customer_metrics(silver, AS_OF), "user_id")
     assert len(rows) == 3
     got = {u: (r["total_events"], r["total_views"], r["total_purchases"], r["total_revenue"]) for u, r in rows.items()}
-    assert got == {5001: (5, 2, 2, 1599.98), 5002: (3, 1, 0, 0.0), 5003: (2, 2, 0, 0.0)}
-    assert rows[5001]["customer_lifetime_value"] == 1599.98
-    assert rows[5001]["avg_purchase_value"] == pytest.approx(799.99)
-    assert rows[5002]["avg_purchase_value"] is None and rows[5002]["max_purchase_value"] is None
+    assert got == {901: (6, 3, 2, 27.7), 902: (3, 1, 0, 0.0), 903: (3, 3, 0, 0.0)}
+    assert rows[901]["customer_lifetime_value"] == 27.7
+    assert rows[901]["avg_purchase_value"] == pytest.approx(13.85)
+    assert rows[902]["avg_purchase_value"] is None and rows[902]["max_purchase_value"] is None
 
 
 def test_customer_segments_scores_and_risk(silver):
     rows = by_key(customer.customer_metrics(silver, AS_OF), "user_id")
     assert {u: r["customer_segment"] for u, r in rows.items()} == {
-        5001: "Potential Loyalist",
-        5002: "Cart Abandoner",
-        5003: "Visitor",
+        901: "Potential Loyalist",
+        902: "Cart Abandoner",
+        903: "Visitor",
     }
-    first = rows[5001]
-    assert (first["recency_score"], first["frequency_score"], first["monetary_score"], first["rfm_score"]) == (5, 2, 5, 12)
-    assert (first["churn_risk"], rows[5002]["churn_risk"]) == ("Low", "N/A")
+    first = rows[901]
+    assert (first["recency_score"], first["frequency_score"], first["monetary_score"], first["rfm_score"]) == (5, 2, 2, 9)
+    assert (first["churn_risk"], rows[902]["churn_risk"]) == ("Low", "N/A")
 
 
 def test_customer_details(silver):
-    row = by_key(customer.customer_metrics(silver, AS_OF), "user_id")[5001]
-    assert row["first_activity_time"] == datetime(2019, 10, 1, 10)
-    assert (row["first_purchase_date"], row["last_purchase_date"]) == (date(2019, 10, 1), date(2019, 10, 2))
+    row = by_key(customer.customer_metrics(silver, AS_OF), "user_id")[901]
+    assert row["first_activity_time"] == datetime(2021, 3, 11, 8)
+    assert (row["first_purchase_date"], row["last_purchase_date"]) == (date(2021, 3, 11), date(2021, 3, 12))
     assert (row["days_since_last_activity"], row["days_since_last_purchase"], row["customer_tenure_days"]) == (3, 3, 1)
-    assert (row["most_active_hour"], row["top_category"], row["top_brand"]) == (10, "electronics", "samsung")
+    assert (row["most_active_hour"], row["top_category"], row["top_brand"]) == (8, "garden", "birchwood")
     assert (row["unique_products_viewed"], row["unique_products_carted"], row["unique_products_purchased"]) == (2, 1, 2)
-    assert (row["avg_events_per_session"], row["avg_events_per_day"]) == (2.5, 2.5)
+    assert (row["avg_events_per_session"], row["avg_events_per_day"]) == (3.0, 3.0)
 
 
 def test_viewed_products_count_every_event_type(spark):
@@ -73,15 +73,15 @@ def test_unknown_is_no_favourite_brand(spark):
 
 def test_recency_runs_from_the_last_day_by_default(silver):
     rows = by_key(customer.customer_metrics(silver), "user_id")
-    assert (rows[5001]["days_since_last_activity"], rows[5003]["days_since_last_activity"]) == (0, 1)
-    given = customer.customer_metrics(silver, F.lit("2019-12-31").cast("date"))
-    assert by_key(given, "user_id")[5001]["churn_risk"] == "High"
+    assert (rows[901]["days_since_last_activity"], rows[902]["days_since_last_activity"]) == (0, 1)
+    given = customer.customer_metrics(silver, F.lit("2021-06-30").cast("date"))
+    assert by_key(given, "user_id")[901]["churn_risk"] == "High"
 
 
 def test_churn_bounds(silver):
     risk = {}
-    for day in ("2019-10-16", "2019-10-17", "2019-11-01", "2019-11-02"):
-        risk[day] = by_key(customer.customer_metrics(silver, day), "user_id")[5001]["churn_risk"]
+    for day in ("2021-03-26", "2021-03-27", "2021-04-11", "2021-04-12"):
+        risk[day] = by_key(customer.customer_metrics(silver, day), "user_id")[901]["churn_risk"]
     assert list(risk.values()) == ["Low", "Medium", "Medium", "High"]
 
 
@@ -105,22 +105,23 @@ def test_missing_session_counts_as_no_session(spark):
 
 def test_product_counts_rates_and_revenue(silver):
     rows = by_key(product.product_performance(silver), "product_id")
-    assert len(rows) == 3
-    assert (rows[1001]["total_views"], rows[1001]["total_purchases"]) == (2, 1)
-    assert (rows[1001]["overall_conversion_rate"], rows[1003]["overall_conversion_rate"]) == (50.0, 0.0)
-    assert (rows[1001]["total_revenue"], rows[1002]["total_revenue"]) == (299.99, 1299.99)
-    assert rows[1001]["revenue_per_view"] == 149.995 and rows[1001]["unique_users_total"] == 2
+    assert sorted(rows) == [31, 47, 52, 80]
+    assert (rows[31]["total_views"], rows[31]["total_purchases"]) == (3, 1)
+    assert [rows[p]["overall_conversion_rate"] for p in (31, 47, 52)] == [33.33, 100.0, 0.0]
+    assert [rows[p]["total_revenue"] for p in (31, 47, 80)] == [24.5, 3.2, 0.0]
+    assert rows[31]["revenue_per_view"] == 8.1667 and rows[31]["unique_users_total"] == 2
 
 
 def test_best_product_has_the_top_tier(silver):
     rows = by_key(product.product_performance(silver), "product_id")
     assert {p: (r["revenue_rank_global"], r["revenue_percentile"], r["performance_tier"]) for p, r in rows.items()} == {
-        1002: (1, 100.0, "Top 10%"),
-        1001: (2, 50.0, "Top 50%"),
-        1003: (3, 0.0, "Bottom 25%"),
+        31: (1, 100.0, "Top 10%"),
+        47: (2, 66.67, "Top 50%"),
+        52: (3, 0.0, "Bottom 25%"),
+        80: (3, 0.0, "Bottom 25%"),
     }
-    assert (rows[1001]["revenue_rank_in_category"], rows[1001]["revenue_rank_in_brand"]) == (2, 1)
-    assert rows[1001]["popularity_score"] == 1.2
+    assert (rows[47]["revenue_rank_in_category"], rows[47]["revenue_rank_in_brand"]) == (2, 1)
+    assert [rows[p]["popularity_score"] for p in (31, 47, 52, 80)] == [1.1, 1.0, 0.7, 0.2]
 
 
 def test_attributes_come_from_the_first_event_and_price_from_the_last(spark):
@@ -167,20 +168,20 @@ def test_rates_are_rounded_once(spark):
 
 def test_core_products(silver):
     out = product.product_performance(silver, columns="core")
-    assert out.columns == product.CORE and by_key(out, "product_id")[1001]["unique_users"] == 2
+    assert out.columns == product.CORE and by_key(out, "product_id")[31]["unique_users"] == 2
 
 
 # days
 
 def test_days(silver):
     rows = daily.daily_sales_summary(silver).collect()
-    assert [r["event_date"] for r in rows] == [date(2019, 10, 1), date(2019, 10, 2)]
-    assert [r["total_revenue"] for r in rows] == [299.99, 1299.99]
-    assert [r["unique_users"] for r in rows] == [3, 1]
-    assert [(r["day_name"], r["is_weekend"]) for r in rows] == [("Tuesday", False), ("Wednesday", False)]
-    assert [r["revenue_dod_change"] for r in rows] == [0.0, 333.34]
-    assert [r["revenue_7d_avg"] for r in rows] == [299.99, 799.99]
-    assert [r["buyer_rate"] for r in rows] == [33.33, 100.0]
+    assert [r["event_date"] for r in rows] == [date(2021, 3, 11), date(2021, 3, 12)]
+    assert [r["total_revenue"] for r in rows] == [3.2, 24.5]
+    assert [r["unique_users"] for r in rows] == [2, 2]
+    assert [(r["day_name"], r["is_weekend"]) for r in rows] == [("Thursday", False), ("Friday", False)]
+    assert [r["revenue_dod_change"] for r in rows] == [0.0, 665.63]
+    assert [r["revenue_7d_avg"] for r in rows] == [3.2, 13.85]
+    assert [r["buyer_rate"] for r in rows] == [50.0, 50.0]
 
 
 def test_frames_over_rows_and_over_days(spark):
@@ -206,16 +207,17 @@ def test_core_days(silver):
 
 def test_funnel_stages(silver):
     rows = {(r["event_date"], r["category_l1"]): r for r in funnel.conversion_funnel(silver).collect()}
-    row = rows[(date(2019, 10, 1), "electronics")]
-    assert (row["sessions_with_view"], row["sessions_with_cart"], row["sessions_with_purchase"]) == (2, 1, 1)
-    assert (row["cart_abandonment_rate"], row["view_dropoff"], row["view_dropoff_rate"]) == (0.0, 1, 50.0)
-    assert rows[(date(2019, 10, 1), "appliances")]["net_cart_adds"] == 0
+    row = rows[(date(2021, 3, 12), "garden")]
+    assert (row["sessions_with_view"], row["sessions_with_cart"], row["sessions_with_purchase"]) == (2, 0, 1)
+    assert (row["cart_abandonment_rate"], row["view_dropoff"], row["view_dropoff_rate"]) == (0.0, 2, 100.0)
+    row = rows[(date(2021, 3, 11), "lighting")]
+    assert (row["cart_abandonment_rate"], row["view_dropoff"], row["net_cart_adds"]) == (100.0, 0, 0)
 
 
 def test_abandonment_over_all_days_may_be_negative(silver):
     out = funnel.derive(funnel.aggregate(silver, by=["category_l1"]))
     rates = {r["category_l1"]: r["cart_abandonment_rate"] for r in out.collect()}
-    assert rates == {"appliances": 100.0, "electronics": -100.0}
+    assert rates == {"garden": -100.0, "kitchen": 0.0, "lighting": 100.0}
 
 
 @pytest.mark.parametrize("strategy", ["two_level", "expand"])
@@ -298,7 +300,7 @@ def test_audit_column_is_optional(silver):
 
 def test_quality_metrics(dirty, silver):
     row = quality_metrics(dirty, silver.limit(7)).first()
-    assert tuple(row) == (10, 7, 3, 70.0)
+    assert tuple(row) == (9, 7, 2, 77.78)
     none = quality_metrics(dirty.limit(0), silver.limit(0), F.lit(LOADED)).first()
     assert tuple(none) == (LOADED, 0, 0, 0, 0.0)
 
@@ -352,35 +354,35 @@ def test_first_match_without_default(spark):
 # reports
 
 def test_silver_reports(silver):
-    assert [tuple(r) for r in reports.event_type_distribution(silver).collect()][0] == ("view", 5)
+    assert [tuple(r) for r in reports.event_type_distribution(silver).collect()][0] == ("view", 7)
     assert reports.date_range(silver).first()["days_span"] == 1
-    assert [r["category_l1"] for r in reports.top_categories(silver, 1).collect()] == ["electronics"]
-    assert [r["brand"] for r in reports.top_brands(silver).collect()] == ["samsung", "apple", "philips"]
-    assert tuple(reports.default_fill_counts(silver).first()) == (10, 0, 0)
-    assert reports.events_between(silver, "2019-10-02", "2019-10-02").count() == 2
-    assert [r["event_type"] for r in reports.user_journey(silver, 5002).collect()] == ["view", "cart", "remove_from_cart"]
-    assert reports.purchases_in_category(silver, "electronics").count() == 2
-    assert {r["event_hour"]: r["total_revenue"] for r in reports.hourly_pattern(silver).collect()}[11] == 1299.99
+    assert [r["category_l1"] for r in reports.top_categories(silver, 1).collect()] == ["garden"]
+    assert [r["brand"] for r in reports.top_brands(silver).collect()] == ["birchwood", "lumen", "sproutco", "panco"]
+    assert tuple(reports.default_fill_counts(silver).first()) == (12, 0, 0)
+    assert reports.events_between(silver, "2021-03-12", "2021-03-12").count() == 5
+    assert [r["event_type"] for r in reports.user_journey(silver, 902).collect()] == ["view", "cart", "remove_from_cart"]
+    assert reports.purchases_in_category(silver, "garden").count() == 2
+    assert {r["event_hour"]: r["total_revenue"] for r in reports.hourly_pattern(silver).collect()}[20] == 24.5
 
 
 def test_gold_reports(silver):
     customers = customer.customer_metrics(silver, AS_OF)
-    assert reports.top_customers(customers, 1).first()["user_id"] == 5001
+    assert reports.top_customers(customers, 1).first()["user_id"] == 901
     assert reports.segment_distribution(customers).count() == 3
-    assert reports.customer_summary(customers).first()["total_revenue"] == 1599.98
+    assert reports.customer_summary(customers).first()["total_revenue"] == 27.7
     products = product.product_performance(silver)
-    assert [r["product_id"] for r in reports.top_products(products).collect()] == [1002, 1001, 1003]
-    assert reports.revenue_by_category(products).first()["total_revenue"] == 1599.98
-    assert reports.revenue_by_brand(products, 1).first()["brand"] == "apple"
+    assert [r["product_id"] for r in reports.top_products(products).collect()] == [31, 47, 52, 80]
+    assert reports.revenue_by_category(products).first()["total_revenue"] == 27.7
+    assert reports.revenue_by_brand(products, 1).first()["brand"] == "birchwood"
     assert reports.product_summary(products).first()["total_purchases"] == 2
     days = daily.daily_sales_summary(silver)
-    assert reports.revenue_trend(days, 1).first()["event_date"] == date(2019, 10, 2)
+    assert reports.revenue_trend(days, 1).first()["event_date"] == date(2021, 3, 12)
     assert reports.day_of_week(days).count() == 2
-    assert reports.daily_summary(days).first()["avg_daily_revenue"] == 799.99
+    assert reports.daily_summary(days).first()["avg_daily_revenue"] == 13.85
     stages = funnel.conversion_funnel(silver)
     assert reports.latest_funnel(stages, 2).count() == 2
-    assert reports.overall_funnel(stages).first()["overall_view_to_cart_rate"] == 50.0
-    assert reports.funnel_by_category(stages).first()["category_l1"] == "electronics"
+    assert reports.overall_funnel(stages).first()["overall_view_to_cart_rate"] == 33.33
+    assert reports.funnel_by_category(stages).first()["category_l1"] == "garden"
     assert reports.cart_abandonment(stages).count() == 0
-    assert reports.cart_abandonment(stages, min_sessions=0).first()["category_l1"] == "appliances"
+    assert reports.cart_abandonment(stages, min_sessions=0).first()["category_l1"] == "lighting"
     assert reports.funnel_summary(stages).first()["total_purchase_sessions"] == 2

@@ -63,19 +63,19 @@ def test_every_reason(spark):
 def test_expectation_counts(dirty):
     counts = {r["expectation"]: (r["passed"], r["failed"]) for r in q.expectation_counts(dirty).collect()}
     assert list(counts) == list(q.EXPECTATIONS)
-    assert counts["valid_event_time"] == (9, 1)
-    assert counts["price_is_positive"] == (9, 1)
-    assert counts["event_type_in_allowed_values"] == (9, 1)
+    assert counts["valid_event_time"] == (8, 1)
+    assert counts["price_is_positive"] == (8, 1)
+    assert counts["event_type_in_allowed_values"] == (8, 1)
     assert q.expectation_counts(dirty, q.CRITICAL).count() == 3
 
 
 def test_actions(dirty):
-    assert q.apply(dirty, q.EXPECTATIONS, "drop").count() == 7
+    assert q.apply(dirty, q.EXPECTATIONS, "drop").count() == 6
     warned = q.apply(dirty, q.EXPECTATIONS, "warn")
-    assert warned.count() == 10 and warned.filter("size(failed_expectations) > 0").count() == 3
+    assert warned.count() == 9 and warned.filter("size(failed_expectations) > 0").count() == 3
     with pytest.raises(Exception, match="expectation failed: critical_event_time"):
         q.apply(dirty, q.CRITICAL, "fail").count()
-    assert q.apply(dirty.filter("event_time IS NOT NULL"), q.CRITICAL, "fail").count() == 9
+    assert q.apply(dirty.filter("event_time IS NOT NULL"), q.CRITICAL, "fail").count() == 8
     with pytest.raises(ValueError):
         q.apply(dirty, q.CRITICAL, "ignore")
 
@@ -99,14 +99,14 @@ def test_flags(spark):
 
 
 def test_complete_row(raw):
-    assert q.flag_completeness(raw).filter("is_complete AND size(completeness_issues) = 0").count() == 5
+    assert q.flag_completeness(raw).filter("is_complete AND size(completeness_issues) = 0").count() == 6
 
 
 def test_report(dirty):
     report = q.report_dict(dirty)
     assert report["null_counts"] == {"event_time": 1, "category_code": 1, "brand": 1}
-    assert (report["total_records"], report["valid_records"]) == (10, 7)
-    assert report["quality_score"] == 70.0 and report["out_of_range_prices"] == 1
+    assert (report["total_records"], report["valid_records"]) == (9, 6)
+    assert report["quality_score"] == 66.67 and report["out_of_range_prices"] == 1
     assert report["invalid_event_types"] == 1
 
 
@@ -129,7 +129,7 @@ def test_valid_filter_reaches_the_scan(spark, dirty, tmp_path):
 
 def test_session_format(spark):
     df = spark.createDataFrame(
-        [("0c1a2b3d-0c1a-2b3d-4e5f-0c1a2b3d4e5f",), ("session-001",), (None,)], "user_session string"
+        [("0c1a2b3d-0c1a-2b3d-4e5f-0c1a2b3d4e5f",), ("ann-4",), (None,)], "user_session string"
     )
     assert [r[0] for r in df.select(q.is_valid({}, session_format=True)).collect()] == [True, False, False]
 
@@ -179,9 +179,9 @@ def test_null_key_counts_as_a_value(spark):
 
 def test_sample_has_no_invalid_rows(spark):
     df = spark.createDataFrame(RAW_ROWS, RAW_SCHEMA)
-    assert q.filter_valid(df).count() == 5 and q.quarantined(df).count() == 0
+    assert q.filter_valid(df).count() == 6 and q.quarantined(df).count() == 0
 
 
 def test_rules_as_plain_sql(dirty):
     named = dirty.agg(*[F.count_if(q.passes(p)).alias(n) for n, p in q.PIPELINE_EXPECTATIONS.items()]).first()
-    assert named["valid_price"] == 9
+    assert named["valid_price"] == 8

@@ -19,26 +19,26 @@ def cleaned(dirty):
 def test_columns_and_rows(cleaned):
     assert cleaned.columns == [name for name, _ in SILVER_COLUMNS]
     assert [t for _, t in cleaned.dtypes] == [t for _, t in SILVER_COLUMNS]
-    assert cleaned.count() == 7
+    assert cleaned.count() == 6
 
 
 def test_upper_case_type_is_accepted(cleaned):
-    assert by_key(cleaned, "product_id")[1005]["event_type"] == "view"
+    assert by_key(cleaned, "product_id")[47]["event_type"] == "cart"
 
 
 def test_defaults_and_trimming(cleaned):
     rows = by_key(cleaned, "product_id")
-    assert [rows[p]["category_code"] for p in (1002, 1003, 1004)] == ["unknown", "unknown", "appliances.kitchen"]
-    assert [rows[p]["brand"] for p in (1002, 1003, 1004)] == ["unknown", "unknown", "philips"]
+    assert [rows[p]["category_code"] for p in (52, 60, 47)] == ["unknown", "unknown", "garden.seeds"]
+    assert [rows[p]["brand"] for p in (52, 60, 47)] == ["unknown", "unknown", "sproutco"]
     assert cleaned.filter("category_code IS NULL OR brand IS NULL OR trim(brand) = ''").count() == 0
 
 
 def test_category_levels(cleaned):
     rows = by_key(cleaned.dropDuplicates(["product_id"]), "product_id")
     levels = {p: (r["category_l1"], r["category_l2"], r["category_l3"]) for p, r in rows.items()}
-    assert levels[1001] == ("electronics", "smartphone", "android")
-    assert levels[1004] == ("appliances", "kitchen", None)
-    assert levels[1002] == ("unknown", None, None)
+    assert levels[31] == ("garden", "tools", "rake")
+    assert levels[80] == ("kitchen", None, None)
+    assert levels[52] == ("unknown", None, None)
 
 
 def test_date_parts(spark):
@@ -49,8 +49,8 @@ def test_date_parts(spark):
 
 def test_event_id_is_the_digest_of_the_key(spark, cleaned):
     assert cleaned.filter("event_id IS NULL").count() == 0
-    row = cleaned.filter("event_type = 'cart'").first()
-    text = "2019-10-01 00:01:00" + "5001" + "1001" + "session-001" + "cart"
+    row = cleaned.filter("event_type = 'cart' AND product_id = 31").first()
+    text = "2021-03-10 06:31:30" + "901" + "31" + "ann-3" + "cart"
     assert row["event_id"] == hashlib.sha256(text.encode()).hexdigest()
 
 
@@ -88,8 +88,8 @@ def test_silver_and_quarantine_add_up(dirty):
     gone = s.to_quarantine(dirty)
     assert kept.count() + gone.count() == dirty.count()
     assert rows_of(gone, "product_id", "quarantine_reason") == [
-        (1006, "negative_price"),
-        (1007, "null_event_time"),
+        (53, "null_event_time"),
+        (75, "negative_price"),
     ]
     assert gone.columns == [*dirty.columns, "quarantine_reason"]
 

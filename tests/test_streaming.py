@@ -57,7 +57,7 @@ def test_stream_equals_batch_and_takes_files_once(spark, place):
     put(place / "in", "b.csv", text_rows(DIRTY_ROWS[:1]))
     query = drain()
     out = tables.read_table(spark, target)
-    assert out.count() == 11
+    assert out.count() == 10
     files = [r[0].rsplit("/", 1)[1] for r in streaming.processed_files(out).collect()]
     assert files == ["a.csv", "b.csv"]
     state = streaming.progress(query)
@@ -80,7 +80,7 @@ def test_silver_stream_drops_copies_of_later_batches(spark, place):
         streaming.silver_stream(bronze_of(spark, place, max_files=1), "1 day"), str(place / "out"), str(place / "check"), []
     )
     streaming.run_available(query)
-    assert tables.read_table(spark, str(place / "out")).count() == 7
+    assert tables.read_table(spark, str(place / "out")).count() == 6
 
 
 def test_quarantine_stream_is_the_complement(spark, place):
@@ -100,14 +100,14 @@ def test_upsert_stream_merges_batches(spark, place):
     query = streaming.upsert_stream(rows, str(place / "out"), str(place / "check"))
     streaming.run_available(query)
     out = tables.read_table(spark, str(place / "out"))
-    assert out.count() == 7 and out.select("event_id").distinct().count() == 7
+    assert out.count() == 6 and out.select("event_id").distinct().count() == 6
 
 
 def test_insert_stream_adds_new_keys_only(spark, place):
     put(place / "in", "b.csv", text_rows(DIRTY_ROWS))
     query = streaming.insert_stream(bronze_of(spark, place, max_files=1), str(place / "out"), str(place / "check"))
     streaming.run_available(query)
-    assert tables.read_table(spark, str(place / "out")).count() == 9
+    assert tables.read_table(spark, str(place / "out")).count() == 8
 
 
 def test_new_column_after_restart(spark, place):
@@ -117,7 +117,7 @@ def test_new_column_after_restart(spark, place):
     put(place / "in", "b.csv", [(*text_rows(DIRTY_ROWS[:1])[0], "app")], HEAD + ",channel")
     streaming.run_available(streaming.start_append(bronze_of(spark, place, schema=wide), target, check))
     out = tables.read_table(spark, target, merge_schema=True)
-    assert rows_of(out.filter("channel IS NOT NULL"), "channel") == [("app",)] and out.count() == 11
+    assert rows_of(out.filter("channel IS NOT NULL"), "channel") == [("app",)] and out.count() == 10
 
 
 def test_continuous_query_can_be_watched_and_stopped(spark, place):
@@ -127,7 +127,7 @@ def test_continuous_query_can_be_watched_and_stopped(spark, place):
     query.processAllAvailable()
     assert not streaming.run_available(query, 1)
     assert streaming.progress(query)["is_active"] and streaming.stop(query)
-    assert tables.read_table(spark, str(place / "out")).count() == 10
+    assert tables.read_table(spark, str(place / "out")).count() == 9
 
 
 def test_failure_is_reported(spark, place):

@@ -109,7 +109,7 @@ def test_graph_refuses_circles():
 def test_batch_run_is_idempotent(spark, dirty, tmp_path):
     csv, root = str(tmp_path / "csv"), str(tmp_path / "lake")
     write_events_csv(dirty, csv)
-    at = pipeline.run_batch(spark, csv, root, as_of="2019-10-05")
+    at = pipeline.run_batch(spark, csv, root, as_of="2021-03-15")
     assert set(at) == set(pipeline.TABLES)
 
     def state():
@@ -118,19 +118,19 @@ def test_batch_run_is_idempotent(spark, dirty, tmp_path):
 
     first = state()
     assert {n: len(r) for n, r in first.items()} == {
-        "events_raw": 9, "events_cleaned": 7, "events_quarantine": 2, "customer_metrics": 5,
-        "product_performance": 5, "daily_sales_summary": 1, "conversion_funnel": 4, "data_quality_metrics": 1,
+        "events_raw": 8, "events_cleaned": 6, "events_quarantine": 2, "customer_metrics": 4,
+        "product_performance": 5, "daily_sales_summary": 1, "conversion_funnel": 3, "data_quality_metrics": 1,
     }
-    pipeline.run_batch(spark, csv, root, as_of="2019-10-05")
+    pipeline.run_batch(spark, csv, root, as_of="2021-03-15")
     assert state() == first
 
     # A second file: one late copy in other spelling, one new event of the same day.
-    late = dirty.filter("product_id = 1005").withColumn("event_type", F.lit("View"))
-    new = dirty.filter("product_id = 1004").withColumn("user_id", F.lit(9))
+    late = dirty.filter("product_id = 80").withColumn("event_type", F.lit("Purchase"))
+    new = dirty.filter("product_id = 47").withColumn("user_id", F.lit(9))
     write_events_csv(late.unionByName(new), str(tmp_path / "more"))
-    pipeline.run_batch(spark, str(tmp_path / "more"), root, as_of="2019-10-05")
+    pipeline.run_batch(spark, str(tmp_path / "more"), root, as_of="2021-03-15")
     after = state()
-    assert (len(after["events_raw"]), len(after["events_cleaned"])) == (11, 8)
+    assert (len(after["events_raw"]), len(after["events_cleaned"])) == (10, 7)
     assert set(first["events_cleaned"]) < set(after["events_cleaned"])
 
 

@@ -73,7 +73,7 @@ def test_table_insert_is_idempotent(spark, dirty, tmp_path):
     u.insert_new_table(dirty, path)
     first = rows_of(tables.read_table(spark, path))
     u.insert_new_table(dirty, path)
-    assert rows_of(tables.read_table(spark, path)) == first and len(first) == 9
+    assert rows_of(tables.read_table(spark, path)) == first and len(first) == 8
 
 
 def test_insert_prunes_the_target_by_batch_time(spark, dirty, tmp_path):
@@ -81,7 +81,7 @@ def test_insert_prunes_the_target_by_batch_time(spark, dirty, tmp_path):
     u.insert_new_table(dirty, path)
     timeless = dirty.filter("event_time IS NULL")
     u.insert_new_table(timeless, path)
-    assert tables.read_table(spark, path).count() == 9
+    assert tables.read_table(spark, path).count() == 8
 
 
 def test_full_write_may_read_what_it_replaces(spark, old, tmp_path):
