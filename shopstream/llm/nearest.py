@@ -110,7 +110,7 @@ def survivors(queries: np.ndarray, blocks: list[np.ndarray], bar: np.ndarray) ->
         part = x[v] - queries[q, seen : seen + x.shape[1]]
         partial = partial + np.einsum("ij,ij->i", part, part)
         seen += x.shape[1]
-        slack = 1 + SURE / math.sqrt(seen) if seen < total else 1 + 1e-9
+        slack = 1 + SURE / math.sqrt(seen) if seen < total else 1
         stay = partial * (total / seen) <= bar[q] * slack**2
         q, v, partial = q[stay], v[stay], partial[stay]
     return q, v, partial
@@ -127,10 +127,12 @@ def scan(
     n, m = len(vectors), len(queries)
     first = np.arange(n) if n <= FIRST else np.linspace(0, n - 1, FIRST).astype(int)
     square = (moved_queries**2).sum(1)[:, None] + (moved[first] ** 2).sum(1) - 2 * moved_queries @ moved[first].T
+    # Equal products may give distances that differ by rounding.
+    near = 1e-9 * ((moved_queries**2).sum(1) + (moved**2).sum(1).max())
     best = np.sort(square, 1)[:, :keep]
     if best.shape[1] < keep:
         best = np.pad(best, ((0, 0), (0, keep - best.shape[1])), constant_values=np.inf)
-    q, v = np.nonzero(square <= best[:, -1:])
+    q, v = np.nonzero(square <= (best[:, -1] + near)[:, None])
     found = [(q, first[v], square[q, v])]
     fresh = np.ones(n, bool)
     fresh[first] = False
@@ -141,7 +143,7 @@ def scan(
         if not len(at) or not len(asking):
             continue
         blocks = [moved[at, a : a + COLUMNS] for a in range(0, moved.shape[1], COLUMNS)]
-        q, v, square = survivors(moved_queries[asking], blocks, best[asking, -1])
+        q, v, square = survivors(moved_queries[asking], blocks, best[asking, -1] + near[asking])
         if not len(q):
             continue
         found.append((asking[q], at[v], square))
@@ -149,7 +151,7 @@ def scan(
         dense[q, v] = square
         best[asking] = np.sort(np.concatenate([best[asking], dense], 1), 1)[:, :keep]
     q, v, square = (np.concatenate(p) for p in zip(*found))
-    stay = square <= best[q, -1] + 1e-9 * np.abs(best[q, -1])
+    stay = square <= best[q, -1] + near[q]
     q, v = q[stay], v[stay]
     product = np.einsum("ij,ij->i", queries[q], vectors[v])
     order = np.lexsort((least[v], -product, q))
