@@ -10,9 +10,10 @@ some product of two blocks:
    their sizes. The range of shingle hashes is cut into ``k + 2`` parts; linked sets agree entirely in
    two parts at least. The hash of a part is a signature, and linked sets share one. Signatures of unrelated
    sets meet hardly ever, as a part holds several shingles.
-3. Sets that share a signature with a common anchor form a row block, cut into chunks of bounded
-   size. First each chunk is multiplied with itself and its anchor. Where that leaves sets of a signature
-   unconnected, the chunks concerned are multiplied with each other.
+3. Each set points to the leader it shares most signatures with; sets joined by such pointers form a family, a
+   row block cut into chunks of bounded size. First each chunk is multiplied with itself and the family's pivot, the set whose
+   signatures most others share: in a group of near copies it differs least from the rest and connects what can be connected. Where
+   that leaves sets of a signature unconnected, the chunks concerned are multiplied with each other.
 
 A product is computed in one task over column blocks and gives back a spanning forest of its links, not its pairs.
 """
@@ -31,9 +32,10 @@ from shopstream.llm.graph import components, written
 from shopstream.llm.words import mix, shingle_sets, words
 
 # Sets, and shingles of all its sets, of a row block.
-BLOCK_ROWS = 256
-BLOCK_SHINGLES = 1_000_000
-COLUMNS = 1 << 14
+BLOCK_ROWS = 1024
+BLOCK_SHINGLES = 2_000_000
+# Entries of a column block of the matrix.
+ENTRIES = 1 << 23
 SPARE = 1
 
 
@@ -70,6 +72,8 @@ def signatures(shingles: np.ndarray, classes: Classes) -> np.ndarray:
     fewer leaves those out, as it agrees in another part too; with more it keeps them.
     """
     out = []
+    if not len(shingles):
+        return np.zeros(0, np.uint64)
     scattered = mix(shingles + np.uint64(0x632BE59BD9B4E019))
     for c in classes.of(len(shingles)):
         parts = classes.parts(c)
@@ -118,19 +122,21 @@ def overlaps(sets: list[np.ndarray]) -> np.ndarray:
     order = np.argsort(at, kind="stable")
     row, at = row[order], at[order]
     total = np.zeros((n, n), np.float32)
-    for low in range(0, int(at[-1]) + 1 if len(at) else 0, COLUMNS):
-        a, b = np.searchsorted(at, [low, low + COLUMNS])
-        dense = np.zeros((n, min(COLUMNS, int(at[-1]) + 1 - low)), np.float32)
+    width = max(64, ENTRIES // n)
+    for low in range(0, int(at[-1]) + 1 if len(at) else 0, width):
+        a, b = np.searchsorted(at, [low, low + width])
+        dense = np.zeros((n, min(width, int(at[-1]) + 1 - low)), np.float32)
         dense[row[a:b], at[a:b] - low] = 1
         total += dense @ dense.T
-    return total.astype(np.int64)  # exact: counts stay below 2^24
+    return total  # exact: counts stay below 2^24
 
 
 def forest(sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
     """A spanning forest of the links among these sets, as (root, member) places."""
-    size = np.array([len(s) for s in sets])
-    bound = percent * (size[:, None] + size[None, :])
-    linked = overlaps(sets) * (100 + percent) >= bound
+    size = np.array([len(s) for s in sets], np.int64)
+    linked = np.empty((len(sets), len(sets)), bool)
+    for i, shared in enumerate(overlaps(sets)):
+        linked[i] = shared.astype(np.int64) * (100 + percent) >= percent * (size + size[i])
     out, left = [], np.ones(len(sets), bool)
     for root in range(len(sets)):
         if not left[root]:
@@ -195,31 +201,38 @@ def jaccard_components(
     signed = owners.select("node", F.explode("signatures").alias("signature"))
     buckets = (
         signed.groupBy("signature")
-        .agg(F.min("node").alias("leader"), F.max("node").alias("last"))
+        .agg(F.min("node").alias("leader"), F.max("node").alias("last"), F.count("*").alias("members"))
         .filter("leader < last")
         .drop("last")
     )
     met = written(signed.join(buckets, "signature").distinct(), "met")
-    # Anchor of a set: the leader it meets most often, the set itself if none is smaller.
-    anchors = (
-        met.groupBy("node", "leader").agg(F.count("*").alias("times"))
-        .groupBy("node").agg(F.max(F.struct("times", (-F.col("leader")).alias("minus"))).alias("best"))
-        .select("node", (-F.col("best.minus")).alias("anchor"))
+    # Anchor of a set: the leader it meets most often. Popularity: how many sets its signatures meet.
+    anchors = written(
+        met.groupBy("node", "leader").agg(F.count("*").alias("times"), F.sum("members").alias("members"))
+        .groupBy("node")
+        .agg(F.max(F.struct("times", (-F.col("leader")).alias("minus"))).alias("best"), F.sum("members").alias("popular"))
+        .select("node", (-F.col("best.minus")).alias("anchor"), "popular"),
+        "anchors",
     )
-    blocks = written(chunked(anchors.join(nodes.select("node", "n_shingles"), "node"), ["anchor"]), "blocks")
+    families = components(anchors.select(F.col("node").alias("a"), F.col("anchor").alias("b")))
+    placed_in = anchors.join(families, "node", "left").select("node", "popular", F.coalesce("label", "node").alias("family"))
+    blocks = written(chunked(placed_in.join(nodes.select("node", "n_shingles"), "node"), ["family"]), "blocks")
+    pivots = blocks.groupBy("family").agg(F.max(F.struct("popular", "node"))["node"].alias("pivot"))
     involved = blocks.select("node").join(nodes.select("node", *key, "least"), "node")
     texts = written(node_texts(docs, involved, k, id_col, text_col), "texts")
 
-    inner = blocks.select(F.struct("anchor", "chunk").alias("tile"), "node")
-    with_anchor = inner.select("tile", F.col("tile.anchor").alias("node"))
-    first = written(products(inner.unionByName(with_anchor).distinct(), texts, k, percent), "links")
+    inner = blocks.select(F.struct("family", "chunk").alias("tile"), "node")
+    tiles = inner.select("tile", F.col("tile.family").alias("family")).distinct().join(pivots, "family")
+    shared = tiles.select("tile", F.col("pivot").alias("node"))
+    first = written(products(inner.unionByName(shared).distinct(), texts, k, percent), "links")
     joined = components(first)
 
     # Signatures whose sets are not all connected yet: multiply their chunks with each other.
     now = blocks.join(joined, "node", "left").withColumn("label", F.coalesce("label", "node"))
-    main = now.filter("node = anchor").select("anchor", F.col("label").alias("main"))
-    now = now.drop("chunk").join(main, "anchor", "left").withColumn("side", F.col("label").eqNullSafe(F.col("main")))
-    now = written(chunked(now, ["anchor", "side"]).withColumn("block", F.struct("anchor", "side", "chunk")), "now")
+    main = now.select("node", "label").join(pivots.withColumnRenamed("pivot", "node").withColumnRenamed("family", "of"), "node")
+    main = main.select(F.col("of").alias("family"), F.col("label").alias("main"))
+    now = now.drop("chunk").join(main, "family", "left").withColumn("side", F.col("label").eqNullSafe(F.col("main")))
+    now = written(chunked(now, ["family", "side"]).withColumn("block", F.struct("family", "side", "chunk")), "now")
     placed = met.select("signature", "node").join(now.select("node", "label", "block"), "node")
     open_ = placed.groupBy("signature").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low < high")
     held = placed.join(open_.select("signature"), "signature").groupBy("signature", "block").agg(
