@@ -134,6 +134,17 @@ def test_batch_run_is_idempotent(spark, dirty, tmp_path):
     assert set(first["events_cleaned"]) < set(after["events_cleaned"])
 
 
+def test_a_load_with_a_slow_clock_is_not_lost(spark, dirty, tmp_path, monkeypatch):
+    real = pipeline.to_bronze
+    for i, stamp in enumerate(("2021-04-01 10:00:00", "2021-04-01 09:00:00", "2021-04-01 11:00:00")):
+        stamped = F.lit(stamp).cast("timestamp")
+        monkeypatch.setattr(pipeline, "to_bronze", lambda raw, at=stamped: real(raw, ingested_at=at))
+        csv = str(tmp_path / f"csv{i}")
+        write_events_csv(dirty.filter("product_id = 80").withColumn("user_id", F.lit(i + 1).cast("bigint")), csv)
+        at = pipeline.run_batch(spark, csv, str(tmp_path / "lake"), as_of="2021-04-01")
+    assert rows_of(tables.read_table(spark, at["events_cleaned"]), "user_id") == [(1,), (2,), (3,)]
+
+
 # session
 
 def test_session_settings(spark):
