@@ -38,7 +38,7 @@ def window(least: int) -> tuple[int, int]:
 def minimisers(w: Words, least: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """(text, place in words, fingerprint of the first words, of the rest up to ``least``) of each kept suffix.
 
-    Of suffixes of a text that begin alike the first is kept: repeats inside one document are not looked for.
+    All places of a text are kept, also those that begin alike: each may go on like another document.
     """
     k, width = window(least)
     every = long_runs(w.value, k)
@@ -55,11 +55,6 @@ def minimisers(w: Words, least: int) -> tuple[np.ndarray, np.ndarray, np.ndarray
     fits = at + least <= w.first[text[at] + 1]
     tail[fits] = rest[at[fits] + k]
     head = every[at]
-    order = np.lexsort((at, head, text[at]))
-    at, head, tail = at[order], head[order], tail[order]
-    new = np.ones(len(at), bool)
-    new[1:] = (text[at][1:] != text[at][:-1]) | (head[1:] != head[:-1])
-    at, head, tail = at[new], head[new], tail[new]
     return text[at], at - w.first[text[at]], head.view(np.int64), tail.view(np.int64)
 
 
@@ -102,8 +97,8 @@ NEIGHBOURS = "edge boolean, head bigint, tail bigint, a bigint, place_a int, b b
 def neighbours(suffixes: DataFrame) -> DataFrame:
     """Each suffix with the one before it in sorted order, where their first words are equal.
 
-    The order is spread over all tasks by range, hot beginnings too, as the whole key counts. The first and
-    last suffix of a task come out as ``edge`` rows, so that neighbours in two tasks can still meet.
+    The order is spread over all tasks by range, hot beginnings too, as the whole key counts; both may be of one
+    node. The first and last suffix of a task come out as ``edge`` rows, so that neighbours in two tasks can still meet.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -125,8 +120,8 @@ def neighbours(suffixes: DataFrame) -> DataFrame:
             head, tail, node, place = (np.array([v]) for v in last)
             yield neighbour_rows(True, head, tail, node, place, node, place)
 
-    ordered = suffixes.select("head", "tail", "node", "place").repartitionByRange("head", "tail", "node")
-    return map_arrow(ordered.sortWithinPartitions("head", "tail", "node"), run, NEIGHBOURS)
+    ordered = suffixes.select("head", "tail", "node", "place").repartitionByRange("head", "tail", "node", "place")
+    return map_arrow(ordered.sortWithinPartitions("head", "tail", "node", "place"), run, NEIGHBOURS)
 
 
 def neighbour_rows(edge, head, tail, a, place_a, b, place_b) -> pa.RecordBatch:
@@ -237,10 +232,11 @@ def repeated_passages(docs: DataFrame, least: int = LEAST, id_col: str = "doc_id
 
     Words stand between ASCII white space, A-Z lower-cased; ``spans`` are half-open word ranges, merged where they
     touch, and ``n_repeated`` their words. All holders of a passage come out, the first one too. Rows with
-    equal word sequences are copies of each other: the whole is their span (from ``least`` words up). Repeats inside one document do
-    not count. A null or shorter text has no row; rows with a null id take part and come out with it; other
-    columns are ignored; an empty table gives an empty result. No group is capped. Exact up to collisions of
-    64-bit hashes, but that a passage is found in a document where it stands first if it stands there twice.
+    equal word sequences are copies of each other: the whole is their span (from ``least`` words up). Repeats inside one
+    document do not count, but a passage that another row has too counts at each place where it stands. A null or
+    shorter text has no row; rows with a null id take part and come out with it; other columns are ignored; an empty
+    table gives an empty result. No group is capped. Exact up to collisions of
+    64-bit hashes.
     """
     made = written(features(docs, least, id_col, text_col), "suffix_features")
     key = ["seq_a", "seq_b", "n_words"]
@@ -265,14 +261,17 @@ def repeated_passages(docs: DataFrame, least: int = LEAST, id_col: str = "doc_id
         .withColumn("a", F.lag("b").over(order)).withColumn("place_a", F.lag("place_b").over(order))
         .filter("a IS NOT NULL").select("head", "a", "place_a", "b", "place_b")
     )
-    equal = met.filter("NOT edge").select("head", "a", "place_a", "b", "place_b").unionByName(ends).filter("a <> b")
-    members = written(
+    equal = met.filter("NOT edge").select("head", "a", "place_a", "b", "place_b").unionByName(ends)
+    alike = written(
         equal.select("head", F.col("a").alias("node"), F.col("place_a").alias("place"))
         .union(equal.select("head", "b", "place_b")).distinct(),
-        "suffix_members",
+        "suffix_alike",
     )
+    # Of suffixes that begin alike those count whose beginning two nodes have.
+    shared = alike.groupBy("head").agg(F.min("node").alias("low"), F.max("node").alias("high")).filter("low < high")
+    members = written(alike.join(shared.select("head"), "head"), "suffix_members")
     pairs = (
-        equal
+        equal.filter("a <> b")
         .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"),
                 F.when(F.col("a") < F.col("b"), F.col("place_a") - F.col("place_b")).otherwise(F.col("place_b") - F.col("place_a")).alias("shift"))
         .groupBy("a", "b").agg(F.collect_set("shift").alias("shifts"))

@@ -82,3 +82,15 @@ def test_awkward_rows(spark):
     assert [r for r in got if r[0] != 22] == [r for r in want if r[0] != 22]
     assert [r[0] for r in got].count(22) == 1
     assert found(spark, [], 50) == []
+
+
+def test_repeats_inside_a_document(spark):
+    # Each pair shares one passage; one document has its clause once more before, or the whole passage twice.
+    rows = []
+    for i in range(60):
+        passage = prose(2000 + i, 57, 10**6)
+        clause = passage[: 32 + i % 18] if i % 3 else passage
+        rows.append((2 * i, " ".join([*prose(3000 + i, 9, 10**6), *clause, *prose(4000 + i, 7, 10**6), *passage])))
+        rows.append((2 * i + 1, " ".join([*prose(5000 + i, 9, 10**6), *passage, *prose(6000 + i, 9, 10**6)])))
+    rows += [(200, "la " * 300), (201, "la " * 120 + "end"), (202, "x " + "la " * 49 + "y")]
+    assert found(spark, rows, 50) == brute(rows, 50)
