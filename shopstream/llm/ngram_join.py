@@ -280,8 +280,20 @@ def node_texts(docs: DataFrame, involved: DataFrame, k: int, id_col: str, text_c
 
 
 def keep_one(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row of ``docs`` for each component, that of the smallest id; rows with a null id all stay."""
-    found = jaccard_components(docs, k, percent, id_col, text_col)
-    kept = found.filter("doc_id = component_id").select(F.col("doc_id").alias(id_col)).distinct()
-    stay = docs.join(kept, id_col, "left_semi").dropDuplicates([id_col])
-    return stay.unionByName(docs.filter(F.col(f"`{id_col}`").isNull()))
+    """One row of ``docs`` for each component, that of the smallest id.
+
+    Rows are compared by their texts, whatever their ids: each gets a number of its own first. Rows with a null id
+    take part in the links, and where a component has such rows one of them stays beside that of the smallest id.
+    Rows without a word are linked with nothing and all stay.
+    """
+    number = "row"
+    while number in (c.lower() for c in docs.columns):
+        number += "_"
+    rows = written(docs.withColumn(number, F.monotonically_increasing_id()), "rows")
+    found = jaccard_components(rows, k, percent, number, text_col)
+    group = found.select(F.col("doc_id").alias(number), "component_id")
+    ids = rows.select(number, F.col(f"`{id_col}`").alias("id"))
+    least = group.join(ids, number).groupBy("component_id", F.col("id").isNull().alias("nameless")).agg(
+        F.min(F.struct("id", number))[number].alias(number)
+    )
+    return rows.join(least.select(number), number, "left_semi").select(*(F.col(f"`{c}`") for c in docs.columns))

@@ -77,6 +77,14 @@ def test_one_id_with_two_texts(spark):
     assert found == [(1, 2, 1), (1, 2, 1), (2, 2, 1), (3, 2, 1)]
 
 
+def test_keep_one_judges_rows_by_their_texts(spark):
+    rows = [(1, "a b c d"), (2, "e f g h"), (2, "a b c d"), (2, "i j k l"), (3, "I J K L"), (4, ""), (4, "")]
+    rows += [(None, "m n o p"), (None, "m n o p"), (None, "q r s t"), (5, "u v w x"), (5, "u v w x")]
+    kept = sorted(((r.doc_id, r.text) for r in keep_one(docs(spark, rows), 3, 90).collect()), key=str)
+    want = [(1, "a b c d"), (2, "e f g h"), (2, "i j k l"), (4, ""), (4, ""), (5, "u v w x"), (None, "m n o p"), (None, "q r s t")]
+    assert kept == sorted(want, key=str)
+
+
 def test_linked_sets_share_a_signature():
     rng = np.random.default_rng(1)
     for percent in (50, 80, 90, 99):
