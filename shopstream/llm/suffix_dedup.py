@@ -7,9 +7,9 @@ to ``least``, so those with a long common beginning are neighbours. Each is comp
 if the first ``k`` words are equal, the two documents are laid side by side at that shift and
 every common run is extended left and right as far as it goes.
 
-A suffix may share ``k`` words with its neighbours and ``least`` with one further away, to the left. So where
-a suffix with equals is not inside a run found so far, the runs of ``least`` words around all suffixes that begin like it are
-compared by their hashes.
+A suffix may share ``k`` words with its neighbours and ``least`` with one further away. So where three or more
+suffixes begin alike, and the runs found so far do not hold all words of the windows that chose one of them, the windows
+of ``least`` words that chose any of them are compared by their hashes.
 """
 
 from __future__ import annotations
@@ -35,8 +35,9 @@ def window(least: int) -> tuple[int, int]:
     return k, least - k + 1
 
 
-def minimisers(w: Words, least: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(text, place in words, fingerprint of the first words, of the rest up to ``least``) of each kept suffix.
+def minimisers(w: Words, least: int) -> tuple[np.ndarray, ...]:
+    """(text, place in words, first and last start of the windows that chose it, fingerprint of the first words, of the
+    rest up to ``least``) of each kept suffix. The windows that choose a place follow each other.
 
     All places of a text are kept, also those that begin alike: each may go on like another document.
     """
@@ -47,15 +48,18 @@ def minimisers(w: Words, least: int) -> tuple[np.ndarray, np.ndarray, np.ndarray
     start = start[text[start] == text[start + least - 1]]
     if not len(start):
         none = np.zeros(0, np.int64)
-        return none, none, none, none
+        return none, none, none, none, none, none
     views = np.lib.stride_tricks.sliding_window_view(every, width)
-    at = np.unique(start + views[start].argmin(1))
+    chosen = start + views[start].argmin(1)  # rises with the start
+    new = np.flatnonzero(np.diff(chosen, prepend=-1))
+    at, first, last = chosen[new], start[new], start[np.append(new[1:], len(start)) - 1]
     rest = long_runs(w.value, least - k)
     tail = np.zeros(len(at), np.uint64)
     fits = at + least <= w.first[text[at] + 1]
     tail[fits] = rest[at[fits] + k]
     head = every[at]
-    return text[at], at - w.first[text[at]], head.view(np.int64), tail.view(np.int64)
+    begin = w.first[text[at]]
+    return text[at], at - begin, first - begin, last - begin, head.view(np.int64), tail.view(np.int64)
 
 
 def sequences(w: Words) -> tuple[np.ndarray, np.ndarray]:
@@ -71,13 +75,15 @@ def sequences(w: Words) -> tuple[np.ndarray, np.ndarray]:
 
 def features(docs: DataFrame, least: int, id_col: str, text_col: str) -> DataFrame:
     """``doc_id, n_words, seq_a, seq_b, suffixes`` of each row."""
-    kind = pa.list_(pa.struct([("head", pa.int64()), ("tail", pa.int64()), ("place", pa.int32())]))
+    places = ["place", "first", "last"]
+    kind = pa.list_(pa.struct([("head", pa.int64()), ("tail", pa.int64()), *((c, pa.int32()) for c in places)]))
 
     def work(block: pa.RecordBatch) -> pa.RecordBatch:
         w = words(block.column(1))
-        text, place, head, tail = minimisers(w, least)
+        text, place, first, last, head, tail = minimisers(w, least)
         values = pa.StructArray.from_arrays(
-            [pa.array(head, pa.int64()), pa.array(tail, pa.int64()), pa.array(place, pa.int32())], names=["head", "tail", "place"]
+            [*(pa.array(v, pa.int64()) for v in (head, tail)), *(pa.array(v, pa.int32()) for v in (place, first, last))],
+            names=["head", "tail", *places],
         )
         offsets = np.searchsorted(text, np.arange(block.num_rows + 1)).astype(np.int32)
         a, b = sequences(w)
@@ -87,11 +93,14 @@ def features(docs: DataFrame, least: int, id_col: str, text_col: str) -> DataFra
         )
 
     id_kind = dict(docs.dtypes)[id_col]
-    schema = f"doc_id {id_kind}, n_words bigint, seq_a bigint, seq_b bigint, suffixes array<struct<head:bigint,tail:bigint,place:int>>"
+    schema = f"doc_id {id_kind}, n_words bigint, seq_a bigint, seq_b bigint, suffixes array<struct<head:bigint,tail:bigint,place:int,first:int,last:int>>"
     return map_blocks(narrow(docs, doc_id=id_col, text=text_col), work, schema)
 
 
-NEIGHBOURS = "edge boolean, head bigint, tail bigint, a bigint, place_a int, b bigint, place_b int"
+SUFFIX = ["node", "place", "first", "last"]
+NEIGHBOURS = (
+    "edge boolean, head bigint, tail bigint, a bigint, place_a int, first_a int, last_a int, b bigint, place_b int, first_b int, last_b int"
+)
 
 
 def neighbours(suffixes: DataFrame) -> DataFrame:
@@ -106,34 +115,30 @@ def neighbours(suffixes: DataFrame) -> DataFrame:
         for some in batches:
             if not some.num_rows:
                 continue
-            columns = [some.column(i).to_numpy(zero_copy_only=False) for i in range(4)]
-            edges = [0] if last is None else []
-            if last is not None:
+            columns = [some.column(i).to_numpy(zero_copy_only=False) for i in range(6)]
+            begins = last is None
+            if not begins:
                 columns = [np.concatenate([[v], c]) for v, c in zip(last, columns)]
-            head, tail, node, place = columns
+            head, tail, *suffix = columns
             same = np.flatnonzero(head[1:] == head[:-1]) + 1
-            yield neighbour_rows(False, head[same], tail[same], node[same - 1], place[same - 1], node[same], place[same])
-            if edges:
-                yield neighbour_rows(True, head[:1], tail[:1], node[:1], place[:1], node[:1], place[:1])
+            yield neighbour_rows(False, head[same], tail[same], [v[same - 1] for v in suffix], [v[same] for v in suffix])
+            if begins:
+                yield neighbour_rows(True, head[:1], tail[:1], [v[:1] for v in suffix], [v[:1] for v in suffix])
             last = [c[-1] for c in columns]
         if last is not None:
-            head, tail, node, place = (np.array([v]) for v in last)
-            yield neighbour_rows(True, head, tail, node, place, node, place)
+            head, tail, *suffix = (np.array([v]) for v in last)
+            yield neighbour_rows(True, head, tail, suffix, suffix)
 
-    ordered = suffixes.select("head", "tail", "node", "place").repartitionByRange("head", "tail", "node", "place")
+    ordered = suffixes.select("head", "tail", *SUFFIX).repartitionByRange("head", "tail", "node", "place")
     return map_arrow(ordered.sortWithinPartitions("head", "tail", "node", "place"), run, NEIGHBOURS)
 
 
-def neighbour_rows(edge, head, tail, a, place_a, b, place_b) -> pa.RecordBatch:
+def neighbour_rows(edge: bool, head: np.ndarray, tail: np.ndarray, a: list, b: list) -> pa.RecordBatch:
+    sides = [v.astype(np.int32) if i else v.astype(np.int64) for side in (a, b) for i, v in enumerate(side)]
+    names = [c if c != "node" else "" for c in SUFFIX]
     return batch(
-        ["edge", "head", "tail", "a", "place_a", "b", "place_b"],
-        [
-            pa.array(np.full(len(head), edge)),
-            *(pa.array(v.astype(np.int64)) for v in (head, tail, a)),
-            pa.array(place_a.astype(np.int32)),
-            pa.array(b.astype(np.int64)),
-            pa.array(place_b.astype(np.int32)),
-        ],
+        ["edge", "head", "tail", *(f"{c}_{side}".lstrip("_") for side in "ab" for c in names)],
+        [pa.array(np.full(len(head), edge)), *(pa.array(v.astype(np.int64)) for v in (head, tail)), *map(pa.array, sides)],
     )
 
 
@@ -170,46 +175,59 @@ def extend(pairs: DataFrame, least: int) -> DataFrame:
 def around(members: DataFrame, aligned: DataFrame, texts: DataFrame, least: int) -> DataFrame:
     """``node, start, end`` of runs of ``least`` words that the alignment of neighbours has missed.
 
-    ``members`` has the suffixes with equals. Those inside an aligned run are done; for the others, all runs of
-    ``least`` words that hold a suffix with the same head are compared.
+    ``members`` has the suffixes with equals. Two that begin alike have been aligned with each other. Of more, those
+    are done whose windows lie in aligned runs with all their words; for the others, the windows of all suffixes
+    with the same head are compared.
     """
-    k, width = window(least)
-    inside = F.exists("spans", lambda s: (s["start"] <= F.col("place")) & (s["end"] >= F.col("place") + k))
-    missing = members.join(aligned, "node", "left").filter(~F.coalesce(inside, F.lit(False))).select("head", "node", "place")
+    inside = F.exists("spans", lambda s: (s["start"] <= F.col("first")) & (s["end"] >= F.col("last") + least))
+    many = members.groupBy("head").agg(F.count("*").alias("n")).filter("n > 2").select("head")
+    missing = (
+        members.join(many, "head").join(aligned, "node", "left").filter(~F.coalesce(inside, F.lit(False)))
+        .select("head", "node", "first", "last")
+    )
     missing = written(missing, "suffix_missing")
     asked = members.join(missing.select("head").distinct(), "head")
 
-    def runs_of(rows: DataFrame) -> DataFrame:
-        return rows.groupBy("node").agg(F.collect_set("place").alias("places")).join(texts, "node").select("node", "text", "places")
+    def windows_of(rows: DataFrame) -> DataFrame:
+        chosen = rows.groupBy("node").agg(F.collect_set(F.struct("first", "last")).alias("chosen"))
+        return chosen.join(texts, "node").select("node", "text", "chosen")
 
-    def hashes(block: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    def hashes(block: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Hash, node, start and row in the block of each window."""
         w = words(block.column(1))
         every = long_runs(w.value, least)
-        row, start = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-        for i, places in enumerate(block.column(2).to_pylist()):
-            at = np.unique(np.subtract.outer(np.array(places, np.int64), np.arange(width)).ravel())
-            at = at[(at >= 0) & (at + least <= w.first[i + 1] - w.first[i])]
-            row.append(np.full(len(at), i))
-            start.append(at)
-        row, start = np.concatenate(row), np.concatenate(start)
-        return every[w.first[row] + start].view(np.int64), block.column(0).to_numpy()[row], start
+        chosen = block.column(2)
+        row = np.repeat(np.arange(block.num_rows), np.diff(chosen.offsets.to_numpy()))
+        first, last = (chosen.flatten().field(c).to_numpy().astype(np.int64) for c in ("first", "last"))
+        count = last - first + 1
+        start = np.repeat(first - np.cumsum(count) + count, count) + np.arange(count.sum())
+        row = np.repeat(row, count)
+        return every[w.first[row] + start].view(np.int64), block.column(0).to_numpy()[row], start, row
 
     def holders(block: pa.RecordBatch) -> pa.RecordBatch:
         """Least and greatest node of each run of words: equal runs of a block are one row."""
-        value, node, _ = hashes(block)
+        value, node, *_ = hashes(block)
         order = np.lexsort((node, value))
         value, node = value[order], node[order]
         first = np.flatnonzero(np.diff(value, prepend=value[:1] - 1)) if len(value) else np.zeros(0, np.int64)
         last = np.append(first[1:], len(value))[: len(first)] - 1
         return batch(["value", "low", "high"], [pa.array(value[first]), pa.array(node[first]), pa.array(node[last])])
 
-    def places_of(block: pa.RecordBatch) -> pa.RecordBatch:
-        value, node, start = hashes(block)
-        return batch(["value", "node", "start"], [pa.array(value), pa.array(node), pa.array(start.astype(np.int32))])
-
-    held = map_blocks(runs_of(asked), holders, "value bigint, low bigint, high bigint")
+    def open_places(block: pa.RecordBatch) -> pa.RecordBatch:
+        """Windows with words outside the aligned runs."""
+        value, node, start, row = hashes(block)
+        bounds = np.searchsorted(row, np.arange(block.num_rows + 1))
+        left = np.ones(len(start), bool)
+        for low, high, spans in zip(bounds[:-1], bounds[1:], block.column(3).to_pylist()):
+            if spans:
+                begin, end = (np.array([s[c] for s in spans]) for c in ("start", "end"))
+                at = np.searchsorted(begin, start[low:high], "right") - 1
+                left[low:high] = (at < 0) | (end[at] < start[low:high] + least)
+        return batch(["value", "node", "start"], [pa.array(value[left]), pa.array(node[left]), pa.array(start[left].astype(np.int32))])
+
+    held = map_blocks(windows_of(asked), holders, "value bigint, low bigint, high bigint")
     shared = held.groupBy("value").agg(F.min("low").alias("low"), F.max("high").alias("high")).filter("low < high")
-    own = map_blocks(runs_of(missing), places_of, "value bigint, node bigint, start int")
+    own = map_blocks(windows_of(missing).join(aligned, "node", "left"), open_places, "value bigint, node bigint, start int")
     return own.join(shared.select("value"), "value").select("node", "start", (F.col("start") + least).alias("end"))
 
 
@@ -252,19 +270,20 @@ def repeated_passages(docs: DataFrame, least: int = LEAST, id_col: str = "doc_id
     for column in key:
         same = same & (F.col(f"o.{column}") == F.col(f"n.{column}"))
     owned = owners.alias("o").join(nodes.alias("n"), same).select("n.node", "suffixes")
-    suffixes = owned.select("node", F.explode("suffixes").alias("s")).select("s.head", "s.tail", "node", "s.place").distinct()
+    suffixes = owned.select("node", F.explode("suffixes").alias("s")).select("node", "s.*").distinct()
     met = written(neighbours(written(suffixes, "suffixes")), "neighbours")
     # Ends of tasks: two rows for each task, compared with the one before in the same order.
     order = Window.partitionBy("head").orderBy("tail", "b", "place_b")
+    side_a, side_b = (["head", side, *(f"{c}_{side}" for c in SUFFIX[1:])] for side in "ab")
     ends = (
-        met.filter("edge").select("head", "tail", "b", "place_b").distinct()
-        .withColumn("a", F.lag("b").over(order)).withColumn("place_a", F.lag("place_b").over(order))
-        .filter("a IS NOT NULL").select("head", "a", "place_a", "b", "place_b")
+        met.filter("edge").select(*side_b, "tail").distinct()
+        .withColumns({a: F.lag(b).over(order) for a, b in zip(side_a[1:], side_b[1:])})
+        .filter("a IS NOT NULL")
     )
-    equal = met.filter("NOT edge").select("head", "a", "place_a", "b", "place_b").unionByName(ends)
+    both = [*side_a, *side_b[1:]]
+    equal = met.filter("NOT edge").select(*both).unionByName(ends.select(*both))
     alike = written(
-        equal.select("head", F.col("a").alias("node"), F.col("place_a").alias("place"))
-        .union(equal.select("head", "b", "place_b")).distinct(),
+        equal.select(*side_a).union(equal.select(*side_b)).toDF("head", *SUFFIX).distinct(),
         "suffix_alike",
     )
     # Of suffixes that begin alike those count whose beginning two nodes have.

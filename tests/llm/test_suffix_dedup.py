@@ -94,3 +94,16 @@ def test_repeats_inside_a_document(spark):
         rows.append((2 * i + 1, " ".join([*prose(5000 + i, 9, 10**6), *passage, *prose(6000 + i, 9, 10**6)])))
     rows += [(200, "la " * 300), (201, "la " * 120 + "end"), (202, "x " + "la " * 49 + "y")]
     assert found(spark, rows, 50) == brute(rows, 50)
+
+
+def test_hot_clause_with_two_surroundings(spark):
+    # Documents of one variant share words before the clause, and neighbours may be of the other.
+    rng = random.Random(5)
+    rows = []
+    for i in range(80):
+        clause = prose(7000 + i, 60, 10**6)
+        before, after = ([prose(base + 2 * i + v, 15, 10**6) for v in (0, 1)] for base in (8000, 9000))
+        for j in range(6):
+            text = [*before[rng.randrange(2)], *clause, *after[rng.randrange(2)]]
+            rows.append((10 * i + j, " ".join([*prose(10**5 + 10 * i + j, 9, 10**6), *text, *prose(10**6 + 10 * i + j, 9, 10**6)])))
+    assert found(spark, rows, 50) == brute(rows, 50)
