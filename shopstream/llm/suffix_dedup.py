@@ -175,18 +175,17 @@ def extend(pairs: DataFrame, least: int) -> DataFrame:
 def around(members: DataFrame, aligned: DataFrame, texts: DataFrame, least: int) -> DataFrame:
     """``node, start, end`` of runs of ``least`` words that the alignment of neighbours has missed.
 
-    ``members`` has the suffixes with equals. Two that begin alike have been aligned with each other. Of more, those
-    are done whose windows lie in aligned runs with all their words; for the others, the windows of all suffixes
-    with the same head are compared.
+    ``members`` has the suffixes with equals, and in ``n`` how many begin alike. Two have been aligned with each other.
+    Of more, those are done whose windows lie in aligned runs with all their words; for the others, the windows of
+    all suffixes with the same head are compared.
     """
     inside = F.exists("spans", lambda s: (s["start"] <= F.col("first")) & (s["end"] >= F.col("last") + least))
-    many = members.groupBy("head").agg(F.count("*").alias("n")).filter("n > 2").select("head")
     missing = (
-        members.join(many, "head").join(aligned, "node", "left").filter(~F.coalesce(inside, F.lit(False)))
+        members.filter("n > 2").join(aligned, "node", "left").filter(~F.coalesce(inside, F.lit(False)))
         .select("head", "node", "first", "last")
     )
     missing = written(missing, "suffix_missing")
-    asked = members.join(missing.select("head").distinct(), "head")
+    asked = members.join(written(missing.select("head").distinct(), "suffix_asked"), "head")
 
     def windows_of(rows: DataFrame) -> DataFrame:
         chosen = rows.groupBy("node").agg(F.collect_set(F.struct("first", "last")).alias("chosen"))
@@ -286,9 +285,14 @@ def repeated_passages(docs: DataFrame, least: int = LEAST, id_col: str = "doc_id
         equal.select(*side_a).union(equal.select(*side_b)).toDF("head", *SUFFIX).distinct(),
         "suffix_alike",
     )
-    # Of suffixes that begin alike those count whose beginning two nodes have.
-    shared = alike.groupBy("head").agg(F.min("node").alias("low"), F.max("node").alias("high")).filter("low < high")
-    members = written(alike.join(shared.select("head"), "head"), "suffix_members")
+    # Of suffixes that begin alike those count whose beginning two nodes have. The table of beginnings is written, so
+    # that a hot one is split in the join.
+    shared = written(
+        alike.groupBy("head").agg(F.min("node").alias("low"), F.max("node").alias("high"), F.count("*").alias("n"))
+        .filter("low < high").select("head", "n"),
+        "suffix_heads",
+    )
+    members = alike.join(shared, "head")
     pairs = (
         equal.filter("a <> b")
         .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"),
