@@ -13,8 +13,8 @@ from shopstream.llm import bpe_codec, decontaminate, ngram_join, quality_rules,
 from shopstream.llm.graph import written
 from shopstream.llm.queries import fold
 
-# Below the query's threshold: here a clean document lost costs more than a doubtful one kept.
-REJECT_BELOW = 0.5
+# The query's own decision.
+REJECT_BELOW = 0.7
 MASK = "[secret]"
 
 

@@ -96,6 +96,13 @@ def test_nearest(spark):
     assert found.select("query_id").distinct().count() == 25
 
 
+def test_pipeline_keeps_what_the_classifier_predicts(spark):
+    docs = spark.read.parquet(f"{TESTDATA}/documents.parquet")
+    kept = {r.doc_id for r in corpus_pipeline.quality(spark, docs, TESTDATA).collect()}
+    predicted = {i for i, r in rows(spark, "op1_quality").items() if r.predicted == 1}
+    assert kept == predicted
+
+
 def test_pipeline(spark, texts):
     docs = spark.read.parquet(f"{TESTDATA}/documents.parquet")
     kinds, left = docs.dtypes, docs.count()
