@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from shopstream.llm import (
     bpe_codec,
     decontaminate,
+    divergence,
     language_id,
     nearest,
     ngram_join,
@@ -16,7 +17,9 @@ from shopstream.llm import (
     secret_scan,
     suffix_dedup,
     token_count,
+    toxicity,
     url_rules,
+    vector_codes,
 )
 
 
@@ -107,6 +110,22 @@ def op10_decontaminate(spark, d):
     return decontaminate.contaminated(table(spark, d, "documents"), table(spark, d, "benchmark"))
 
 
+def op11_toxicity(spark, d):
+    docs = table(spark, d, "documents")
+    model = toxicity.fit(docs, table(spark, d, "labels").filter(fold("doc_id", 4) != 2))
+    return toxicity.scores(docs, model, 0.3).select(
+        "doc_id", F.coalesce(fold("doc_id", 4) == 2, F.lit(False)).alias("held_out"), "score", "predicted", "passages"
+    )
+
+
+def op12_divergence(spark, d):
+    return divergence.audit(table(spark, d, "documents"), least=30, top=50)
+
+
+def op13_vector_codes(spark, d):
+    return vector_codes.compress(table(spark, d, "embeddings"))
+
+
 QUERIES = {
     "op1_quality": op1_quality,
     "op2_bpe_codec": op2_bpe_codec,
@@ -118,4 +137,7 @@ QUERIES = {
     "op8_url_rules": op8_url_rules,
     "op9_language_id": op9_language_id,
     "op10_decontaminate": op10_decontaminate,
+    "op11_toxicity": op11_toxicity,
+    "op12_divergence": op12_divergence,
+    "op13_vector_codes": op13_vector_codes,
 }
