@@ -36,23 +36,20 @@ def compact(
     if only is not None and not there:
         raise ValueError(f"{path} has no partitions to choose from")
     partition_by = there
-    before = tables.data_files(spark, path)
+    folders = None if only is None else [tables.partition_folder(spark, there[0], v) for v in only]
+    before = tables.data_files(spark, path, folders)
     saved = spark.conf.get(ADVISORY)
     spark.conf.set(ADVISORY, str(file_bytes))
     try:
         df = tables.read_table(spark, path)
         if only is not None:
-            # Complete in the shared folder before any old file goes.
-            staged = scratch_path(spark, "compact")
-            df.filter(tables.in_partitions(partition_by[0], only)).write.parquet(staged)
-            tables.replace_partitions(spark.read.parquet(staged), path, partition_by)
-            tables.drop_path(spark, staged)
+            tables.replace_from_itself(df.filter(tables.in_partitions(partition_by[0], only)), path, partition_by)
         else:
             df = df if partition_by else df.hint("rebalance")
             tables.write_full(df, path, partition_by)
     finally:
         spark.conf.set(ADVISORY, saved)
-    return before, tables.data_files(spark, path)
+    return before, tables.data_files(spark, path, folders)
 
 
 def cluster(df: DataFrame, cols: Sequence[str], curve: str = "linear", files: int | None = None) -> DataFrame:

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shopstream.functions.numerics import first_match, pct
-from shopstream.schema import EVENT_KEY, EVENT_TYPES, PRICE_MAX, PRICE_MIN, REQUIRED
+from shopstream.schema import EVENT_KEY, EVENT_TYPES, MALFORMED, PRICE_MAX, PRICE_MIN, REQUIRED
 
 _ALLOWED = ", ".join(f"'{t}'" for t in EVENT_TYPES)
 
@@ -43,6 +43,7 @@ PIPELINE_EXPECTATIONS: dict[str, str] = {
     "valid_user_id": "user_id > 0",
     "valid_price": f"price BETWEEN {PRICE_MIN} AND {PRICE_MAX}",
 }
+# Fixed value: form of a session id.
 SESSION_PATTERN = r"^[a-f0-9\-]{30,40}$"
 
 
@@ -70,12 +71,19 @@ def filter_valid(df: DataFrame, rules: Mapping[str, str] = PIPELINE_EXPECTATIONS
     A filter drops a row whose predicate is NULL, so none of the wrapping of ``is_valid`` is
     needed and comparisons of stored columns reach the Parquet scan.
     """
-    return df.filter(conjunction(rules))
+    return df.filter(conjunction(well_formed(df, rules)))
 
 
-def quarantine_reason() -> Column:
-    """Name of the first defect in a fixed order of precedence."""
+def well_formed(df: DataFrame, rules: Mapping[str, str]) -> Mapping[str, str]:
+    """The rules, and that the record could be read, where the reader kept those that could not."""
+    return {"well_formed": f"{MALFORMED} IS NULL", **rules} if MALFORMED in df.columns else rules
+
+
+def quarantine_reason(malformed: bool = False) -> Column:
+    """Name of the first defect in a fixed order of precedence; ``malformed`` if the column of kept lines is there."""
+    first = [(F.col(MALFORMED).isNotNull(), "malformed")] if malformed else []
     named = (
+        *first,
         (F.col("event_time").isNull(), "null_event_time"),
         (F.col("event_type").isNull(), "null_event_type"),
         (F.col("product_id").isNull(), "null_product_id"),
@@ -96,10 +104,10 @@ def quarantined(
     at: Column | None = None,
 ) -> DataFrame:
     """The rows ``filter_valid`` leaves out, with the reason and, if given, a time."""
-    out = df.filter(~is_valid(rules))
+    out = df.filter(~is_valid(well_formed(df, rules)))
     extra = {"quarantine_timestamp": at} if at is not None else {}
     if with_reason:
-        extra["quarantine_reason"] = quarantine_reason()
+        extra["quarantine_reason"] = quarantine_reason(MALFORMED in df.columns)
     return out.withColumns(extra) if extra else out
 
 

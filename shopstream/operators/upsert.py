@@ -57,11 +57,7 @@ def insert_new_table(
     partition_by: Sequence[str] = ("event_type",),
     order: Sequence[str] = FIRST_SEEN,
 ) -> None:
-    """Append the new rows to a table, creating it on the first load.
-
-    Only target rows inside the batch's event-time range can match, so the key lookup
-    reads no others when the time is part of the key.
-    """
+    """Append the new rows to a table, creating it on the first load."""
     spark = source.sparkSession
     if not tables.exists(spark, target):
         tables.write_full(deduplicate(source, keys, order), target, partition_by)
@@ -69,14 +65,25 @@ def insert_new_table(
     # Written first: the batch is read three times and must be the same each time.
     path = scratch_path(spark, "batch")
     source.write.parquet(path)
-    batch = spark.read.parquet(path)
-    known = tables.read_table(spark, target)
+    batch = spark.read.schema(source.schema).parquet(path)
+    tables.append(new_rows(batch, target, keys, order), target, partition_by)
+    tables.drop_path(spark, path)
+
+
+def new_rows(
+    batch: DataFrame, target: str, keys: Sequence[str] = EVENT_KEY, order: Sequence[str] = FIRST_SEEN
+) -> DataFrame:
+    """The rows of a batch to append to a table.
+
+    Only target rows inside the batch's event-time range can match, so the key lookup
+    reads no others when the time is part of the key. The batch is read twice.
+    """
+    known = tables.read_table(batch.sparkSession, target)
     if {"event_time", "event_id"} & set(keys):  # the id is made from the time, among others
         low, high = batch.agg(F.min("event_time"), F.max("event_time")).first()
         undated = F.col("event_time").isNull()
         known = known.filter(undated if low is None else undated | F.col("event_time").between(low, high))
-    tables.append(insert_new(known, batch, keys, order), target, partition_by)
-    tables.drop_path(spark, path)
+    return insert_new(known, batch, keys, order)
 
 
 def upsert_table(
@@ -96,16 +103,16 @@ def upsert_table(
     Touched are the partitions of the batch, that of NULL included. With the default key a row cannot change its
     partition, as the id covers the event time; for keys that allow it set ``moves`` and
     the partitions now holding those rows are looked up and rewritten too.
-    The new content is complete in the shared folder before any old file goes, so
+    The new content is written once and complete before any old file goes, so
     tasks lost on the way are re-run from data that is still there.
     """
     spark = source.sparkSession
     if not tables.exists(spark, target):
         tables.write_full(deduplicate(source, keys, order), target, [partition_column])
         return
-    batch_path, merged_path = scratch_path(spark, "batch"), scratch_path(spark, "merged")
+    batch_path = scratch_path(spark, "batch")
     source.write.parquet(batch_path)
-    batch = spark.read.parquet(batch_path)
+    batch = spark.read.schema(source.schema).parquet(batch_path)
     current = tables.read_table(spark, target)
     touched = batch.select(partition_column)
     if moves:
@@ -119,13 +126,9 @@ def upsert_table(
         content = deduplicate(both, keys, order)
     else:
         content = upsert(before, batch, keys, order)
-    content.write.parquet(merged_path)
-    merged = spark.read.parquet(merged_path)
-    tables.replace_partitions(merged, target, [partition_column])
+    filled = tables.swap_partitions(content, target, partition_column)
     if moves:
-        left = {r[0] for r in merged.select(partition_column).distinct().collect()}
-        for value in set(values) - left:
-            tables.drop_partition(spark, target, tables.partition_folder(spark, partition_column, value))
+        for folder in {tables.partition_folder(spark, partition_column, v) for v in values} - set(filled):
+            tables.drop_partition(spark, target, folder)
         spark.catalog.refreshByPath(target)
-    for path in (batch_path, merged_path):
-        tables.drop_path(spark, path)
+    tables.drop_path(spark, batch_path)

@@ -18,6 +18,7 @@ from shopstream.operators.grains import (
     typed,
 )
 from shopstream.operators.silver import UNKNOWN
+from shopstream.operators.state import GRAIN_SUMS, Partial
 
 # Lower bounds of the purchase segments, best first.
 PURCHASE_SEGMENTS = ((10, "Champion"), (5, "Loyal"), (2, "Potential Loyalist"), (1, "New Customer"))
@@ -40,14 +41,13 @@ CORE = (
 _HOURS = 32
 
 
-def _activity(silver: DataFrame) -> DataFrame:
-    """Counts, revenue and dates per user."""
+def _activity_rows(silver: DataFrame) -> DataFrame:
     rows = typed(
         silver,
         ["user_id", "user_session", "product_id", "event_date", "event_hour", "event_time"],
         revenue=True,
     )
-    grains = entity_grains(
+    return entity_grains(
         rows,
         ["user_id"],
         {
@@ -64,6 +64,9 @@ def _activity(silver: DataFrame) -> DataFrame:
             F.max("event_time").alias("t_max"),
         ],
     )
+
+
+def _activity_of(grains: DataFrame) -> DataFrame:
     day = of("date", "event_date")
     bought_day = of("date", "CASE WHEN purchases > 0 THEN event_date END")
     busiest = F.max(of("hour", f"n * {_HOURS} + ({_HOURS - 1} - event_hour)"))
@@ -92,19 +95,16 @@ def _activity(silver: DataFrame) -> DataFrame:
     )
 
 
-def _favourites(silver: DataFrame) -> DataFrame:
-    """Distinct and most frequent category and brand per user, lowest name on a tie.
-
-    Reads none of the other branch's columns but the user, so the split costs no
-    extra input and keeps text out of that branch's buffers.
-    """
-    grains = entity_grains(
+def _favourite_rows(silver: DataFrame) -> DataFrame:
+    return entity_grains(
         silver.select("user_id", "category_l1", "brand"),
         ["user_id"],
         {"category": "category_l1", "brand": "brand"},
         [],
     )
 
+
+def _favourites_of(grains: DataFrame) -> DataFrame:
     def most_frequent(kind: str, column: str, condition: str) -> Column:
         hit = f"{ENTITY} = '{kind}' AND {condition}"
         return F.expr(
@@ -119,6 +119,14 @@ def _favourites(silver: DataFrame) -> DataFrame:
     )
 
 
+# Counts, revenue and dates per user.
+ACTIVITY = Partial(
+    _activity_rows, _activity_of, {**GRAIN_SUMS, "paid_units": "sum", "paid_max": "max", "t_min": "min", "t_max": "max"}
+)
+# Distinct and most frequent category and brand per user, lowest name on a tie. Reads none of the other's columns but
+# the user, so the split costs no extra input and keeps text out of the other's buffers.
+FAVOURITES = Partial(_favourite_rows, _favourites_of, {"n": "sum"})
+
 AGGREGATE_COLUMNS = (
     "user_id total_sessions total_events total_views total_cart_adds total_cart_removes "
     "total_purchases unique_products_viewed unique_products_carted unique_products_purchased "
@@ -135,7 +143,12 @@ def aggregate(silver: DataFrame) -> DataFrame:
     ``unique_products_viewed`` counts products of every event type: its name and value
     are kept as published.
     """
-    joined = _activity(silver).join(_favourites(silver), "user_id")
+    return combine(ACTIVITY.apply(silver), FAVOURITES.apply(silver))
+
+
+def combine(activity: DataFrame, favourites: DataFrame) -> DataFrame:
+    """The aggregates from their two finished parts."""
+    joined = activity.join(favourites, "user_id")
     paid = F.try_divide(F.col("total_revenue"), F.col("total_purchases").cast("double"))
     return joined.withColumn("avg_purchase_value", paid).select(*AGGREGATE_COLUMNS)
 
@@ -201,7 +214,7 @@ def customer_metrics(
     """
     today = as_of_date(silver, as_of)
     if columns == "core":
-        activity = _activity(silver).withColumn(
+        activity = ACTIVITY.apply(silver).withColumn(
             "avg_purchase_value",
             F.try_divide(F.col("total_revenue"), F.col("total_purchases").cast("double")),
         )

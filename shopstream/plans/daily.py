@@ -15,6 +15,7 @@ from shopstream.functions.numerics import (
     units,
 )
 from shopstream.operators.grains import distinct_if, entity_grains, total, type_sums, typed
+from shopstream.operators.state import GRAIN_SUMS, Partial
 
 CORE = (
     "event_date total_events total_views total_cart_adds total_purchases unique_users "
@@ -26,12 +27,16 @@ def aggregate(silver: DataFrame, approx: float | None = None) -> DataFrame:
     """One row per day. ``approx`` swaps exact distinct counts for sketches of that error."""
     if approx is not None:
         return _calendar(_sketched(silver, approx))
+    return PARTIAL.apply(silver)
+
+
+def _grains(silver: DataFrame) -> DataFrame:
     rows = typed(
         silver,
         ["event_date", "user_session", "user_id", "product_id", "category_l1", "brand"],
         revenue=True,
     )
-    grains = entity_grains(
+    return entity_grains(
         rows,
         ["event_date"],
         {
@@ -47,6 +52,9 @@ def aggregate(silver: DataFrame, approx: float | None = None) -> DataFrame:
             F.max("paid").alias("paid_max"),
         ],
     )
+
+
+def _days_of(grains: DataFrame) -> DataFrame:
     sold = "purchases > 0"
     days = grains.groupBy("event_date").agg(
         total("brand", "n").alias("total_events"),
@@ -67,6 +75,9 @@ def aggregate(silver: DataFrame, approx: float | None = None) -> DataFrame:
     return _calendar(days)
 
 
+PARTIAL = Partial(_grains, _days_of, {**GRAIN_SUMS, "paid_units": "sum", "paid_max": "max"})
+
+
 def _sketched(silver: DataFrame, error: float) -> DataFrame:
     """Same figures with approximate distinct counts: one small shuffle."""
     kind = F.col("event_type")

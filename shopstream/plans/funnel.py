@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from shopstream.functions.numerics import money, money_ratio, pct, units
 from shopstream.operators.grains import distinct_if, entity_grains, total, type_sums, typed
+from shopstream.operators.state import GRAIN_SUMS, Partial
 
 GRAIN = ("event_date", "category_l1")
 CORE = (
@@ -47,17 +48,28 @@ def aggregate(
     the literal list of eleven distinct counts (12 copies); both are exact.
     ``approx`` uses sketches of the given error instead.
     """
-    names = [c for c in AGGREGATE_COLUMNS if c not in GRAIN]
+    names = _names()
     if approx is not None or strategy == "expand":
         return _direct(silver, by, approx).select(*by, *names)
     if strategy != "two_level":
         raise ValueError(f"unknown strategy {strategy!r}")
-    grains = entity_grains(
+    return _stages_of(_grains(silver, by), by)
+
+
+def _names() -> list[str]:
+    return [c for c in AGGREGATE_COLUMNS if c not in GRAIN]
+
+
+def _grains(silver: DataFrame, by=GRAIN) -> DataFrame:
+    return entity_grains(
         typed(silver, [*by, "user_session", "user_id", "product_id"], revenue=True),
         by,
         {kind: column for kind, column, *_ in STAGES},
         [*type_sums(), F.sum("paid_units").alias("paid_units")],
     )
+
+
+def _stages_of(grains: DataFrame, by=GRAIN) -> DataFrame:
     distincts = [
         distinct_if(kind, column, reached and f"{reached} > 0").alias(name)
         for kind, column, *stage_names in STAGES
@@ -74,10 +86,13 @@ def aggregate(
             total("product", "purchases").alias("total_purchases"),
             money(total("product", "paid_units")).alias("total_revenue"),
         )
-        .select(*by, *names)
+        .select(*by, *_names())
     )
 
 
+PARTIAL = Partial(_grains, _stages_of, {**GRAIN_SUMS, "paid_units": "sum"})
+
+
 def _direct(silver: DataFrame, by, approx: float | None) -> DataFrame:
     kinds = dict(zip(_REACHED[1:], ("view", "cart", "purchase")))
 

@@ -59,6 +59,8 @@ SILVER_COLUMNS = (
     ("processed_timestamp", "timestamp"),
 )
 
+# Text of a record that could not be read as it stands; only where a reader was asked to keep it.
+MALFORMED = "malformed_line"
 
 _SPARK_TYPES = {
     "string": T.StringType(),

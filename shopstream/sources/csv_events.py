@@ -6,20 +6,33 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shopstream.schema import RAW_SCHEMA
+from shopstream.schema import MALFORMED, RAW_SCHEMA
 
 
 def read_events_csv(
-    spark: SparkSession, path: str, schema: T.StructType = RAW_SCHEMA, infer: bool = False
+    spark: SparkSession,
+    path: str,
+    schema: T.StructType = RAW_SCHEMA,
+    infer: bool = False,
+    keep_malformed: bool = False,
 ) -> DataFrame:
     """Scan a folder of headed CSV files; anything not named ``*.csv`` is left out.
 
     The schema is given unless ``infer`` asks for a profiling read. Malformed
-    numbers become NULL and end in quarantine instead of failing the load.
+    numbers become NULL and end in quarantine instead of failing the load; with ``keep_malformed`` the whole line of such a
+    record, and of one with too few or too many fields, comes along in a column of its own.
     """
     reader = spark.read.option("header", True).option("pathGlobFilter", "*.csv")
-    reader = reader.option("inferSchema", True) if infer else reader.schema(schema)
-    return reader.csv(path)
+    if infer:
+        return reader.option("inferSchema", True).csv(path)
+    if keep_malformed:
+        schema, reader = with_malformed(schema), reader.option("columnNameOfCorruptRecord", MALFORMED)
+    return reader.schema(schema).csv(path)
+
+
+def with_malformed(schema: T.StructType) -> T.StructType:
+    """A schema with a place for the text of records that do not fit it."""
+    return schema if MALFORMED in schema.names else T.StructType([*schema.fields, T.StructField(MALFORMED, T.StringType())])
 
 
 def write_events_csv(bronze: DataFrame, path: str, mode: str = "overwrite") -> None:

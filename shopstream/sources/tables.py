@@ -11,6 +11,8 @@ from collections.abc import Iterable, Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from shopstream.session import scratch_path
+
 
 def is_path(target: str) -> bool:
     return "/" in target
@@ -36,7 +38,7 @@ def read_table(spark: SparkSession, target: str, merge_schema: bool = False) ->
     return spark.read.option("mergeSchema", merge_schema).parquet(target)
 
 
-def _balanced(df: DataFrame, partition_by: Sequence[str]) -> DataFrame:
+def balanced(df: DataFrame, partition_by: Sequence[str]) -> DataFrame:
     """Group rows by partition value for few files each.
 
     The rebalance hint lets adaptive execution cut a hot value into several
@@ -57,23 +59,23 @@ def write_full(
     """
     spark = df.sparkSession
     if not is_path(target):
-        writer = _balanced(df, partition_by).write.format("parquet").mode("overwrite")
+        writer = balanced(df, partition_by).write.format("parquet").mode("overwrite")
         if partition_by:
             writer = writer.partitionBy(*partition_by)
         writer.saveAsTable(target)
         return
     target = target.rstrip("/")
     out = f"{target}__new_{uuid.uuid4().hex[:8]}" if staged else target
-    writer = _balanced(df, partition_by).write.mode("overwrite")
+    writer = balanced(df, partition_by).write.mode("overwrite")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.option("partitionOverwriteMode", "static").parquet(out)
     if staged:
-        _swap(spark, out, target)
+        swap(spark, out, target)
     spark.catalog.refreshByPath(target)
 
 
-def _swap(spark: SparkSession, staged: str, target: str) -> None:
+def swap(spark: SparkSession, staged: str, target: str) -> None:
     fs, new = _fs(spark, staged)
     _, current = _fs(spark, target)
     _, old = _fs(spark, f"{staged}_old")
@@ -88,9 +90,28 @@ def _swap(spark: SparkSession, staged: str, target: str) -> None:
         fs.delete(old, True)
 
 
+def move_files(spark: SparkSession, staged: str, target: str) -> None:
+    """Move the data files of a staged table into one with the same partition columns. Their names are unique to the write."""
+    fs, new = _fs(spark, staged)
+    _, root = _fs(spark, target)
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    fs.mkdirs(root)
+
+    def move(source, to) -> None:
+        for status in fs.listStatus(source):
+            name = status.getPath().getName()
+            if status.isDirectory():
+                fs.mkdirs(path(to, name))
+                move(status.getPath(), path(to, name))
+            elif not name.startswith(("_", ".")) and not fs.rename(status.getPath(), path(to, name)):
+                raise OSError(f"cannot move {name} to {target}")
+
+    move(new, root)
+
+
 def append(df: DataFrame, target: str, partition_by: Sequence[str] = ()) -> None:
     """Add rows to a table, creating it if needed."""
-    writer = _balanced(df, partition_by).write.mode("append")
+    writer = balanced(df, partition_by).write.mode("append")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     if is_path(target):
@@ -103,7 +124,7 @@ def append(df: DataFrame, target: str, partition_by: Sequence[str] = ()) -> None
 def replace_partitions(df: DataFrame, target: str, partition_by: Sequence[str]) -> None:
     """Replace just the partitions that occur in the frame."""
     (
-        _balanced(df, partition_by)
+        balanced(df, partition_by)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*partition_by)
@@ -112,6 +133,102 @@ def replace_partitions(df: DataFrame, target: str, partition_by: Sequence[str])
     df.sparkSession.catalog.refreshByPath(target)
 
 
+def swap_partitions(df: DataFrame, target: str, column: str) -> list[str]:
+    """Replace just the partitions that occur in the frame, whose rows may be computed from them.
+
+    They are written once, beside the table, and each folder is then moved in; a failed job leaves the table as it was. If it is
+    the moving that breaks off, some partitions are new and some old: repeat the change. For tables
+    partitioned by one column. Returns the names of the folders.
+    """
+    spark = df.sparkSession
+    staged = f"{target.rstrip('/')}__new_{uuid.uuid4().hex[:8]}"
+    balanced(df, [column]).write.partitionBy(column).parquet(staged)
+    fs, root = _fs(spark, target.rstrip("/"))
+    new, old = _fs(spark, staged)[1], _fs(spark, f"{staged}_old")[1]
+    fs.mkdirs(root)
+    fs.mkdirs(old)
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    folders = [n for n in children(spark, staged) if "=" in n]
+    for name in folders:
+        # A path made from parent and child is taken as it is, so escapes in the name stay.
+        current, before = path(root, name), path(old, name)
+        had = fs.exists(current)
+        if had and not fs.rename(current, before):
+            raise OSError(f"cannot set aside {name} of {target}")
+        if not fs.rename(path(new, name), current):
+            if had:
+                fs.rename(before, current)
+            raise OSError(f"cannot move {name} to {target}")
+    fs.delete(old, True)
+    fs.delete(new, True)
+    spark.catalog.refreshByPath(target)
+    return folders
+
+
+def children(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder; none if there is no such folder."""
+    fs, jpath = _fs(spark, path)
+    return [s.getPath().getName() for s in fs.listStatus(jpath)] if fs.exists(jpath) else []
+
+
+def touch(spark: SparkSession, path: str) -> None:
+    """Make an empty file."""
+    fs, jpath = _fs(spark, path)
+    fs.create(jpath, True).close()
+
+
+def replace_from_itself(df: DataFrame, target: str, partition_by: Sequence[str]) -> None:
+    """Replace the partitions that occur in a frame computed from them."""
+    if len(partition_by) == 1:
+        swap_partitions(df, target, partition_by[0])
+        return
+    # Complete in the shared folder before any old file goes.
+    staged = scratch_path(df.sparkSession, "replaced")
+    df.write.parquet(staged)
+    replace_partitions(df.sparkSession.read.schema(df.schema).parquet(staged), target, partition_by)
+    drop_path(df.sparkSession, staged)
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """A small text file, replaced if it is there."""
+    fs, jpath = _fs(spark, path)
+    out = fs.create(jpath, True)
+    try:
+        out.write(bytearray(text.encode()))
+    finally:
+        out.close()
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    """A small text file."""
+    return "\n".join(_lines(spark, path))
+
+
+def first_line(spark: SparkSession, path: str) -> str:
+    """The first line of a file; nothing behind it is read."""
+    return next(_lines(spark, path), "")
+
+
+def _lines(spark: SparkSession, path: str):
+    fs, jpath = _fs(spark, path)
+    utf8 = spark._jvm.java.nio.charset.StandardCharsets.UTF_8
+    reader = spark._jvm.java.io.BufferedReader(spark._jvm.java.io.InputStreamReader(fs.open(jpath), utf8))
+    try:
+        while (line := reader.readLine()) is not None:
+            yield line
+    finally:
+        reader.close()
+
+
+def files(spark: SparkSession, path: str, suffix: str) -> list[tuple[str, int]]:
+    """(path, time of change in ms) of the files directly in a folder whose names end in ``suffix``."""
+    fs, jpath = _fs(spark, path)
+    if not fs.exists(jpath):
+        return []
+    found = [(s.getPath(), s.getModificationTime()) for s in fs.listStatus(jpath) if not s.isDirectory()]
+    return [(p.toString(), t) for p, t in found if p.getName().endswith(suffix)]
+
+
 def drop_path(spark: SparkSession, path: str) -> None:
     """Remove an intermediate table."""
     fs, jpath = _fs(spark, path)
@@ -161,9 +278,14 @@ def partition_values(spark: SparkSession, target: str, column: str) -> list[str]
     return sorted(n[len(prefix):] for n in names if n.startswith(prefix))
 
 
-def data_files(spark: SparkSession, target: str) -> int:
-    """Number of data files below a path."""
-    return len(spark.read.parquet(target).inputFiles())
+def data_files(spark: SparkSession, target: str, folders: Sequence[str] | None = None) -> int:
+    """Number of data files below a path, or below some of its partition folders. Counted by the file system, no name is listed here."""
+    fs, root = _fs(spark, target)
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    if folders is not None:
+        some = [path(root, f) for f in folders]
+        return sum(fs.getContentSummary(p).getFileCount() for p in some if fs.exists(p))
+    return fs.getContentSummary(root).getFileCount() - int(fs.exists(path(root, "_SUCCESS")))
 
 
 def register_external(spark: SparkSession, name: str, path: str) -> DataFrame:

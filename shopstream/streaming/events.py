@@ -15,7 +15,8 @@ from pyspark.sql.streaming import StreamingQuery
 
 from shopstream.operators.silver import to_quarantine, to_silver
 from shopstream.operators.upsert import insert_new_table, upsert_table
-from shopstream.schema import EVENT_KEY, RAW_SCHEMA
+from shopstream.schema import EVENT_KEY, MALFORMED, RAW_SCHEMA
+from shopstream.sources.csv_events import with_malformed
 
 ONCE = {"availableNow": True}
 
@@ -25,13 +26,17 @@ def read_event_stream(
     path: str,
     schema: T.StructType = RAW_SCHEMA,
     max_files: int | None = None,
+    keep_malformed: bool = False,
     **options: str,
 ) -> DataFrame:
     """New CSV files of a folder as they appear.
 
-    ``max_files`` bounds a micro-batch. To take in new columns restart with a wider schema:
-    the sink's Parquet files may differ and are read with ``merge_schema``.
+    ``max_files`` bounds a micro-batch. To take in new columns restart with a wider schema, see
+    ``streaming.ledger``: the sink's Parquet files may differ and are read with ``merge_schema``. ``keep_malformed`` is
+    as in ``read_events_csv``.
     """
+    if keep_malformed:
+        schema, options = with_malformed(schema), {**options, "columnNameOfCorruptRecord": MALFORMED}
     reader = spark.readStream.schema(schema).option("header", True).option("pathGlobFilter", "*.csv")
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
@@ -107,7 +112,7 @@ def upsert_stream(
     def merge(batch: DataFrame, _: int) -> None:
         upsert_table(batch, target, keys, partition_column)
 
-    return _each_batch(df, merge, checkpoint, trigger)
+    return each_batch(df, merge, checkpoint, trigger)
 
 
 def insert_stream(
@@ -123,10 +128,10 @@ def insert_stream(
     def add(batch: DataFrame, _: int) -> None:
         insert_new_table(batch, target, keys, partition_by)
 
-    return _each_batch(df, add, checkpoint, trigger)
+    return each_batch(df, add, checkpoint, trigger)
 
 
-def _each_batch(df: DataFrame, work, checkpoint: str, trigger: Mapping[str, object]) -> StreamingQuery:
+def each_batch(df: DataFrame, work, checkpoint: str, trigger: Mapping[str, object]) -> StreamingQuery:
     return (
         df.writeStream.foreachBatch(work)
         .option("checkpointLocation", checkpoint)

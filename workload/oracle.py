@@ -12,9 +12,11 @@ from workload.queries import (
     AS_OF,
     CATEGORY,
     DAY_RANGE,
+    DELIVERIES,
     GRANTS,
     JOURNEY_USER,
     LAST_LOAD_DAY,
+    ORDERS_AS_OF,
     SEGMENT_USER,
 )
 
@@ -498,6 +500,34 @@ def _product_groups(column: str, where: str, n: int, more: str = "") -> str:
       ORDER BY {rnd(total('p.total_revenue'))} DESC, {column} LIMIT {n}"""
 
 
+KEY = "event_time, user_id, product_id, user_session, event_type"
+
+
+def _audience(period: str) -> str:
+    bought = "CASE WHEN event_type = 'purchase' THEN {} END"
+    return f"""SELECT CAST(date_trunc('{period}', event_date) AS DATE) AS period,
+      count(DISTINCT user_id) AS users, count(DISTINCT {bought.format('user_id')}) AS buyers,
+      count(DISTINCT product_id) AS products, count(DISTINCT {bought.format('product_id')}) AS products_sold
+      FROM csv_silver GROUP BY 1"""
+
+
+def _secured_views() -> str:
+    parts = []
+    for user, admin in ((SEGMENT_USER, False), ("analyst2@company.com", False), ("admin@company.com", True), ("x' OR true", False)):
+        name = "'" + user.replace("'", "''") + "'"
+        sees = "EXISTS (SELECT 1 FROM access a WHERE a.user_name = {} AND (a.is_admin OR a.{} = t.{}))"
+        parts += [
+            f"SELECT {name} AS user_name, 'segment' AS part, customer_segment AS value, count(*) AS n FROM customers t "
+            f"WHERE {sees.format(name, 'customer_segment', 'customer_segment')} GROUP BY 3",
+            f"SELECT {name}, 'category', category_l1, count(*) FROM products t "
+            f"WHERE {sees.format(name, 'category_l1', 'category_l1')} GROUP BY 3",
+            f"SELECT {name}, 'users', 'shown', {'count(*)' if admin else 'count(NULL)'} FROM customers",
+            f"SELECT {name}, 'rows', 'no_pii', count(*) FROM customers",
+            f"SELECT {name}, 'price', {chr(39) + 'clear' + chr(39) if admin else BAND}, count(*) FROM silver GROUP BY 3",
+        ]
+    return " UNION ALL ".join(parts)
+
+
 CUSTOMER_CORE = """SELECT user_id, total_sessions, total_events, total_views, total_cart_adds,
   total_purchases, unique_products_viewed, total_revenue, avg_purchase_value, first_activity_date,
   last_activity_date, unique_days_active, view_to_cart_rate, overall_conversion_rate,
@@ -652,7 +682,82 @@ STATEMENTS = {
       WHERE {REJECTED}""",
     "stream_upsert": f"SELECT {SILVER} FROM csv_silver",
     "batch_load": funnel_derived(f"({funnel_agg('csv_silver')})").strip(),
-    "processed_files": "SELECT true AS all_processed",
+    "processed_files": " UNION ALL ".join(
+        f"SELECT CAST({i} AS BIGINT) AS batch_id, true AS committed, CAST(1 AS BIGINT) AS files, count(*) AS input_rows "
+        f"FROM csv_bronze WHERE {rows}"
+        for i, rows in enumerate(DELIVERIES)
+    ),
+    "stream_progress": " UNION ALL ".join(
+        f"SELECT CAST({i} AS BIGINT) AS batch_id, count(*) AS input_rows FROM csv_bronze WHERE {rows}"
+        for i, rows in enumerate(DELIVERIES)
+    ),
+    "stream_late_rows": f"SELECT {SILVER}, day(event_time) <= 10 AS is_late FROM csv_silver",
+    "stream_new_column": f"""SELECT {RAW}, CASE WHEN day(event_time) > 15 THEN concat('c', user_id % 10) END AS coupon
+      FROM csv_bronze WHERE event_time IS NOT NULL""",
+    "batch_load_twice": customer_derived(f"({customer_agg('csv_silver')})", f"DATE '{AS_OF}'").strip(),
+    "batch_load_products": product_ranked(f"({product_derived('(' + product_agg('csv_silver') + ')')})").strip(),
+    "batch_load_days": daily_derived(f"({daily_agg('csv_silver')})", *ROWS).strip(),
+    "batch_load_funnel": funnel_derived(f"({funnel_agg('csv_silver')})").strip(),
+    "batch_load_quarantine": f"""SELECT {RAW}, {REASON} AS quarantine_reason FROM csv_bronze WHERE {REJECTED}
+      QUALIFY row_number() OVER (PARTITION BY {KEY} ORDER BY category_id, category_code, brand, price) = 1""",
+    "batch_load_quality": f"""SELECT raw_record_count, clean_record_count,
+      raw_record_count - clean_record_count AS filtered_record_count,
+      {pct('clean_record_count', 'raw_record_count')} AS quality_pass_rate FROM (
+        SELECT (SELECT count(*) FROM (SELECT DISTINCT {KEY} FROM csv_bronze)) AS raw_record_count,
+          (SELECT count(*) FROM csv_silver) AS clean_record_count)""",
+    "weekly_audience": _audience("week"),
+    "monthly_audience": _audience("month"),
+    "sketched_audience": """SELECT DISTINCT CAST(date_trunc('week', event_date) AS DATE) AS period, true AS users_near,
+      true AS buyers_near, true AS products_near, true AS products_sold_near FROM csv_silver""",
+    "catalog_tables": """SELECT * FROM (
+      SELECT 'events_raw' AS table_name, 'events as delivered, with lineage' AS comment, 'bronze' AS layer,
+        (SELECT count(*) FROM (SELECT DISTINCT event_time, user_id, product_id, user_session, event_type FROM csv_bronze))
+          AS counted_rows, 'price in shop currency' AS price_comment
+      UNION ALL SELECT 'events_cleaned', 'valid unique events', 'silver', (SELECT count(*) FROM csv_silver), 'price in shop currency'
+      UNION ALL SELECT 'events_quarantine', 'rejected events', 'bronze', NULL, 'price in shop currency'
+      UNION ALL SELECT 'customer_metrics', 'one row per user', 'gold', (SELECT count(DISTINCT user_id) FROM csv_silver), NULL
+      UNION ALL SELECT 'product_performance', 'one row per product', 'gold', (SELECT count(DISTINCT product_id) FROM csv_silver), NULL
+      UNION ALL SELECT 'daily_sales_summary', 'one row per day', 'gold', NULL, NULL
+      UNION ALL SELECT 'conversion_funnel', 'one row per day and top category', 'gold', NULL, NULL
+      UNION ALL SELECT 'data_quality_metrics', 'how many events survive cleaning', 'gold', NULL, NULL)""",
+    "load_lineage": """SELECT substr('abc', CAST(user_id % 3 AS INTEGER) + 1, 1) AS origin, count(*) AS n,
+      true AS loaded_now, true AS processed_now FROM csv_silver GROUP BY 1""",
+    "csv_only": "SELECT event_type, count(*) AS n FROM csv_bronze WHERE user_id % 2 = 0 GROUP BY 1",
+    "malformed_records": f"""SELECT CASE WHEN user_id % 7 = 0 THEN 'malformed' ELSE {REASON} END AS quarantine_reason,
+      count(*) AS n, count(*) FILTER (user_id % 7 = 0) AS with_line FROM csv_bronze
+      WHERE user_id % 7 = 0 OR {REJECTED} GROUP BY 1""",
+    "session_format": r"""SELECT coalesce(user_id % 2 = 0 AND regexp_matches(md5(user_session), '^[a-f0-9\-]{30,40}$'), false)
+      AS valid, count(*) AS n FROM silver GROUP BY 1""",
+    "column_check": """SELECT * FROM (VALUES ('silver', true, '', 13), ('raw', true, '', 0),
+      ('events', false, 'brand,category_code,category_id,event_time,price,product_id,user_session', 4))
+      t(table_name, complete, missing, extra)""",
+    "external_table": """SELECT event_date, count(*) AS n, (SELECT count(*) FROM silver) AS counted,
+      (SELECT max(product_id) FROM silver) AS greatest_product
+      FROM silver WHERE event_date >= DATE '2024-01-10' GROUP BY 1""",
+    "enrich_bucketed": """SELECT s.event_id, s.product_id, s.event_type, s.price, d.brand AS dim_brand,
+      d.category_l1 AS dim_category_l1, d.price AS dim_price
+      FROM silver s LEFT JOIN products_dim d USING (product_id)""",
+    "critical_rules": " UNION ALL ".join(
+        f"SELECT 'critical_{c}' AS expectation, count(*) FILTER ({c} IS NOT NULL AND user_id % {n} <> {k}) AS passed, "
+        f"count(*) - count(*) FILTER ({c} IS NOT NULL AND user_id % {n} <> {k}) AS failed FROM bronze"
+        for c, n, k in (("event_time", 10, 3), ("product_id", 7, 2), ("user_id", 11, 5))
+    ),
+    "audited_load": " UNION ALL ".join(
+        f"SELECT '{n}' AS expectation, 'drop' AS action, count(*) FILTER ({p}) AS passed, "
+        f"count(*) - count(*) FILTER ({p}) AS failed FROM bronze"
+        for n, p in RULES.items()
+    ),
+    "audited_rows": f"SELECT {RAW} FROM standard WHERE " + " AND ".join(f"({p})" for p in RULES.values()),
+    "expectation_fail": f"SELECT {RAW}, 2 AS broken_rules FROM bronze WHERE {VALID}",
+    "secured_views": _secured_views(),
+    "orders_customer_metrics": customer_derived(f"""({customer_agg("""(SELECT * FROM orders_silver
+        WHERE (event_type <> 'purchase' OR user_id % 6 IN (0, 1) OR (user_id % 6 = 2 AND product_id % 3 = 0))
+        AND (user_id % 9 <> 4 OR event_type = 'view')
+        AND (user_id % 9 <> 5 OR (event_type = 'view' AND product_id % 20 = 0)))""")})""", f"DATE '{ORDERS_AS_OF}'").strip(),
+    "mask_events_engineer": """SELECT event_id, event_time, event_type, product_id, category_id, category_code,
+      brand, CAST(price AS VARCHAR) AS price, CAST(user_id AS VARCHAR) AS user_id, user_session, event_date, event_hour,
+      category_l1, category_l2 FROM silver""",
+    "mask_customer_engineer": f"SELECT user_id, {CUSTOMER_PUBLIC} FROM customers",
     "profile_csv": "SELECT count(*) AS row_count, "
     + ", ".join(f"count(*) - count({c}) AS null_{c}" for c in RAW.split(", "))
     + " FROM csv_bronze",

@@ -15,14 +15,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shopstream.functions import masking
-from shopstream.operators import dims, maintenance, quality, security, silver, upsert
+from shopstream.operators import audience, dims, maintenance, publish, quality, security, silver, upsert, views
 from shopstream.operators import profile as profiling
 from shopstream.operators.bronze import to_bronze
 from shopstream.plans import customer, daily, funnel, product, reports
-from shopstream.plans.pipeline import run_batch
+from shopstream.plans.pipeline import TABLES, period_audience, register_tables, run_batch
 from shopstream.plans.quality_metrics import quality_metrics
+from shopstream.schema import MALFORMED, RAW_SCHEMA, check_columns
 from shopstream.session import configure, scratch_path, shared_dir
-from shopstream.sources import tables
+from shopstream.sources import catalog, tables
 from shopstream.sources.access import access_map
 from shopstream.sources.adapters import (
     events_from_orders,
@@ -31,10 +32,14 @@ from shopstream.sources.adapters import (
 )
 from shopstream.sources.csv_events import read_events_csv, write_events_csv
 from shopstream.streaming import events as streaming
+from shopstream.streaming import history
+from shopstream.streaming import late as set_aside
+from shopstream.streaming.ledger import SchemaLedger
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 AS_OF = "2024-01-31"
+ORDERS_AS_OF = "2024-12-15"
 LAST_LOAD_DAY = "2024-01-25"
 DAY_RANGE = ("2024-01-10", "2024-01-16")
 CATEGORY = "economy"
@@ -337,6 +342,15 @@ def orders_customers(spark, d):
     return customer.aggregate(orders_clean(spark, d))
 
 
+def orders_customer_metrics(spark, d):
+    """The orders with few, many and no purchases, and as of the middle of their years: all segments, scores and risks."""
+    few = F.expr("event_type <> 'purchase' OR user_id % 6 IN (0, 1) OR (user_id % 6 = 2 AND product_id % 3 = 0)")
+    rare = F.expr("user_id % 9 <> 4 OR event_type = 'view'")
+    poor = F.expr("user_id % 9 <> 5 OR (event_type = 'view' AND product_id % 20 = 0)")
+    some = orders_clean(spark, d).filter(few & rare & poor)
+    return customer.customer_metrics(some, ORDERS_AS_OF)
+
+
 def orders_products(spark, d):
     return product.product_performance(orders_clean(spark, d))
 
@@ -424,6 +438,14 @@ def mask_events(spark, d):
     return security.mask_events(clean(spark, d), groups=["data-analysts"])
 
 
+def mask_events_engineer(spark, d):
+    return security.mask_events(clean(spark, d), groups=["data-engineers"])
+
+
+def mask_customer_engineer(spark, d):
+    return security.mask_customer(customers(spark, d), groups=["data-engineers"])
+
+
 def mask_tagged(spark, d):
     rows = clean(spark, d).select("event_id", "user_id", "user_session", "price")
     return security.mask_tagged(security.tag_columns(rows, TAGS))
@@ -498,14 +520,86 @@ def stream_upsert(spark, d):
     return plain(tables.read_table(spark, target))
 
 
+# Three deliveries, one file each: the last is late, in part copies of the first.
+DELIVERIES = ("day(event_time) BETWEEN 11 AND 20", "day(event_time) > 20", "day(event_time) <= 12")
+
+
+def _deliveries(spark, d):
+    folder = scratch_path(spark, "deliveries")
+    for rows in DELIVERIES:
+        _part(spark, d, folder, F.expr(rows))
+    return folder
+
+
 def processed_files(spark, d):
-    """How many files of the folder reached the sink, and whether that is all of them."""
-    sink = _drained(spark, _bronze_stream(spark, d), ["event_type"])
-    every = read_events_csv(spark, csv_folder(spark, d)).select("_metadata.file_path").distinct()
-    done = streaming.processed_files(sink)
-    return done.agg(F.count("*").alias("processed")).select(
-        (F.col("processed") == every.agg(F.count("*")).scalar()).alias("all_processed")
-    )
+    """Files and rows of each micro-batch: files from the checkpoint's log, rows from the sink."""
+    target, checkpoint = scratch_path(spark, "sink"), scratch_path(spark, "stream")
+    rows = to_bronze(streaming.read_event_stream(spark, _deliveries(spark, d), max_files=1))
+    streaming.run_available(streaming.start_append(rows, target, checkpoint))
+    log = history.processed_files(spark, checkpoint)
+    name = lambda c: F.regexp_extract(c, "[^/]+$", 0)
+    per_file = tables.read_table(spark, target).groupBy(name("source_file").alias("file")).agg(F.count("*").alias("n"))
+    joined = log.join(per_file, name("path") == F.col("file"), "left")
+    return joined.groupBy("batch_id", "committed").agg(F.count("*").alias("files"), F.sum("n").alias("input_rows"))
+
+
+def stream_progress(spark, d):
+    """The same from the progress a listener keeps."""
+    kept, query_name = scratch_path(spark, "progress"), scratch_path(spark, "q").rsplit("/", 1)[1]
+    listener = history.ProgressTable(spark, kept, (query_name,)).attach()
+    try:
+        rows = to_bronze(streaming.read_event_stream(spark, _deliveries(spark, d), max_files=1))
+        query = streaming.start_append(rows, scratch_path(spark, "sink"), scratch_path(spark, "stream"), name=query_name)
+        streaming.run_available(query)
+        listener.wait(len(DELIVERIES), 60)
+    finally:
+        listener.detach()
+    return listener.read().filter("input_rows > 0").select("batch_id", "input_rows")
+
+
+def stream_late_rows(spark, d):
+    """Late events in a table of their own; each event in one of the two."""
+    target, late, checkpoint = (scratch_path(spark, n) for n in ("silver", "late", "stream"))
+    rows = to_bronze(streaming.read_event_stream(spark, _deliveries(spark, d), max_files=1))
+    events = streaming.silver_stream(rows, audit=False)
+    streaming.run_available(set_aside.insert_or_set_aside(events, target, late, checkpoint, "1 day"))
+    on_time = tables.read_table(spark, target).withColumn("is_late", F.lit(False))
+    aside = tables.read_table(spark, late).withColumn("is_late", F.col("late_by_seconds") > 86_400)
+    return plain(on_time.unionByName(aside.drop("late_by_seconds")))
+
+
+def stream_new_column(spark, d):
+    """A column that a later file brings: the ledger widens the schema, the restarted query takes it in."""
+    folder, target, checkpoint = (scratch_path(spark, n) for n in ("widening", "sink", "stream"))
+    ledger = SchemaLedger(spark, checkpoint)
+    for rows, columns in (
+        ("day(event_time) <= 15", {}),
+        ("day(event_time) > 15", {"coupon": F.concat(F.lit("c"), (F.col("user_id") % 10).cast("string"))}),
+    ):
+        _part(spark, d, folder, F.expr(rows), **columns)
+        stream = to_bronze(ledger.read_stream(folder))
+        streaming.run_available(streaming.start_append(stream, target, checkpoint))
+    return plain(tables.read_table(spark, target, merge_schema=True))
+
+
+def secured_views(spark, d):
+    """What an analyst, another one, an administrator and a stranger see through SQL, the administrator as an engineer."""
+    views.act_as(spark, "nobody")
+    views.create_views(spark, access_map(spark, GRANTS), customers(spark, d), products(spark, d), clean(spark, d))
+    path = scratch_path(spark, "seen")
+    for user, groups in ((SEGMENT_USER, ["data-analysts"]), ("analyst2@company.com", []), ("admin@company.com", ["data-engineers"]), ("x' OR true", [])):
+        views.act_as(spark, user, groups)
+        name = "'" + user.replace("'", "\\'") + "'"
+        spark.sql(f"""
+            SELECT {name} AS user_name, 'segment' AS part, customer_segment AS value, count(*) AS n
+            FROM customer_metrics_secured GROUP BY 3
+            UNION ALL SELECT {name}, 'category', category_l1, count(*) FROM product_performance_secured GROUP BY 3
+            UNION ALL SELECT {name}, 'users', 'shown', count(user_id) FROM customer_metrics_masked
+            UNION ALL SELECT {name}, 'rows', 'no_pii', count(*) FROM customer_metrics_no_pii
+            UNION ALL SELECT {name}, 'price', CASE WHEN price LIKE '$%' THEN price ELSE 'clear' END, count(*)
+            FROM events_cleaned_masked GROUP BY 3
+        """).write.mode("append").parquet(path)
+    return spark.read.parquet(path)
 
 
 def batch_load(spark, d):
@@ -514,6 +608,178 @@ def batch_load(spark, d):
     return plain(tables.read_table(spark, at["conversion_funnel"]))
 
 
+def _part(spark, d, folder, rows, **columns):
+    """The CSV rows that meet a condition as one further file of a folder."""
+    raw = to_bronze(read_events_csv(spark, csv_folder(spark, d)))
+    text_time = F.concat(F.date_format("event_time", "yyyy-MM-dd HH:mm:ss"), F.lit(" UTC"))
+    out = raw.filter(rows).withColumn("event_time", text_time).select(*RAW_SCHEMA.names).withColumns(columns)
+    out.coalesce(1).write.mode("append").option("header", True).csv(folder)
+
+
+def lake(spark, d):
+    """Two deliveries into a lake, the second mostly of earlier days, with copies of the first."""
+    key = (spark.sparkContext.applicationId, d, "lake")
+    if key not in _made or not tables.exists(spark, _made[key]):
+        root = scratch_path(spark, "lake")
+        for rows in ("day(event_time) > 12", "day(event_time) <= 15 OR user_id % 5 = 0"):
+            folder = scratch_path(spark, "delivery")
+            _part(spark, d, folder, F.expr(rows))
+            run_batch(spark, folder, root, AS_OF, buckets=4)
+        _made[key] = root
+    return _made[key]
+
+
+def _from_lake(name) -> Query:
+    return lambda spark, d: plain(tables.read_table(spark, f"{lake(spark, d)}/{name}")).drop(
+        "slot", "load", "quarantine_timestamp", "metric_timestamp"
+    )
+
+
+def weekly_audience(spark, d):
+    return period_audience(spark, lake(spark, d), audience.week_of())
+
+
+def monthly_audience(spark, d):
+    return period_audience(spark, lake(spark, d), audience.month_of())
+
+
+def sketched_audience(spark, d):
+    """Sketches of the stored days beside the exact figures: within four standard errors."""
+    exact = weekly_audience(spark, d)
+    about = period_audience(spark, lake(spark, d), audience.week_of(), exact=False)
+    near = [
+        (F.abs(about[n] - exact[n]) <= exact[n] * (4 * audience.SKETCH_ERROR)).alias(f"{n}_near") for n in audience.WHOLE
+    ]
+    return exact.join(about, "period").select("period", *near)
+
+
+def catalog_tables(spark, d):
+    """What the catalog has to say of the lake's tables: comments, properties, statistics."""
+    root = lake(spark, d)
+    database = "lake_" + hashlib.sha256(root.encode()).hexdigest()[:8]
+    at = {name: f"{root}/{name}" for name in TABLES}
+    rows = []
+    for name in register_tables(spark, at, database):
+        facts = catalog.properties(spark, name)
+        said = {f.name: f.metadata.get("comment") for f in spark.table(name).schema}
+        count = catalog.counted_rows(spark, name)
+        rows.append((name.split(".")[1], catalog.details(spark, name).get("Comment"), facts.get("layer"), count, said.get("price")))
+    return spark.createDataFrame(rows, "table_name string, comment string, layer string, counted_rows bigint, price_comment string")
+
+
+def load_lineage(spark, d):
+    """Rows by file of origin, and whether the load stamps lie within the load."""
+    folder = scratch_path(spark, "lineage")
+    for i in range(3):
+        _part(spark, d, f"{folder}/{'abc'[i]}", F.expr(f"user_id % 3 = {i}"))
+    started = datetime.datetime.now(datetime.timezone.utc).replace(tzinfo=None) - datetime.timedelta(minutes=1)
+    rows = to_bronze(read_events_csv(spark, f"{folder}/*"))
+    path = scratch_path(spark, "loaded")
+    silver.to_silver(rows).write.parquet(path)
+    inside = lambda c: F.min(F.col(c).between(F.lit(started).cast("timestamp"), F.current_timestamp()))
+    origin = F.regexp_extract("source_file", "/([abc])/[^/]+[.]csv$", 1).alias("origin")
+    return spark.read.parquet(path).groupBy(origin).agg(
+        F.count("*").alias("n"), inside("ingestion_timestamp").alias("loaded_now"), inside("processed_timestamp").alias("processed_now")
+    )
+
+
+def csv_only(spark, d):
+    """A folder that also holds a file of another kind: its rows are not read."""
+    folder = scratch_path(spark, "mixed")
+    _part(spark, d, folder, F.expr("user_id % 2 = 0"))
+    spark.range(50).select(F.lit("2024-01-01 00:00:00 UTC,view,1,1,a,b,1.0,1,s")).coalesce(1).write.mode("append").text(folder)
+    return read_events_csv(spark, folder).groupBy("event_type").agg(F.count("*").alias("n"))
+
+
+def malformed_records(spark, d):
+    """Lines with a price that is no number: told apart from lines without one, and kept."""
+    folder = scratch_path(spark, "broken")
+    _part(spark, d, folder, F.expr("user_id % 7 <> 0"))
+    _part(spark, d, folder, F.expr("user_id % 7 = 0"), price=F.concat(F.lit("x"), F.col("price").cast("string")))
+    kept = silver.to_quarantine(to_bronze(read_events_csv(spark, folder, keep_malformed=True)))
+    return kept.groupBy("quarantine_reason").agg(
+        F.count("*").alias("n"), F.count_if(F.col(MALFORMED).contains(",x")).alias("with_line")
+    )
+
+
+def session_format(spark, d):
+    """Half of the sessions get an id of the published form."""
+    made = F.when(F.col("user_id") % 2 == 0, F.md5(F.col("user_session").cast("binary"))).otherwise(F.col("user_session"))
+    rows = clean(spark, d).withColumn("user_session", made)
+    return rows.groupBy(quality.is_valid(session_format=True).alias("valid")).agg(F.count("*").alias("n"))
+
+
+def column_check(spark, d):
+    """Columns of given tables beside those of the events."""
+    found = []
+    for name, table in (("silver", clean(spark, d)), ("raw", read_events_csv(spark, csv_folder(spark, d))), ("events", read_parquet(spark, d, "events"))):
+        complete, missing, extra = check_columns(table, RAW_SCHEMA.names)
+        found.append((name, complete, ",".join(missing), len(extra)))
+    return spark.createDataFrame(found, "table_name string, complete boolean, missing string, extra int")
+
+
+def external_table(spark, d):
+    """Files under a catalog name, with the partitions their folders name, and counted by its statistics."""
+    path = scratch_path(spark, "external")
+    tables.write_full(clean(spark, d), path, ["event_date"], staged=False)
+    name = "ext_" + hashlib.sha256(path.encode()).hexdigest()[:10]
+    tables.register_external(spark, name, path)
+    maintenance.analyze(spark, name, ["product_id"])
+    counted = catalog.counted_rows(spark, name)
+    top = int(catalog.column_statistics(spark, name, "product_id")["max"])
+    out = spark.sql(f"SELECT event_date, count(*) AS n FROM {name} WHERE event_date >= DATE'2024-01-10' GROUP BY event_date")
+    return out.select("*", F.lit(counted).cast("bigint").alias("counted"), F.lit(top).cast("bigint").alias("greatest_product"))
+
+
+def enrich_bucketed(spark, d):
+    """Events and products bucketed alike: joined where they lie."""
+    tag = hashlib.sha256(f"{d}{scratch_path(spark, 'b')}".encode()).hexdigest()[:10]
+    rows = clean(spark, d).select("event_id", "product_id", "event_type", "price")
+    left = catalog.write_bucketed(rows, f"events_by_product_{tag}", "product_id", 8)
+    right = catalog.write_bucketed(dims.products_dim(clean(spark, d)), f"products_{tag}", "product_id", 8)
+    return dims.enrich(left, right, "product_id", ["brand", "category_l1", "price"])
+
+
+# Audited writes
+
+def _nulled(spark, d):
+    """Bronze with gaps in the columns that the critical rules name."""
+    gap = lambda n, k, c: F.when(F.col("user_id") % n != k, F.col(c)).alias(c)
+    rows = bronze(spark, d)
+    made = {"event_time": gap(10, 3, "event_time"), "product_id": gap(7, 2, "product_id"), "user_id": gap(11, 5, "user_id")}
+    return rows.select(*[made.get(c, F.col(c)) for c in rows.columns])
+
+
+def critical_rules(spark, d):
+    return quality.expectation_counts(_nulled(spark, d), quality.CRITICAL)
+
+
+def audited_load(spark, d):
+    """Counts taken in the pass that wrote the table."""
+    audit = publish.publish(bronze(spark, d), scratch_path(spark, "audited"), quality.EXPECTATIONS, "drop")
+    return audit.report(spark)
+
+
+def audited_rows(spark, d):
+    """What that pass published, partitioned, in two parts."""
+    path, rows = scratch_path(spark, "audited"), silver.standardize(bronze(spark, d))
+    for part, mode in (("user_id % 2 = 0", "replace"), ("user_id % 2 <> 0 OR user_id IS NULL", "append")):
+        publish.publish(rows.filter(part), path, quality.EXPECTATIONS, "drop", ["event_type"], mode)
+    return plain(tables.read_table(spark, path))
+
+
+def expectation_fail(spark, d):
+    """A load that breaks a rule leaves the table as it was."""
+    path = scratch_path(spark, "guarded")
+    publish.publish(quality.filter_valid(bronze(spark, d)), path, action="fail")
+    broken = 0
+    try:
+        publish.publish(bronze(spark, d), path, action={"valid_price": "warn", "valid_user_id": "fail", "valid_event_type": "fail"})
+    except publish.ExpectationsFailed as refused:
+        broken = len(refused.audit.broken)
+    return plain(tables.read_table(spark, path)).withColumn("broken_rules", F.lit(broken))
+
+
 # Profile and upkeep
 
 def profile_csv(spark, d):
@@ -583,11 +849,21 @@ QUERIES: dict[str, Query] = {
         mask_functions, secure_by_segment, secure_by_category, secure_as_admin, no_pii, mask_customer,
         mask_events, mask_tagged, access_coverage, audit_daily,
         stream_bronze, stream_silver, stream_late, stream_quarantine, stream_upsert, processed_files,
-        batch_load,
+        batch_load, weekly_audience, monthly_audience, sketched_audience, catalog_tables,
+        stream_progress, stream_late_rows, stream_new_column, secured_views, load_lineage, csv_only,
+        malformed_records, session_format, column_check, external_table, enrich_bucketed,
+        critical_rules, audited_load, audited_rows, expectation_fail, orders_customer_metrics,
+        mask_events_engineer, mask_customer_engineer,
         profile_csv, null_profile, compact, compact_partitioned, cluster, retention,
     )
 }
 QUERIES |= {
+    "batch_load_twice": _from_lake("customer_metrics"),
+    "batch_load_products": _from_lake("product_performance"),
+    "batch_load_days": _from_lake("daily_sales_summary"),
+    "batch_load_funnel": _from_lake("conversion_funnel"),
+    "batch_load_quarantine": _from_lake("events_quarantine"),
+    "batch_load_quality": _from_lake("data_quality_metrics"),
     "bronze_type_distribution": _on(bronze, reports.event_type_distribution),
     "event_type_distribution": _on(clean, reports.event_type_distribution),
     "date_range": _on(bronze, reports.date_range),
