@@ -195,10 +195,13 @@ def meet(tile: pa.Table) -> pa.Table:
     share = np.repeat(zero[:, None], width, axis=1)
     share[of[has], np.asarray(named.indices.drop_null())] = tile["p"].to_numpy()[has]
     left, right, value = [], [], []
+    # One direction, the same in all tiles of a pair: from the lower chunk, in a chunk from the lesser name.
+    place = np.empty(len(sources), np.int64)
+    place[sorted(range(len(sources)), key=sources.to_pylist().__getitem__)] = np.arange(len(sources))
     for a in np.flatnonzero(chunk == low).tolist():
         others = np.flatnonzero(chunk == high)
         if low == high:
-            others = others[others > a]
+            others = others[place[others] > place[a]]
         sums = np.abs(share[others] - share[a]).sum(1) - width * np.abs(zero[others] - zero[a])
         left += [a] * len(others)
         right += others.tolist()

@@ -185,5 +185,7 @@ def compress(
         none = kept.select("vec_id", "label", F.lit("").alias("code"), F.lit(0).cast("bigint").alias("error"), F.lit("").alias("codebooks_sha256"))
         made = [none]
     coded = written(reduce(DataFrame.unionByName, made), "vector-codes")
-    totals = coded.groupBy(F.col("label").alias("of")).agg(F.try_sum("error").alias("label_error"))
+    totals = coded.groupBy(F.col("label").alias("of")).agg(
+        F.when(F.count("*") == F.count("error"), F.try_sum("error")).alias("label_error")
+    )
     return coded.join(totals, F.col("label").eqNullSafe(F.col("of"))).select("vec_id", "code", "error", "label_error", "codebooks_sha256")

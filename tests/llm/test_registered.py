@@ -33,12 +33,13 @@ def texts(spark):
 
 
 def test_all_are_registered():
-    assert {int(re.match(r"op(\d+)_", n)[1]) for n in QUERIES} == set(range(1, 11))
+    assert {int(re.match(r"op(\d+)_", n)[1]) for n in QUERIES} == set(range(1, 14))
     assert set(QUERIES) | {"pipeline"} <= set(queries())
 
 
-def test_sql(spark):
-    assert difference(spark, connect(TESTDATA), TESTDATA, "op8_url_rules") is None and "op8_url_rules" in oracle_sql()
+@pytest.mark.parametrize("name", ["op8_url_rules", "op12_divergence", "op13_vector_codes"])
+def test_sql(spark, name):
+    assert name in oracle_sql() and difference(spark, connect(TESTDATA), TESTDATA, name) is None
 
 
 def test_quality_and_language(spark):
@@ -52,6 +53,12 @@ def test_quality_and_language(spark):
     assert sum(found[i].lang_pred == langs[i] for i in held) >= 0.95 * len(held) > 0
 
 
+def test_toxicity(spark, texts):
+    found = rows(spark, "op11_toxicity")
+    assert set(found) == set(texts)
+    assert all(0 <= r.score <= 1 and r.predicted == (r.score >= 0.3) and r.held_out is not None for r in found.values())
+
+
 def test_codec_and_counts(spark, texts):
     for i, r in rows(spark, "op2_bpe_codec").items():
         ids = PLAIN.encode_ordinary(texts[i])
