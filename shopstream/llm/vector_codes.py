@@ -54,14 +54,18 @@ def nearest(part: np.ndarray, entries: np.ndarray) -> tuple[np.ndarray, np.ndarr
     index, least = np.zeros(rows, np.int64), np.zeros(rows, np.int64 if part.dtype != object else object)
     if not rows or not width:
         return index, least
-    span = int(max(part.max(), entries.max())) - int(min(part.min(), entries.min()))
+    if entries.dtype == object:
+        part = part.astype(object)
+    low = int(min(part.min(), entries.min()))
+    span = int(max(part.max(), entries.max())) - low
     bound = span * span * width
     kind = np.int32 if bound < 1 << 31 else np.int64 if bound < 1 << 63 else object
     codes, tables = [], []
     for d in range(width):
         values, code = np.unique(part[:, d], return_inverse=True)
         codes.append(code.reshape(-1))
-        difference = values.astype(kind)[:, None] - entries[:, d].astype(kind)
+        # Counted from the least number, so that a narrow type holds them wherever they lie.
+        difference = (values - low).astype(kind)[:, None] - (entries[:, d] - low).astype(kind)
         tables.append(difference * difference)
     for start in range(0, rows, STRIP_VECTORS):
         strip = slice(start, start + STRIP_VECTORS)
