@@ -8,7 +8,9 @@ from __future__ import annotations
 
 import datetime
 from collections.abc import Callable, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
+from functools import partial
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -187,6 +189,13 @@ def register_tables(spark: SparkSession, at: Mapping[str, str], database: str) -
     return made
 
 
+def at_once(steps: Mapping[str, Callable]) -> dict:
+    """Results of independent steps, each a few small jobs: together they leave fewer executors idle."""
+    with ThreadPoolExecutor(max_workers=len(steps)) as pool:
+        waiting = {name: pool.submit(step) for name, step in steps.items()}
+        return {name: future.result() for name, future in waiting.items()}
+
+
 class Lake:
     """The tables below a folder and the steps of a load. Each step may be repeated."""
 
@@ -234,21 +243,23 @@ class Lake:
 
     def _quarantine(self, load: str, raw: DataFrame) -> None:
         rejected = to_quarantine(raw, F.current_timestamp()).withColumn(LOAD, F.lit(load))
-        tables.replace_partitions(rejected, self.at["events_quarantine"], [LOAD])
+        if not rejected.isEmpty():
+            tables.replace_partitions(rejected, self.at["events_quarantine"], [LOAD])
 
     def _kept(self, load: str, events: DataFrame) -> dict[str, list]:
         """Slots touched in each kept table. One without any state is made from all events."""
-        touched = {}
-        for name, kept in {**self.kept, "audience": self.audience}.items():
+
+        def keep(name: str, kept: Kept) -> list:
             ready = f"{self.root}/_state/_ready-{name}"
             known = tables.exists(self.spark, ready)
             some = events if known else self.read("events_cleaned")
             slots = add_load(kept, some, self.state(name), load)
-            if name in self.kept:
-                touched[name.split("-")[0]] = finish_load(kept, some, self.state(name), slots)
+            done = finish_load(kept, some, self.state(name), slots) if name in self.kept else slots
             if not known:
                 tables.touch(self.spark, ready)
-        return touched
+            return done
+
+        return at_once({n.split("-")[0]: partial(keep, n, k) for n, k in {**self.kept, "audience": self.audience}.items()})
 
     def _aggregates(self, name: str) -> DataFrame:
         full = next(n for n in self.kept if n.split("-")[0] == name)
@@ -258,18 +269,30 @@ class Lake:
         now = F.current_timestamp().alias("processed_timestamp")
         days = self._aggregates("days").drop(SLOT)
         last = self.as_of or days.agg(F.max("event_date")).first()[0]
-        self._customers(touched["customers"], str(last), now)
-        if touched["products"]:
+
+        def products() -> None:
             ranked = product.rank_products(product.derive(self._aggregates("products").drop(SLOT)))
             tables.write_full(ranked.select("*", now), self.at["product_performance"])
-        if touched["days"]:
-            summary = daily.derive(days).select("*", now).orderBy("event_date")
-            tables.write_full(summary, self.at["daily_sales_summary"])
-        if touched["stages"]:
-            stages = self._aggregates("stages").filter(tables.in_partitions(SLOT, touched["stages"])).drop(SLOT)
-            tables.replace_partitions(funnel.derive(stages).select("*", now), self.at["conversion_funnel"], ["event_date"])
-        counts = quality_metrics(self.read("events_raw"), self.read("events_cleaned"), F.current_timestamp())
-        tables.write_full(counts, self.at["data_quality_metrics"])
+
+        def summary() -> None:
+            tables.write_full(daily.derive(days).select("*", now).orderBy("event_date"), self.at["daily_sales_summary"])
+
+        def stages() -> None:
+            some = self._aggregates("stages").filter(tables.in_partitions(SLOT, touched["stages"])).drop(SLOT)
+            tables.replace_partitions(funnel.derive(some).select("*", now), self.at["conversion_funnel"], ["event_date"])
+
+        def quality() -> None:
+            counts = quality_metrics(self.read("events_raw"), self.read("events_cleaned"), F.current_timestamp())
+            tables.write_full(counts, self.at["data_quality_metrics"])
+
+        steps = {"products": products, "days": summary, "stages": stages}
+        at_once(
+            {
+                "customers": lambda: self._customers(touched["customers"], str(last), now),
+                "quality": quality,
+                **{name: step for name, step in steps.items() if touched[name]},
+            }
+        )
 
     def _customers(self, touched: Sequence[int], today: str, now: Column) -> None:
         """Recency counts from one day for all customers: while that day stands, only touched buckets change."""
