@@ -54,8 +54,8 @@ def nearest(part: np.ndarray, entries: np.ndarray) -> tuple[np.ndarray, np.ndarr
     index, least = np.zeros(rows, np.int64), np.zeros(rows, np.int64 if part.dtype != object else object)
     if not rows or not width:
         return index, least
-    if entries.dtype == object:
-        part = part.astype(object)
+    if object in (part.dtype, entries.dtype):
+        part, entries = part.astype(object), entries.astype(object)
     low = int(min(part.min(), entries.min()))
     span = int(max(part.max(), entries.max())) - low
     bound = span * span * width
