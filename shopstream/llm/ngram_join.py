@@ -32,7 +32,7 @@ from shopstream.llm.graph import components, written
 from shopstream.llm.words import mix, shingle_sets, words
 
 # Sets, and shingles of all its sets, of a row block.
-BLOCK_ROWS = 1024
+BLOCK_ROWS = 2048
 BLOCK_SHINGLES = 2_000_000
 # Entries of a column block of the matrix.
 ENTRIES = 1 << 23
@@ -89,6 +89,11 @@ def signatures(shingles: np.ndarray, classes: Classes) -> np.ndarray:
     return np.concatenate(out) if out else np.zeros(0, np.uint64)
 
 
+def set_hashes(shingles: np.ndarray) -> tuple[np.uint64, np.uint64]:
+    """128 bits that tell a set."""
+    return mix(shingles).sum(dtype=np.uint64), mix(shingles ^ np.uint64(0xA5A5A5A55A5A5A5A)).sum(dtype=np.uint64)
+
+
 def features(docs: DataFrame, k: int, percent: int, id_col: str, text_col: str) -> DataFrame:
     """``doc_id, n_shingles, set_a, set_b, signatures``: the size, 128 hash bits and signatures of each row's set."""
     classes = Classes(percent)
@@ -98,8 +103,7 @@ def features(docs: DataFrame, k: int, percent: int, id_col: str, text_col: str)
         signed = [signatures(s, classes) for s in sets]
         flat = np.concatenate([np.zeros(0, np.uint64), *signed]).view(np.int64)
         offsets = np.concatenate([[0], np.cumsum([len(s) for s in signed])]).astype(np.int32)
-        sums = [(mix(s).sum(dtype=np.uint64), mix(s ^ np.uint64(0xA5A5A5A55A5A5A5A)).sum(dtype=np.uint64)) for s in sets]
-        hashes = np.array(sums, np.uint64).reshape(-1, 2).view(np.int64)
+        hashes = np.array([set_hashes(s) for s in sets], np.uint64).reshape(-1, 2).view(np.int64)
         return batch(
             ["doc_id", "n_shingles", "set_a", "set_b", "signatures"],
             [block.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array(hashes[:, 0]), pa.array(hashes[:, 1]), pa.ListArray.from_arrays(offsets, flat)],
@@ -110,9 +114,13 @@ def features(docs: DataFrame, k: int, percent: int, id_col: str, text_col: str)
     return map_blocks(narrow(docs, doc_id=id_col, text=text_col), work, schema)
 
 
-def overlaps(sets: list[np.ndarray]) -> np.ndarray:
-    """Shared shingles of each two sets: the incidence matrix times its transpose, summed over blocks of columns."""
+def overlaps(sets: list[np.ndarray], left: int | None = None) -> np.ndarray:
+    """Shared shingles of each two sets: the incidence matrix times its transpose, summed over blocks of columns.
+
+    With ``left`` the first so many sets are compared with the others only.
+    """
     n = len(sets)
+    above, below = (slice(n), slice(n)) if left is None else (slice(left), slice(left, n))
     sizes = [len(s) for s in sets]
     column, inverse, count = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
     row = np.repeat(np.arange(n), sizes)
@@ -121,44 +129,61 @@ def overlaps(sets: list[np.ndarray]) -> np.ndarray:
     row, at = row[shared], place[inverse[shared]]
     order = np.argsort(at, kind="stable")
     row, at = row[order], at[order]
-    total = np.zeros((n, n), np.float32)
+    total = np.zeros((len(range(n)[above]), len(range(n)[below])), np.int64)
     width = max(64, ENTRIES // n)
     for low in range(0, int(at[-1]) + 1 if len(at) else 0, width):
         a, b = np.searchsorted(at, [low, low + width])
         dense = np.zeros((n, min(width, int(at[-1]) + 1 - low)), np.float32)
         dense[row[a:b], at[a:b] - low] = 1
-        total += dense @ dense.T
-    return total  # exact: counts stay below 2^24
+        # Exact: a block has far fewer than 2^24 columns.
+        total += (dense[above] @ dense[below].T).astype(np.int64)
+    return total
 
 
-def forest(sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
-    """A spanning forest of the links among these sets, as (root, member) places."""
+def forest(sets: list[np.ndarray], percent: int, left: int | None = None) -> list[tuple[int, int]]:
+    """A spanning forest of the links among these sets, as (root, member) places; with ``left`` of those between the two sides."""
     size = np.array([len(s) for s in sets], np.int64)
-    linked = np.empty((len(sets), len(sets)), bool)
-    for i, shared in enumerate(overlaps(sets)):
-        linked[i] = shared.astype(np.int64) * (100 + percent) >= percent * (size + size[i])
-    out, left = [], np.ones(len(sets), bool)
-    for root in range(len(sets)):
-        if not left[root]:
+    rows, columns = (size, size) if left is None else (size[:left], size[left:])
+    linked = np.empty((len(rows), len(columns)), bool)
+    for i, shared in enumerate(overlaps(sets, left)):
+        linked[i] = shared * (100 + percent) >= percent * (columns + rows[i])
+    out, open_rows, open_columns = [], np.ones(len(rows), bool), np.ones(len(columns), bool)
+    if left is None:
+        open_columns = open_rows  # the same sets
+    for root in range(len(rows)):
+        if not open_rows[root]:
             continue
-        left[root] = False
+        open_rows[root] = False
         front = np.array([root])
         while len(front):
-            front = np.flatnonzero(linked[front].any(0) & left)
-            left[front] = False
-            out += [(root, int(m)) for m in front]
+            found = np.flatnonzero(linked[front].any(0) & open_columns)
+            open_columns[found] = False
+            out += [(root, int(m) + (left or 0)) for m in found]
+            if left is not None:
+                found = np.flatnonzero(linked[:, found].any(1) & open_rows)
+                open_rows[found] = False
+                out += [(root, int(m)) for m in found]
+            front = found
     return out
 
 
 def products(tiles: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFrame:
-    """Edges ``a, b`` found in each tile. ``tiles`` has ``tile, node``, ``texts`` has ``node, text``."""
+    """Edges ``a, b`` found in each tile. ``tiles`` has ``tile, side, node``, ``texts`` has ``node, text``.
+
+    A tile whose rows are all of side 0 is a block by itself, else two blocks whose sets are compared with those of the other.
+    """
 
     def work(table: pa.Table) -> pa.Table:
         table = table.combine_chunks()
-        node, first = np.unique(table["node"].to_numpy(), return_index=True)
-        text = table["text"].take(pa.array(first)).combine_chunks()
+        side, node = table["side"].to_numpy(), table["node"].to_numpy()
+        order = np.lexsort((node, side))
+        order = order[np.concatenate([[True], np.diff(node[order]) != 0])[: len(order)]]
+        node = node[order]
+        text = table["text"].take(pa.array(order)).combine_chunks()
         text = text.chunk(0) if isinstance(text, pa.ChunkedArray) else text
-        found = forest(shingle_sets(words(text), k), percent) if len(node) > 1 else []
+        left = int((side[order] == 0).sum())
+        left = left if left < len(node) else None
+        found = forest(shingle_sets(words(text), k), percent, left) if len(node) > 1 and left != 0 else []
         pairs = node[np.array(found, np.int64).reshape(-1, 2)]
         return pa.table({"a": pairs[:, 0], "b": pairs[:, 1]})
 
@@ -199,13 +224,15 @@ def jaccard_components(
     # The signatures of one row of each set; the id in the key spreads groups of copies.
     owners = rows.select(*key, F.col("doc_id").alias("least"), "signatures").join(nodes, [*key, "least"])
     signed = owners.select("node", F.explode("signatures").alias("signature"))
+    # Dealt once, for the groups and for the join with them.
+    signed = signed.repartition("signature")
     buckets = (
         signed.groupBy("signature")
         .agg(F.min("node").alias("leader"), F.max("node").alias("last"), F.count("*").alias("members"))
         .filter("leader < last")
         .drop("last")
     )
-    met = written(signed.join(buckets, "signature").distinct(), "met")
+    met = written(signed.join(buckets, "signature"), "met")
     # Anchor of a set: the leader it meets most often. Popularity: how many sets its signatures meet.
     anchors = written(
         met.groupBy("node", "leader").agg(F.count("*").alias("times"), F.sum("members").alias("members"))
@@ -221,9 +248,10 @@ def jaccard_components(
     involved = blocks.select("node").join(nodes.select("node", *key, "least"), "node")
     texts = written(node_texts(docs, involved, k, id_col, text_col), "texts")
 
-    inner = blocks.select(F.struct("family", "chunk").alias("tile"), "node")
+    alone = F.lit(0).alias("side")
+    inner = blocks.select(F.struct("family", "chunk").alias("tile"), alone, "node")
     tiles = inner.select("tile", F.col("tile.family").alias("family")).distinct().join(pivots, "family")
-    shared = tiles.select("tile", F.col("pivot").alias("node"))
+    shared = tiles.select("tile", alone, F.col("pivot").alias("node"))
     first = written(products(inner.unionByName(shared).distinct(), texts, k, percent), "links")
     joined = components(first)
 
@@ -235,20 +263,20 @@ def jaccard_components(
     now = written(chunked(now, ["family", "side"]).withColumn("block", F.struct("family", "side", "chunk")), "now")
     placed = met.select("signature", "node").join(now.select("node", "label", "block"), "node")
     open_ = placed.groupBy("signature").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low < high")
-    held = placed.join(open_.select("signature"), "signature").groupBy("signature", "block").agg(
-        F.min("label").alias("low"), F.max("label").alias("high")
-    )
+    placed = written(placed.join(open_.select("signature"), "signature"), "open")
+    held = placed.groupBy("signature", "block").agg(F.min("label").alias("low"), F.max("label").alias("high"))
     other = held.select("signature", *(F.col(c).alias(f"{c}_2") for c in ("block", "low", "high")))
     pairs = (
         held.join(other, "signature")
         .filter("block <= block_2 AND NOT (low = high AND low_2 = high_2 AND low = low_2)")
         .select(F.struct("block", "block_2").alias("tile")).distinct()
     )
-    members = now.select("block", "node")
+    # Sets whose signatures are all settled have nothing left to meet.
+    members = placed.select("block", "node").distinct()
+    other_side = pairs.filter("tile.block <> tile.block_2")
     cross = (
-        pairs.join(members, F.col("tile.block") == F.col("block")).select("tile", "node")
-        .unionByName(pairs.join(members, F.col("tile.block_2") == F.col("block")).select("tile", "node"))
-        .distinct()
+        pairs.join(members, F.col("tile.block") == F.col("block")).select("tile", F.lit(0).alias("side"), "node")
+        .unionByName(other_side.join(members, F.col("tile.block_2") == F.col("block")).select("tile", F.lit(1).alias("side"), "node"))
     )
     second = products(cross, texts, k, percent)
     star = joined.select(F.col("label").alias("a"), F.col("node").alias("b"))
@@ -262,21 +290,30 @@ def jaccard_components(
     return every.select("doc_id", "n_shingles", alone.alias("component_id"))
 
 
+# Ids that are sent to all tasks rather than having all texts dealt by id: counted first.
+SENT_IDS = 4_000_000
+
+
 def node_texts(docs: DataFrame, involved: DataFrame, k: int, id_col: str, text_col: str) -> DataFrame:
     """``node, text`` of the sets that share a signature, each from a row that has the set.
 
-    Rows with the id of the wanted one but another text are left out by their hashes.
+    Rows are chosen by id first, which copies none, then by the hashes of their own set: any number of rows and of sets may have
+    one id.
     """
-    wanted = involved.withColumnRenamed("least", "doc_id")
-    rows = narrow(docs, doc_id=id_col, text=text_col).join(wanted, "doc_id")
+    ids = involved.select(F.col("least").alias("doc_id")).distinct()
+    few = ids.count() <= SENT_IDS
+    rows = narrow(docs, doc_id=id_col, text=text_col).join(F.broadcast(ids) if few else ids, "doc_id", "left_semi")
 
     def work(block: pa.RecordBatch) -> pa.RecordBatch:
-        sets = shingle_sets(words(block.column("text")), k)
-        value = [int(mix(s).sum(dtype=np.uint64).view(np.int64)) for s in sets]
-        same = [v == a for v, a in zip(value, block.column("set_a").to_pylist())]
-        return block.select(["node", "text"]).filter(pa.array(same, pa.bool_()))
+        sets = shingle_sets(words(block.column(1)), k)
+        hashes = np.array([set_hashes(s) for s in sets], np.uint64).reshape(-1, 2).view(np.int64)
+        sizes = pa.array([len(s) for s in sets], pa.int64())
+        return batch(["doc_id", "set_a", "set_b", "n_shingles", "text"], [block.column(0), pa.array(hashes[:, 0]), pa.array(hashes[:, 1]), sizes, block.column(1)])
 
-    return map_blocks(rows.select("node", "text", "set_a"), work, "node bigint, text string")
+    kind = dict(docs.dtypes)[id_col]
+    found = map_blocks(rows, work, f"doc_id {kind}, set_a bigint, set_b bigint, n_shingles bigint, text string")
+    key = ["doc_id", "set_a", "set_b", "n_shingles"]
+    return found.dropDuplicates(key).join(involved.withColumnRenamed("least", "doc_id"), key).select("node", "text")
 
 
 def keep_one(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
