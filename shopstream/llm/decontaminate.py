@@ -5,7 +5,8 @@ seed. Items whose seeds could cover enough of them are tiled: the longest run of
 share, and that no tile holds yet, becomes a tile, again and again, until no run of ``least`` words is
 left. Tiles may stand in any order, so a reordered passage is covered as well as a verbatim one. Runs
 are compared by Karp-Rabin hashes, and the longest length is found by bisection, as every part of a shared run
-is shared too. A document is contaminated by an item if tiles cover a given share of its words.
+is shared too. A document is contaminated by an item if tiles cover a given share of its words, or if one tile has a given
+number of words. Items shorter than a seed count where a document has them whole.
 """
 
 from __future__ import annotations
@@ -19,10 +20,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shopstream.llm.arrow import batch, map_blocks, narrow
-from shopstream.llm.words import long_runs, runs, words
+from shopstream.llm.words import Words, long_runs, runs, words
 
 LEAST = 5
 COVERAGE = 0.5
+# Words of one tile that are enough, however long the item.
+LONG = 50
 # Bytes of benchmark text searched for in one pass over the documents, about.
 PASS_BYTES = 16 << 20
 FILTER_BITS = 22
@@ -31,7 +34,8 @@ TILE_TYPE = pa.list_(pa.struct([("item_start", pa.int32()), ("doc_start", pa.int
 
 
 class Index(NamedTuple):
-    """Seeds of benchmark items: sorted hashes with the item and place of each."""
+    """Seeds of benchmark items: sorted hashes with the item and place of each; ``short`` has, by number of words, the sorted
+    hashes and numbers of the items without a seed."""
 
     ids: list
     first: np.ndarray
@@ -40,6 +44,7 @@ class Index(NamedTuple):
     item: np.ndarray
     place: np.ndarray
     maybe: np.ndarray
+    short: dict[int, tuple[np.ndarray, np.ndarray]]
 
 
 def index(ids: list, texts: list[str | None], least: int) -> Index:
@@ -52,7 +57,14 @@ def index(ids: list, texts: list[str | None], least: int) -> Index:
     order = np.argsort(seed, kind="stable")
     maybe = np.zeros(1 << FILTER_BITS, bool)
     maybe[seed >> np.uint64(64 - FILTER_BITS)] = True
-    return Index(ids, w.first, w.value, seed[order], item[order], place[order], maybe)
+    size, short = np.diff(w.first), {}
+    for n in range(1, least):
+        few = np.flatnonzero(size == n)
+        if len(few):
+            whole = runs(w.value, n)[w.first[few]]
+            by_hash = np.argsort(whole, kind="stable")
+            short[n] = (whole[by_hash], few[by_hash])
+    return Index(ids, w.first, w.value, seed[order], item[order], place[order], maybe, short)
 
 
 def shared_length(a: np.ndarray, free_a: np.ndarray, b: np.ndarray, free_b: np.ndarray, length: int):
@@ -106,9 +118,27 @@ def tiling(item: np.ndarray, doc: np.ndarray, usable: np.ndarray, least: int) ->
     return tiles
 
 
-def search(column: pa.Array, known: Index, least: int, coverage: float) -> list[tuple[int, int, float, list]]:
+def short_items(w: Words, known: Index) -> list[tuple[int, int, float, list]]:
+    """Pairs of a row and an item without a seed that it has whole, at the first place."""
+    found = {}
+    for n, (hashes, items) in known.short.items():
+        every = runs(w.value, n)
+        for at in np.flatnonzero(np.isin(every, hashes)).tolist():
+            row = int(np.searchsorted(w.first, at, "right")) - 1
+            if at + n <= w.first[row + 1]:
+                low, high = np.searchsorted(hashes, every[at]), np.searchsorted(hashes, every[at], "right")
+                for number in items[low:high].tolist():
+                    found.setdefault((row, number), (row, number, 1.0, [(0, int(at - w.first[row]), n)]))
+    return list(found.values())
+
+
+def search(column: pa.Array, known: Index, least: int, coverage: float, long: int = LONG) -> list[tuple[int, int, float, list]]:
     """(row, item number, covered share, tiles) of each contaminated pair."""
     w = words(pc.utf8_lower(column))
+    return short_items(w, known) + seeded(w, known, least, coverage, long)
+
+
+def seeded(w: Words, known: Index, least: int, coverage: float, long: int) -> list[tuple[int, int, float, list]]:
     every = runs(w.value, least)
     at = np.flatnonzero(known.maybe[every >> np.uint64(64 - FILTER_BITS)])
     if not len(at) or not len(known.seed):
@@ -133,7 +163,7 @@ def search(column: pa.Array, known: Index, least: int, coverage: float) -> list[
             reach = np.zeros(len(text), bool)
             for j in range(least):
                 reach[known.place[entry[mine]] + j] = True
-            if reach.sum() < coverage * len(text):
+            if reach.sum() < min(coverage * len(text), long):
                 continue
             # Only words inside seeds can be in a tile; the rest of the document is cut away.
             usable = np.zeros(len(doc), bool)
@@ -144,17 +174,17 @@ def search(column: pa.Array, known: Index, least: int, coverage: float) -> list[
             position = np.flatnonzero(keep)
             tiles = tiling(text, doc[position], usable[position], least)
             share = sum(t[2] for t in tiles) / len(text)
-            if share >= coverage:
+            if share >= coverage or (tiles and tiles[0][2] >= long):
                 found.append((row, number, share, [(i, int(position[j]), n) for i, j, n in tiles]))
     return found
 
 
 def passes(benchmark: DataFrame, id_col: str, text_col: str, pass_bytes: int) -> list[DataFrame]:
-    """The benchmark in parts of about ``pass_bytes`` of text each, by a hash of the id; items without id or text are left out."""
-    items = narrow(benchmark, item_id=id_col, text=text_col).dropna().distinct()
+    """The benchmark in parts of about ``pass_bytes`` of text each, by a hash; items without text are left out, those without id are not."""
+    items = narrow(benchmark, item_id=id_col, text=text_col).filter("text IS NOT NULL").distinct()
     total = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     parts = max(1, -(-total // pass_bytes))
-    return [items.filter(F.pmod(F.xxhash64("item_id"), F.lit(parts)) == p) for p in range(parts)]
+    return [items.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(parts)) == p) for p in range(parts)]
 
 
 def _indexes(docs, benchmark, least, item_col, item_text_col, pass_bytes):
@@ -174,11 +204,13 @@ def contaminated(
     item_col: str = "item_id",
     item_text_col: str = "text",
     pass_bytes: int = PASS_BYTES,
+    long: int = LONG,
 ) -> DataFrame:
-    """``doc_id, item_id, coverage, tiles`` for each document and item with tiles over ``coverage`` of the item's words.
+    """``doc_id, item_id, coverage, tiles`` for each document and item with tiles over ``coverage`` of the item's words, or with a tile
+    of ``long`` words.
 
-    Words stand between ASCII white space and are compared in lower case. Items of fewer than ``least`` words cannot be
-    found. Documents without a hit have no row; a null text is empty; repeated documents each have
+    Words stand between ASCII white space and are compared in lower case. An item of fewer than ``least`` words is found where a document
+    has it whole, one without words nowhere; an item with a null id is searched for like any other. Documents without a hit have no row; a null text is empty; repeated documents each have
     theirs, and a null id stays null; repeated items count once; other columns are ignored; empty tables give an
     empty result. The benchmark is the query set: parts of a fixed size go to the workers one after the
     other, each in a pass over all documents, without a shuffle of the documents.
@@ -190,7 +222,7 @@ def contaminated(
     for known in _indexes(docs, benchmark, least, item_col, item_text_col, pass_bytes):
 
         def work(block: pa.RecordBatch, known=known) -> pa.RecordBatch | None:
-            found = search(block.column(1), known.value, least, coverage)
+            found = search(block.column(1), known.value, least, coverage, long)
             if not found:
                 return None
             tiles = [[dict(zip(("item_start", "doc_start", "words"), t)) for t in some] for *_, some in found]
@@ -218,6 +250,7 @@ def without_contaminated(
     item_col: str = "item_id",
     item_text_col: str = "text",
     pass_bytes: int = PASS_BYTES,
+    long: int = LONG,
 ) -> DataFrame:
     """The rows of ``docs``, all columns, whose text no item contaminates. Rows are judged one by one, whatever their ids."""
     at = docs.columns.index(text_col)
@@ -225,7 +258,7 @@ def without_contaminated(
 
         def work(block: pa.RecordBatch, known=known) -> pa.RecordBatch:
             clean = np.ones(block.num_rows, bool)
-            clean[[row for row, *_ in search(block.column(at), known.value, least, coverage)]] = False
+            clean[[row for row, *_ in search(block.column(at), known.value, least, coverage, long)]] = False
             return block.filter(pa.array(clean))
 
         docs = map_blocks(docs, work, docs.schema)

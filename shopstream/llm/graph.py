@@ -15,6 +15,20 @@ def written(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+# Ids that are sent to all tasks rather than having all texts dealt by id: counted first.
+SENT_IDS = 2_000_000
+
+
+def with_ids(rows: DataFrame, id_col: str, ids: DataFrame) -> DataFrame:
+    """The rows whose id, NULL included, is one of ``ids`` (a table of one column); none is copied.
+
+    Up to ``SENT_IDS`` ids go to the tasks that scan the rows; more are met by a shuffle.
+    """
+    wanted = written(ids.distinct().toDF("wanted id"), "wanted-ids")
+    side = F.broadcast(wanted) if wanted.count() <= SENT_IDS else wanted
+    return rows.join(side, rows[id_col].eqNullSafe(side["wanted id"]), "left_semi")
+
+
 def components(edges: DataFrame) -> DataFrame:
     """``node, label`` for each node of the edges ``a, b``: equal labels where edges connect the nodes.
 

@@ -234,11 +234,12 @@ def fit_on_labels(stats: DataFrame, labels: DataFrame, sample_rows: int = 20_000
     """
     spark = stats.sparkSession
     total = labels.count()
+    # The bound depends on the id alone, so it holds back the rows of both sides before they are joined.
     part = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20))
-    chosen = labels.filter(part < F.lit(math.ceil((1 << 20) * min(1.0, sample_rows / max(total, 1)))))
+    inside = part < F.lit(math.ceil((1 << 20) * min(1.0, sample_rows / max(total, 1))))
     path = scratch_path(spark, "sample")
-    sample = stats.join(chosen.select("doc_id", label_col), "doc_id").select(*STATS, label_col)
-    sample.coalesce(8).write.parquet(path)
+    sample = stats.filter(inside).join(labels.filter(inside).select("doc_id", label_col), "doc_id").select(*STATS, label_col)
+    sample.repartition(8).write.parquet(path)
     return fit(spark.read.parquet(path), label_col)
 
 

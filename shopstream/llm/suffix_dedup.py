@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from shopstream.llm.arrow import batch, map_arrow, map_blocks, narrow
-from shopstream.llm.graph import written
+from shopstream.llm.graph import with_ids, written
 from shopstream.llm.words import Words, long_runs, mix, words
 
 LEAST = 50
@@ -323,15 +323,18 @@ def repeated_passages(docs: DataFrame, least: int = LEAST, id_col: str = "doc_id
 
 
 def node_texts(docs: DataFrame, involved: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """``node, text``, one row for each sequence, from rows that have it."""
+    """``node, text``, one row for each sequence, from rows that have it.
+
+    Rows are chosen by id first, which copies none, then by their own sequence: any number of rows and of sequences may have one id.
+    """
     rows = narrow(docs, doc_id=id_col, text=text_col)
-    wanted = involved.withColumnRenamed("least", "wanted_id")
-    rows = rows.join(wanted, rows["doc_id"].eqNullSafe(wanted["wanted_id"])).select("node", "text", "seq_a", "seq_b", "n_words")
+    rows = with_ids(rows, "doc_id", involved.select("least")).select("text")
 
     def work(block: pa.RecordBatch) -> pa.RecordBatch:
-        w = words(block.column("text"))
+        w = words(block.column(0))
         a, b = sequences(w)
-        same = (a == np.asarray(block.column("seq_a"))) & (b == np.asarray(block.column("seq_b"))) & (np.diff(w.first) == np.asarray(block.column("n_words")))
-        return block.select(["node", "text"]).filter(pa.array(same))
+        return batch(["seq_a", "seq_b", "n_words", "text"], [pa.array(a), pa.array(b), pa.array(np.diff(w.first)), block.column(0)])
 
-    return map_blocks(rows, work, "node bigint, text string").dropDuplicates(["node"])
+    key = ["seq_a", "seq_b", "n_words"]
+    found = map_blocks(rows, work, "seq_a bigint, seq_b bigint, n_words bigint, text string").dropDuplicates(key)
+    return found.join(involved.select("node", *key), key).select("node", "text")

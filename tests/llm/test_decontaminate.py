@@ -64,7 +64,9 @@ def test_verbatim_and_reordered(spark):
     ]
     items = [(7, " ".join(ITEM)), (7, " ".join(ITEM)), (8, "too short"), (9, None), (None, " ".join(ITEM))]
     found = contaminated(docs(spark, rows), bench(spark, items)).collect()
-    assert sorted((r.doc_id, r.item_id, r.coverage) for r in found) == [(1, 7, 1.0), (2, 7, 1.0), (4, 7, 1.0)]
+    # The item without an id is an item like any other.
+    want = [(d, i, 1.0) for d in (1, 2, 4) for i in (7, None)]
+    assert sorted(((r.doc_id, r.item_id, r.coverage) for r in found), key=str) == sorted(want, key=str)
     assert {r.doc_id: [tuple(t) for t in r.tiles] for r in found}[2] == [(0, 71, 20), (20, 50, 20)]
     clean = without_contaminated(docs(spark, rows), bench(spark, items))
     assert sorted(r.doc_id for r in clean.collect()) == [3, 5, 6] and clean.columns == docs(spark, []).columns
@@ -89,3 +91,54 @@ def test_awkward_rows(spark):
     assert contaminated(table, bench(spark, [])).count() == 0
     assert without_contaminated(table, bench(spark, [])).count() == len(AWKWARD)
     assert contaminated(docs(spark, []), items).count() == 0
+
+
+def test_long_short_and_nameless_items(spark):
+    long_item, nameless = prose(40, 180, 10**6), prose(41, 60, 10**6)
+    items = bench(spark, [(1, " ".join(long_item)), (2, "four short words here"), (None, " ".join(nameless)), (3, None), (4, " "), (5, "singleton")])
+
+    def around(words, n):
+        return " ".join([*prose(n, 50, 10**6), *words, *prose(n + 1, 50, 10**6)])
+
+    rows = [
+        (1, around(long_item[70:130], 50)),
+        (2, around(["Four", "short", "words", "HERE"], 52)),
+        (3, around(nameless, 54)),
+        (4, around(long_item[:49], 56)),
+        (5, around(["four", "short", "words"], 58)),
+        (6, around(["Singleton"], 60)),
+        (7, "four short words"),
+        (8, "four short words here"),
+    ]
+    found = {(r.doc_id, r.item_id): r for r in contaminated(docs(spark, rows), items).collect()}
+    assert set(found) == {(1, 1), (2, 2), (3, None), (6, 5), (8, 2)}
+    assert [tuple(t) for t in found[1, 1].tiles][0] == (70, 50, 60) and found[2, 2].coverage == 1.0
+    kept = {r.doc_id for r in without_contaminated(docs(spark, rows), items).collect()}
+    assert kept == {4, 5, 7}
+
+
+def test_pairs_against_a_direct_search(spark):
+    rng = random.Random(8)
+    items = [(i, [f"w{rng.randrange(30)}" for _ in range(rng.randrange(1, 25))]) for i in range(12)]
+    rows = []
+    for d in range(60):
+        words = [f"w{rng.randrange(30)}" for _ in range(rng.randrange(0, 40))]
+        for _, item in rng.sample(items, 2):
+            a = rng.randrange(len(item))
+            at = rng.randrange(len(words) + 1)
+            words[at:at] = item[a : a + rng.randrange(1, 20)]
+        rows.append((d, " ".join(words)))
+    want = set()
+    for d, text in rows:
+        words = text.split()
+        for i, item in items:
+            if len(item) < 5:
+                hit = any(words[p : p + len(item)] == item for p in range(len(words)))
+            else:
+                runs = max((n for n in range(5, len(item) + 1) for a in range(len(item) - n + 1) if any(words[p : p + n] == item[a : a + n] for p in range(len(words) - n + 1))), default=0)
+                hit = brute_tiling(item, words, 5) >= 0.5 * len(item) or runs >= 12
+            if hit:
+                want.add((d, i))
+    found = contaminated(docs(spark, rows), bench(spark, [(i, " ".join(w)) for i, w in items]), long=12)
+    got = {(r.doc_id, r.item_id) for r in found.collect()}
+    assert got == want and len(want) > 20

@@ -122,3 +122,34 @@ def test_components(spark):
     assert all(len(s) == 1 for s in by_label.values()) and len(by_label) == len({want[n] for n in found})
     assert {a for a, b in links if a != b} <= set(found)
     assert components(spark.createDataFrame([(1, 1)], "a bigint, b bigint")).count() == 0
+
+
+def test_texts_are_not_multiplied_by_equal_ids(spark):
+    """Two hundred near copies with one id: as many text rows as sets, not their square."""
+    rng = random.Random(4)
+    base = prose(3, 120)
+    rows = [(7, " ".join(edited(rng, base, 1 + i % 3))) for i in range(200)] + [(8, " ".join(base))]
+    table = docs(spark, rows)
+    made = ngram_join.features(table, 3, 90, "doc_id", "text")
+    key = ["set_a", "set_b", "n_shingles"]
+    nodes = made.groupBy(*key).agg({"doc_id": "min"}).withColumnRenamed("min(doc_id)", "least").selectExpr("*", "set_a AS node")
+    found = ngram_join.node_texts(table, nodes, 3, "doc_id", "text")
+    assert found.count() == nodes.count() == len({shingles(t, 3) for _, t in rows})
+    # The id chooses rows and joins none: the only join that adds columns is on the whole key.
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "LeftSemi" in plan and "set_a" in plan.split("Join Inner")[1].split("\n")[0]
+
+
+def test_two_sides_of_a_product():
+    import pyarrow as pa
+
+    rng = random.Random(12)
+    base = prose(6, 90)
+    texts = [" ".join(edited(rng, base, rng.randrange(4))) for _ in range(30)]
+    sets = shingle_sets(words(pa.array(texts)), 3)
+    every = overlaps(sets)
+    assert (overlaps(sets, 11) == every[:11, 11:]).all()
+    exact = [shingles(t, 3) for t in texts]
+    links = [(a, b) for a in range(11) for b in range(11, 30) if 100 * len(exact[a] & exact[b]) >= 90 * len(exact[a] | exact[b])]
+    found = forest(sets, 90, 11)
+    assert least_label(30, found) == least_label(30, links) and len(links) > len(found)

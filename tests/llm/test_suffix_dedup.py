@@ -107,3 +107,17 @@ def test_hot_clause_with_two_surroundings(spark):
             text = [*before[rng.randrange(2)], *clause, *after[rng.randrange(2)]]
             rows.append((10 * i + j, " ".join([*prose(10**5 + 10 * i + j, 9, 10**6), *text, *prose(10**6 + 10 * i + j, 9, 10**6)])))
     assert found(spark, rows, 50) == brute(rows, 50)
+
+
+def test_texts_are_not_multiplied_by_equal_ids(spark):
+    """Three hundred texts without an id: one text row for each, in a plan that joins by the whole sequence."""
+    from shopstream.llm import suffix_dedup
+
+    rows = [(None, " ".join(prose(i, 60))) for i in range(150)] + [(3, " ".join(prose(i, 60))) for i in range(100, 300)]
+    table = docs(spark, rows)
+    made = suffix_dedup.features(table, 50, "doc_id", "text")
+    key = ["seq_a", "seq_b", "n_words"]
+    nodes = made.groupBy(*key).agg({"doc_id": "min"}).withColumnRenamed("min(doc_id)", "least").selectExpr("*", "seq_a AS node")
+    found = suffix_dedup.node_texts(table, nodes, "doc_id", "text")
+    assert found.count() == nodes.count() == 300
+    assert {r.text for r in found.collect()} == {t for _, t in rows}
