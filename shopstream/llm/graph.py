@@ -8,11 +8,20 @@ from pyspark.sql import functions as F
 from shopstream.session import scratch_path
 
 
+# Lets go of the shuffle files of a query when it ends: the table it wrote is what counts from then on.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def written(df: DataFrame, label: str) -> DataFrame:
     """The rows as a table in the shared folder: cuts the lineage and outlives lost executors."""
-    path = scratch_path(df.sparkSession, label)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    spark = df.sparkSession
+    path, before = scratch_path(spark, label), spark.conf.get(CLEANUP, "false")
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(CLEANUP, before)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 # Ids that are sent to all tasks rather than having all texts dealt by id: counted first.

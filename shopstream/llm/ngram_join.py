@@ -39,6 +39,8 @@ BLOCK_SHINGLES = 2_000_000
 # Entries of a column block of the matrix.
 ENTRIES = 1 << 23
 SPARE = 1
+# Passes over the signatures, which are most of what is moved: each holds its share of them on disk.
+PASSES = 4
 
 
 class Classes:
@@ -206,6 +208,22 @@ def chunked(rows: DataFrame, group: list[str], by: str = "node") -> DataFrame:
     return dealt.withColumn("chunk", F.pmod(F.xxhash64(by), F.col("chunks")).cast("int")).drop("chunks")
 
 
+def meetings(rows: DataFrame, nodes: DataFrame, key: list[str], number: int) -> DataFrame:
+    """``signature, node, leader, members`` of the signatures that two sets share, of those that one pass looks at."""
+    mine = F.filter("signatures", lambda s: F.pmod(s, F.lit(PASSES)) == number).alias("signatures")
+    # The signatures of one row of each set; the id in the key spreads groups of copies.
+    owners = rows.select(*key, F.col("doc_id").alias("least"), mine).join(nodes, [*key, "least"])
+    # Dealt once, for the groups and for the join with them.
+    signed = owners.select("node", F.explode("signatures").alias("signature")).repartition("signature")
+    buckets = (
+        signed.groupBy("signature")
+        .agg(F.min("node").alias("leader"), F.max("node").alias("last"), F.count("*").alias("members"))
+        .filter("leader < last")
+        .drop("last")
+    )
+    return signed.join(buckets, "signature")
+
+
 def jaccard_components(
     docs: DataFrame, k: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
@@ -226,18 +244,7 @@ def jaccard_components(
         .withColumn("node", F.monotonically_increasing_id()),
         "nodes",
     )
-    # The signatures of one row of each set; the id in the key spreads groups of copies.
-    owners = rows.select(*key, F.col("doc_id").alias("least"), "signatures").join(nodes, [*key, "least"])
-    signed = owners.select("node", F.explode("signatures").alias("signature"))
-    # Dealt once, for the groups and for the join with them.
-    signed = signed.repartition("signature")
-    buckets = (
-        signed.groupBy("signature")
-        .agg(F.min("node").alias("leader"), F.max("node").alias("last"), F.count("*").alias("members"))
-        .filter("leader < last")
-        .drop("last")
-    )
-    met = written(signed.join(buckets, "signature"), "met")
+    met = reduce(DataFrame.unionByName, [written(meetings(rows, nodes, key, p), "met") for p in range(PASSES)])
     # Anchor of a set: the leader it meets most often. Popularity: how many sets its signatures meet.
     anchors = written(
         met.groupBy("node", "leader").agg(F.count("*").alias("times"), F.sum("members").alias("members"))
