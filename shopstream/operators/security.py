@@ -22,14 +22,35 @@ ENGINEERS = "data-engineers"
 
 # Columns of the customer table shown without personal data.
 CUSTOMER_PUBLIC = (
-    "total_sessions total_events total_views total_cart_adds total_purchases "
-    "customer_lifetime_value customer_segment rfm_score churn_risk processed_timestamp"
-).split()
+    "total_sessions",
+    "total_events",
+    "total_views",
+    "total_cart_adds",
+    "total_purchases",
+    "customer_lifetime_value",
+    "customer_segment",
+    "rfm_score",
+    "churn_risk",
+    "processed_timestamp",
+)
 # Columns of the masked event view.
 EVENTS_SHOWN = (
-    "event_id event_time event_type product_id category_id category_code brand price user_id "
-    "user_session event_date event_hour category_l1 category_l2 processed_timestamp"
-).split()
+    "event_id",
+    "event_time",
+    "event_type",
+    "product_id",
+    "category_id",
+    "category_code",
+    "brand",
+    "price",
+    "user_id",
+    "user_session",
+    "event_date",
+    "event_hour",
+    "category_l1",
+    "category_l2",
+    "processed_timestamp",
+)
 
 # Partial masks by column; ``hash`` tags use a digest whatever the column.
 PARTIAL = {

@@ -30,11 +30,24 @@ MONETARY_REVENUE = (1000, 500, 100)
 CHURN_DAYS = ((30, "High"), (14, "Medium"))
 
 CORE = (
-    "user_id total_sessions total_events total_views total_cart_adds total_purchases "
-    "unique_products_viewed total_revenue avg_purchase_value first_activity_date "
-    "last_activity_date unique_days_active view_to_cart_rate overall_conversion_rate "
-    "customer_lifetime_value days_since_last_activity customer_segment"
-).split()
+    "user_id",
+    "total_sessions",
+    "total_events",
+    "total_views",
+    "total_cart_adds",
+    "total_purchases",
+    "unique_products_viewed",
+    "total_revenue",
+    "avg_purchase_value",
+    "first_activity_date",
+    "last_activity_date",
+    "unique_days_active",
+    "view_to_cart_rate",
+    "overall_conversion_rate",
+    "customer_lifetime_value",
+    "days_since_last_activity",
+    "customer_segment",
+)
 
 # Hours fit in five bits: count and hour packed in one long pick the most frequent
 # hour, the earliest on a tie, inside a fixed-width hash-aggregate buffer.
@@ -128,13 +141,32 @@ ACTIVITY = Partial(
 FAVOURITES = Partial(_favourite_rows, _favourites_of, {"n": "sum"})
 
 AGGREGATE_COLUMNS = (
-    "user_id total_sessions total_events total_views total_cart_adds total_cart_removes "
-    "total_purchases unique_products_viewed unique_products_carted unique_products_purchased "
-    "unique_categories_engaged unique_brands_engaged total_revenue avg_purchase_value "
-    "max_purchase_value first_activity_time last_activity_time first_activity_date "
-    "last_activity_date first_purchase_date last_purchase_date most_active_hour top_category "
-    "top_brand unique_days_active"
-).split()
+    "user_id",
+    "total_sessions",
+    "total_events",
+    "total_views",
+    "total_cart_adds",
+    "total_cart_removes",
+    "total_purchases",
+    "unique_products_viewed",
+    "unique_products_carted",
+    "unique_products_purchased",
+    "unique_categories_engaged",
+    "unique_brands_engaged",
+    "total_revenue",
+    "avg_purchase_value",
+    "max_purchase_value",
+    "first_activity_time",
+    "last_activity_time",
+    "first_activity_date",
+    "last_activity_date",
+    "first_purchase_date",
+    "last_purchase_date",
+    "most_active_hour",
+    "top_category",
+    "top_brand",
+    "unique_days_active",
+)
 
 
 def aggregate(silver: DataFrame) -> DataFrame:

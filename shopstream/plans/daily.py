@@ -18,9 +18,19 @@ from shopstream.operators.grains import distinct_if, entity_grains, total, type_
 from shopstream.operators.state import GRAIN_SUMS, Partial
 
 CORE = (
-    "event_date total_events total_views total_cart_adds total_purchases unique_users "
-    "unique_sessions unique_buyers total_revenue avg_order_value overall_conversion_rate buyer_rate"
-).split()
+    "event_date",
+    "total_events",
+    "total_views",
+    "total_cart_adds",
+    "total_purchases",
+    "unique_users",
+    "unique_sessions",
+    "unique_buyers",
+    "total_revenue",
+    "avg_order_value",
+    "overall_conversion_rate",
+    "buyer_rate",
+)
 
 
 def aggregate(silver: DataFrame, approx: float | None = None) -> DataFrame:

@@ -11,10 +11,17 @@ from shopstream.operators.state import GRAIN_SUMS, Partial
 
 GRAIN = ("event_date", "category_l1")
 CORE = (
-    "event_date category_l1 total_sessions sessions_with_view sessions_with_cart "
-    "sessions_with_purchase total_revenue session_view_to_cart_rate "
-    "session_cart_to_purchase_rate cart_abandonment_rate"
-).split()
+    "event_date",
+    "category_l1",
+    "total_sessions",
+    "sessions_with_view",
+    "sessions_with_cart",
+    "sessions_with_purchase",
+    "total_revenue",
+    "session_view_to_cart_rate",
+    "session_cart_to_purchase_rate",
+    "cart_abandonment_rate",
+)
 
 # Column names of the distinct counts: (entity, value column, all, viewed, carted, bought).
 # The product count named "viewed" covers every event type, as published.
@@ -29,11 +36,25 @@ STAGES = (
 _REACHED = (None, "views", "carts", "purchases")
 
 AGGREGATE_COLUMNS = (
-    "event_date category_l1 total_sessions sessions_with_view sessions_with_cart "
-    "sessions_with_purchase total_users users_who_viewed users_who_carted users_who_purchased "
-    "total_views total_cart_adds total_cart_removes total_purchases total_revenue "
-    "unique_products_viewed unique_products_carted unique_products_purchased"
-).split()
+    "event_date",
+    "category_l1",
+    "total_sessions",
+    "sessions_with_view",
+    "sessions_with_cart",
+    "sessions_with_purchase",
+    "total_users",
+    "users_who_viewed",
+    "users_who_carted",
+    "users_who_purchased",
+    "total_views",
+    "total_cart_adds",
+    "total_cart_removes",
+    "total_purchases",
+    "total_revenue",
+    "unique_products_viewed",
+    "unique_products_carted",
+    "unique_products_purchased",
+)
 
 
 def aggregate(

@@ -18,17 +18,49 @@ LOWEST_TIER = "Bottom 25%"
 POPULARITY_WEIGHTS = {"total_views": 0.2, "total_cart_adds": 0.3, "total_purchases": 0.5}
 
 AGGREGATE_COLUMNS = (
-    "product_id category_id category_code category_l1 category_l2 category_l3 brand avg_price "
-    "min_price max_price current_price total_events total_views total_cart_adds "
-    "total_cart_removes total_purchases unique_users_total unique_users_viewed "
-    "unique_users_carted unique_users_purchased unique_sessions total_revenue first_seen_date "
-    "last_seen_date days_with_activity"
-).split()
+    "product_id",
+    "category_id",
+    "category_code",
+    "category_l1",
+    "category_l2",
+    "category_l3",
+    "brand",
+    "avg_price",
+    "min_price",
+    "max_price",
+    "current_price",
+    "total_events",
+    "total_views",
+    "total_cart_adds",
+    "total_cart_removes",
+    "total_purchases",
+    "unique_users_total",
+    "unique_users_viewed",
+    "unique_users_carted",
+    "unique_users_purchased",
+    "unique_sessions",
+    "total_revenue",
+    "first_seen_date",
+    "last_seen_date",
+    "days_with_activity",
+)
 CORE = (
-    "product_id category_id category_code category_l1 brand avg_price total_events total_views "
-    "total_cart_adds total_purchases unique_users total_revenue view_to_cart_rate "
-    "cart_to_purchase_rate overall_conversion_rate"
-).split()
+    "product_id",
+    "category_id",
+    "category_code",
+    "category_l1",
+    "brand",
+    "avg_price",
+    "total_events",
+    "total_views",
+    "total_cart_adds",
+    "total_purchases",
+    "unique_users",
+    "total_revenue",
+    "view_to_cart_rate",
+    "cart_to_purchase_rate",
+    "overall_conversion_rate",
+)
 
 
 DESCRIBED = ("category_id", "category_code", "brand")

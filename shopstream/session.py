@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -75,7 +76,7 @@ def shared_dir(spark: SparkSession) -> str:
         return configured.rstrip("/")
     if current:
         return current.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not re.match(r"local(\[|$)", spark.sparkContext.master):  # not local-cluster, whose executors are processes of their own
         raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
     made = tempfile.mkdtemp(prefix="shopstream-")
     spark.sparkContext.setCheckpointDir(made)

@@ -229,6 +229,13 @@ def files(spark: SparkSession, path: str, suffix: str) -> list[tuple[str, int]]:
     return [(p.toString(), t) for p, t in found if p.getName().endswith(suffix)]
 
 
+def stamp(spark: SparkSession, path: str) -> str:
+    """Names, sizes and times of change of what lies directly in a folder, as one text that changes with them."""
+    fs, jpath = _fs(spark, path)
+    found = sorted((s.getPath().getName(), s.getLen(), s.getModificationTime()) for s in fs.listStatus(jpath))
+    return repr(found)
+
+
 def drop_path(spark: SparkSession, path: str) -> None:
     """Remove an intermediate table."""
     fs, jpath = _fs(spark, path)

@@ -61,10 +61,11 @@ _made: dict[tuple[str, str, str], str] = {}
 
 
 def staged(spark: SparkSession, sf_dir: str, name: str, make, partition_by=()) -> DataFrame:
-    """Write a table once per session and read it back from then on."""
-    key = (spark.sparkContext.applicationId, sf_dir, name)
+    """Write a table once per session, and again after the given tables have changed, and read it back from then on."""
+    given = sf_dir + tables.stamp(spark, sf_dir)
+    key = (spark.sparkContext.applicationId, given, name)
     if key not in _made or not tables.exists(spark, _made[key]):
-        digest = hashlib.sha256(sf_dir.encode()).hexdigest()[:10]
+        digest = hashlib.sha256(given.encode()).hexdigest()[:10]
         path = f"{shared_dir(spark)}/shopstream/{key[0]}/staged/{digest}/{name}"
         tables.write_full(make(), path, partition_by, staged=False)
         _made[key] = path
@@ -108,7 +109,7 @@ def stages(spark, d):
 
 def csv_folder(spark, d):
     """The valid first deliveries as CSV files with second-precision times."""
-    key = (spark.sparkContext.applicationId, d, "csv")
+    key = (spark.sparkContext.applicationId, d + tables.stamp(spark, d), "csv")
     if key not in _made or not tables.exists(spark, _made[key]):
         path = scratch_path(spark, "csv")
         write_events_csv(events_from_testdata(spark, d), path)
@@ -618,7 +619,7 @@ def _part(spark, d, folder, rows, **columns):
 
 def lake(spark, d):
     """Two deliveries into a lake, the second mostly of earlier days, with copies of the first."""
-    key = (spark.sparkContext.applicationId, d, "lake")
+    key = (spark.sparkContext.applicationId, d + tables.stamp(spark, d), "lake")
     if key not in _made or not tables.exists(spark, _made[key]):
         root = scratch_path(spark, "lake")
         for rows in ("day(event_time) > 12", "day(event_time) <= 15 OR user_id % 5 = 0"):
