@@ -13,8 +13,7 @@ some product of two blocks:
 3. Each set points to the leader it shares most signatures with; sets joined by such pointers form a family, a
    row block cut into chunks of bounded size. First each chunk is multiplied with itself and the family's pivot, the set whose
    signatures most others share: in a group of near copies it differs least from the rest and connects what can be connected. Where
-   that leaves sets of a signature unconnected, families that share such signatures form a group; its sets are dealt to blocks anew,
-   small families together, and blocks that share an open signature are multiplied with each other.
+   that leaves sets of a signature unconnected, the chunks concerned are multiplied with each other.
 
 A product is computed in one task over column blocks and gives back a spanning forest of its links, not its pairs.
 """
@@ -195,17 +194,14 @@ def products(tiles: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFr
     return tiles.join(texts, "node").groupBy("tile").applyInArrow(work, "a bigint, b bigint")
 
 
-def chunked(rows: DataFrame, group: list[str], by: str = "node") -> DataFrame:
-    """With ``chunk``: sets of a group dealt, by a column, over as many chunks as keep each within the bounds of a block, about."""
+def chunked(rows: DataFrame, group: list[str]) -> DataFrame:
+    """With ``chunk``: sets of a group dealt over as many chunks as keep each within the bounds of a block."""
     sizes = rows.groupBy(*group).agg(
         F.greatest(
             F.ceil(F.count("*") / F.lit(BLOCK_ROWS)), F.ceil(F.sum("n_shingles") / F.lit(BLOCK_SHINGLES))
         ).alias("chunks")
     )
-    renamed = sizes.withColumnsRenamed({c: f"{c}_" for c in group})
-    same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"{c}_")) for c in group])
-    dealt = rows.join(renamed, same).drop(*(f"{c}_" for c in group))
-    return dealt.withColumn("chunk", F.pmod(F.xxhash64(by), F.col("chunks")).cast("int")).drop("chunks")
+    return rows.join(sizes, group).withColumn("chunk", F.pmod(F.xxhash64("node"), F.col("chunks")).cast("int")).drop("chunks")
 
 
 def meetings(rows: DataFrame, nodes: DataFrame, key: list[str], number: int) -> DataFrame:
@@ -267,27 +263,18 @@ def jaccard_components(
     first = written(products(inner.unionByName(shared).distinct(), texts, k, percent), "links")
     joined = components(first)
 
-    # Signatures whose sets are not all connected yet. Families that share one form a group.
+    # Signatures whose sets are not all connected yet: multiply their chunks with each other.
     now = blocks.join(joined, "node", "left").withColumn("label", F.coalesce("label", "node"))
-    now = now.select("node", "label", "family", "n_shingles")
-    placed = met.select("signature", "node").join(now.select("node", "label", "family"), "node")
-    open_ = placed.groupBy("signature").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low < high")
-    placed = written(placed.join(open_.select("signature"), "signature"), "open")
-    touching = placed.select("signature", "family").distinct()
-    hubs = touching.groupBy("signature").agg(F.min("family").alias("hub"))
-    groups = components(touching.join(hubs, "signature").select(F.col("hub").alias("a"), F.col("family").alias("b")))
-    # Large families keep row blocks of their own, their connected main part apart from the rest; small ones of a group share some.
-    members = placed.select("node").distinct().join(now, "node").join(groups.withColumnsRenamed({"node": "family", "label": "group"}), "family", "left")
-    members = members.withColumn("group", F.coalesce("group", "family"))
-    counts = members.groupBy("family").agg(F.count("*").alias("size"), F.sum("n_shingles").alias("held"))
-    large = counts.filter((F.col("size") > BLOCK_ROWS // 2) | (F.col("held") > BLOCK_SHINGLES // 2)).select("family", F.lit(True).alias("large"))
-    main = now.select("node", "label").join(pivots.withColumnsRenamed({"pivot": "node", "family": "of"}), "node")
+    main = now.select("node", "label").join(pivots.withColumnRenamed("pivot", "node").withColumnRenamed("family", "of"), "node")
     main = main.select(F.col("of").alias("family"), F.col("label").alias("main"))
-    members = members.join(large, "family", "left").join(main, "family", "left")
-    own = F.when(F.col("large"), F.struct("family", F.col("label").eqNullSafe(F.col("main")).alias("main")))
-    members = members.select("node", "label", "n_shingles", "group", own.alias("own"), F.when(F.col("large"), F.col("node")).otherwise(F.col("family")).alias("dealt"))
-    members = written(chunked(members, ["group", "own"], "dealt").withColumn("block", F.struct("group", "own", "chunk")), "members")
-    placed = placed.select("signature", "node").join(members.select("node", "label", "block"), "node")
+    now = now.drop("chunk").join(main, "family", "left").withColumn("side", F.col("label").eqNullSafe(F.col("main")))
+    now = written(chunked(now, ["family", "side"]).withColumn("block", F.struct("family", "side", "chunk")), "now")
+    placed = met.select("signature", "node").join(now.select("node", "label", "block"), "node")
+    family = F.col("block.family")
+    open_ = placed.groupBy("signature").agg(
+        F.min("label").alias("low"), F.max("label").alias("high"), (F.min(family) < F.max(family)).alias("outer")
+    )
+    placed = written(placed.join(open_.filter("low < high").select("signature", "outer"), "signature"), "open")
     held = placed.groupBy("signature", "block").agg(F.min("label").alias("low"), F.max("label").alias("high"))
     other = held.select("signature", *(F.col(c).alias(f"{c}_2") for c in ("block", "low", "high")))
     pairs = (
@@ -295,11 +282,13 @@ def jaccard_components(
         .filter("block <= block_2 AND NOT (low = high AND low_2 = high_2 AND low = low_2)")
         .select(F.struct("block", "block_2").alias("tile")).distinct()
     )
-    members = members.select("block", "node")
+    # Sets whose signatures are all settled have nothing left to meet, and another family only meets sets with a signature that leaves theirs.
+    members = placed.groupBy("block", "node").agg(F.max("outer").alias("outer"))
+    meets = F.col("outer") | (F.col("tile.block.family") == F.col("tile.block_2.family"))
     other_side = pairs.filter("tile.block <> tile.block_2")
     cross = (
-        pairs.join(members, F.col("tile.block") == F.col("block")).select("tile", F.lit(0).alias("side"), "node")
-        .unionByName(other_side.join(members, F.col("tile.block_2") == F.col("block")).select("tile", F.lit(1).alias("side"), "node"))
+        pairs.join(members, (F.col("tile.block") == F.col("block")) & meets).select("tile", F.lit(0).alias("side"), "node")
+        .unionByName(other_side.join(members, (F.col("tile.block_2") == F.col("block")) & meets).select("tile", F.lit(1).alias("side"), "node"))
     )
     second = products(cross, texts, k, percent)
     star = joined.select(F.col("label").alias("a"), F.col("node").alias("b"))
