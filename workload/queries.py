@@ -521,37 +521,46 @@ def stream_upsert(spark, d):
     return plain(tables.read_table(spark, target))
 
 
-# Three deliveries, one file each: the last is late, in part copies of the first.
+# Three deliveries, a folder of part files each: the last is late, in part copies of the first.
 DELIVERIES = ("day(event_time) BETWEEN 11 AND 20", "day(event_time) > 20", "day(event_time) <= 12")
 
 
-def _deliveries(spark, d):
+def _each_delivery(spark, d, start) -> None:
+    """Drain each delivery when it has come, however many files it has: one micro-batch each. ``start`` makes a query of the folders."""
     folder = scratch_path(spark, "deliveries")
-    for rows in DELIVERIES:
-        _part(spark, d, folder, F.expr(rows))
-    return folder
+    for number, rows in enumerate(DELIVERIES):
+        _part(spark, d, f"{folder}/{number}", F.expr(rows))
+        streaming.run_available(start(f"{folder}/*"))
 
 
 def processed_files(spark, d):
-    """Files and rows of each micro-batch: files from the checkpoint's log, rows from the sink."""
+    """Deliveries and rows of each micro-batch: files from the checkpoint's log, rows from the sink. The parts a delivery was written in count as one."""
     target, checkpoint = scratch_path(spark, "sink"), scratch_path(spark, "stream")
-    rows = to_bronze(streaming.read_event_stream(spark, _deliveries(spark, d), max_files=1))
-    streaming.run_available(streaming.start_append(rows, target, checkpoint))
+
+    def start(folders):
+        return streaming.start_append(to_bronze(streaming.read_event_stream(spark, folders)), target, checkpoint)
+
+    _each_delivery(spark, d, start)
     log = history.processed_files(spark, checkpoint)
-    name = lambda c: F.regexp_extract(c, "[^/]+$", 0)
+    name = lambda c: F.regexp_extract(c, "[^/]+/[^/]+$", 0)
     per_file = tables.read_table(spark, target).groupBy(name("source_file").alias("file")).agg(F.count("*").alias("n"))
     joined = log.join(per_file, name("path") == F.col("file"), "left")
-    return joined.groupBy("batch_id", "committed").agg(F.count("*").alias("files"), F.sum("n").alias("input_rows"))
+    delivery = F.regexp_extract("path", "([^/]+)/[^/]+$", 1)
+    return joined.groupBy("batch_id", "committed").agg(F.count_distinct(delivery).alias("files"), F.sum("n").alias("input_rows"))
 
 
 def stream_progress(spark, d):
     """The same from the progress a listener keeps."""
     kept, query_name = scratch_path(spark, "progress"), scratch_path(spark, "q").rsplit("/", 1)[1]
+    target, checkpoint = scratch_path(spark, "sink"), scratch_path(spark, "stream")
+
+    def start(folders):
+        rows = to_bronze(streaming.read_event_stream(spark, folders))
+        return streaming.start_append(rows, target, checkpoint, name=query_name)
+
     listener = history.ProgressTable(spark, kept, (query_name,)).attach()
     try:
-        rows = to_bronze(streaming.read_event_stream(spark, _deliveries(spark, d), max_files=1))
-        query = streaming.start_append(rows, scratch_path(spark, "sink"), scratch_path(spark, "stream"), name=query_name)
-        streaming.run_available(query)
+        _each_delivery(spark, d, start)
         listener.wait(len(DELIVERIES), 60)
     finally:
         listener.detach()
@@ -561,9 +570,12 @@ def stream_progress(spark, d):
 def stream_late_rows(spark, d):
     """Late events in a table of their own; each event in one of the two."""
     target, late, checkpoint = (scratch_path(spark, n) for n in ("silver", "late", "stream"))
-    rows = to_bronze(streaming.read_event_stream(spark, _deliveries(spark, d), max_files=1))
-    events = streaming.silver_stream(rows, audit=False)
-    streaming.run_available(set_aside.insert_or_set_aside(events, target, late, checkpoint, "1 day"))
+
+    def start(folders):
+        events = streaming.silver_stream(to_bronze(streaming.read_event_stream(spark, folders)), audit=False)
+        return set_aside.insert_or_set_aside(events, target, late, checkpoint, "1 day")
+
+    _each_delivery(spark, d, start)
     on_time = tables.read_table(spark, target).withColumn("is_late", F.lit(False))
     aside = tables.read_table(spark, late).withColumn("is_late", F.col("late_by_seconds") > 86_400)
     return plain(on_time.unionByName(aside.drop("late_by_seconds")))
@@ -610,11 +622,11 @@ def batch_load(spark, d):
 
 
 def _part(spark, d, folder, rows, **columns):
-    """The CSV rows that meet a condition as one further file of a folder."""
+    """The CSV rows that meet a condition as further files of a folder, one a task."""
     raw = to_bronze(read_events_csv(spark, csv_folder(spark, d)))
     text_time = F.concat(F.date_format("event_time", "yyyy-MM-dd HH:mm:ss"), F.lit(" UTC"))
     out = raw.filter(rows).withColumn("event_time", text_time).select(*RAW_SCHEMA.names).withColumns(columns)
-    out.coalesce(1).write.mode("append").option("header", True).csv(folder)
+    out.write.mode("append").option("header", True).csv(folder)
 
 
 def lake(spark, d):
