@@ -55,20 +55,23 @@ _HOURS = 32
 
 
 def _activity_rows(silver: DataFrame) -> DataFrame:
+    """Sums, amounts and times stand in the few rows of days; those of sessions and products, nearly as many as events, hold what they
+    are counted by and nothing else, so that little of them is shuffled."""
     rows = typed(
         silver,
         ["user_id", "user_session", "product_id", "event_date", "event_hour", "event_time"],
         revenue=True,
     )
-    return entity_grains(
+    counted = entity_grains(
         rows,
         ["user_id"],
-        {
-            "session": "user_session",
-            "product": "product_id",
-            "date": "event_date",
-            "hour": "event_hour",
-        },
+        {"session": "user_session", "product": "product_id"},
+        [F.sum("carts").alias("carts"), F.sum("purchases").alias("purchases")],
+    )
+    summed = entity_grains(
+        rows,
+        ["user_id"],
+        {"date": "event_date", "hour": "event_hour"},
         [
             *type_sums(),
             F.sum("paid_units").alias("paid_units"),
@@ -77,6 +80,7 @@ def _activity_rows(silver: DataFrame) -> DataFrame:
             F.max("event_time").alias("t_max"),
         ],
     )
+    return summed.unionByName(counted, allowMissingColumns=True)
 
 
 def _activity_of(grains: DataFrame) -> DataFrame:
