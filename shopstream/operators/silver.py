@@ -97,18 +97,25 @@ def select_final(df: DataFrame) -> DataFrame:
     return df.select(*[name for name, _ in SILVER_COLUMNS if name in df.columns])
 
 
-def to_silver(bronze: DataFrame, dedup: bool = True, audit: bool = True, sep: str = "") -> DataFrame:
+def to_silver(
+    bronze: DataFrame, dedup: bool = True, audit: bool = True, sep: str = "", by_id: bool = False
+) -> DataFrame:
     """Standardise, keep valid rows, drop repeats, then derive.
 
     Spelling is settled before the rules run, so ``VIEW`` is accepted as ``view``.
     Repeats go before the derived columns exist, which keeps the shuffle narrow.
-    On a stream pass ``dedup=False`` and bound the state there.
+    On a stream pass ``dedup=False`` and bound the state there. With ``by_id`` repeats are rows of one event id: events of
+    different keys whose ids are the same text are one too, as in a table whose key is the id.
     """
     out = quality.filter_valid(standardize(bronze))
     out = out.drop("created_at")
-    if dedup:
+    if dedup and by_id:
+        out = deduplicate(out.withColumn("event_id", event_id(sep)), ("event_id",))
+    elif dedup:
         out = deduplicate(out)
-    out = derive_category(derive_dates(out)).withColumn("event_id", event_id(sep))
+    out = derive_category(derive_dates(out))
+    if "event_id" not in out.columns:
+        out = out.withColumn("event_id", event_id(sep))
     if audit:
         out = out.withColumn("processed_timestamp", F.current_timestamp())
     return select_final(out)

@@ -17,6 +17,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from shopstream.session import scratch_path
 from shopstream.sources import tables
 
 # Measures of grouped rows that add up.
@@ -75,25 +76,43 @@ def add_load(kept: Kept, events: DataFrame, root: str, load: str) -> list:
     return sorted((r[0] for r in touched.collect()), key=lambda v: (v is None, v))
 
 
-def finish_load(kept: Kept, events: DataFrame, root: str, touched: Sequence[object]) -> list:
+def stored_loads(spark: SparkSession, path: str) -> set[str]:
+    """Names of the loads whose rows a table of partial rows holds, from its folders alone."""
+    slots = [n for n in tables.children(spark, path) if "=" in n]
+    names = (n for s in slots for n in tables.children(spark, f"{path}/{s}"))
+    return {n.split("=", 1)[1] for n in names if n.startswith(f"{LOAD}=")}
+
+
+def finish_load(
+    kept: Kept, events: DataFrame, root: str, touched: Sequence[object], load: str | None = None
+) -> list:
     """Bring the aggregates of the keys in ``events`` up to date; returns the slots rewritten.
 
-    Only state rows of those keys are merged; other keys of a touched slot are copied, other slots not read.
+    Only state rows of those keys are merged; other keys of a touched slot are copied, other slots not read. The keys are
+    written first, once for all who look them up: Spark then knows their size. Where ``load``, that of the events, is
+    the only one stored, its rows are merged as they stand.
     """
     spark, path = events.sparkSession, aggregates_path(root)
     if not touched:
         return []
-    keys = events.select(*[F.col(k).alias(f"_k_{k}") for k in kept.keys]).distinct()
+    alone = {n: stored_loads(spark, f"{root}/{n}") == {load} for n in kept.partials}
+    there, keys, at = tables.exists(spark, path), None, scratch_path(spark, "keys")
+    if there or not all(alone.values()):
+        found = events.select(*[F.col(k).alias(f"_k_{k}") for k in kept.keys]).distinct()
+        found.write.parquet(at)
+        keys = spark.read.schema(found.schema).parquet(at)
     parts = []
     for name, partial in kept.partials.items():
-        state = tables.read_table(spark, f"{root}/{name}").filter(tables.in_partitions(SLOT, touched))
-        rows = state.drop(SLOT, LOAD).join(keys, kept.same(), "left_semi")
-        parts.append(partial.finish(partial.merge(rows)))
+        rows = tables.read_table(spark, f"{root}/{name}").filter(tables.in_partitions(SLOT, touched)).drop(SLOT, LOAD)
+        if not alone[name]:
+            rows = partial.merge(rows.join(keys, kept.same(), "left_semi"))
+        parts.append(partial.finish(rows))
     made = kept.combine(*parts).withColumn(SLOT, kept.slot)
-    if tables.exists(spark, path):
+    if there:
         old = tables.read_table(spark, path).filter(tables.in_partitions(SLOT, touched))
         made = made.unionByName(old.join(keys, kept.same(), "left_anti"))
     tables.swap_partitions(made, path, SLOT)
+    tables.drop_path(spark, at)
     return list(touched)
 
 

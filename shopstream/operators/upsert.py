@@ -71,19 +71,25 @@ def insert_new_table(
 
 
 def new_rows(
-    batch: DataFrame, target: str, keys: Sequence[str] = EVENT_KEY, order: Sequence[str] = FIRST_SEEN
+    batch: DataFrame,
+    target: str,
+    keys: Sequence[str] = EVENT_KEY,
+    order: Sequence[str] = FIRST_SEEN,
+    unique: bool = False,
+    times: DataFrame | None = None,
 ) -> DataFrame:
     """The rows of a batch to append to a table.
 
     Only target rows inside the batch's event-time range can match, so the key lookup
-    reads no others when the time is part of the key. The batch is read twice.
+    reads no others when the time is part of the key. The batch is read twice, or ``times`` in the place of the first: rows
+    with the same range of times that cost less. ``unique`` says that no key occurs twice in the batch.
     """
     known = tables.read_table(batch.sparkSession, target)
     if {"event_time", "event_id"} & set(keys):  # the id is made from the time, among others
-        low, high = batch.agg(F.min("event_time"), F.max("event_time")).first()
+        low, high = (batch if times is None else times).agg(F.min("event_time"), F.max("event_time")).first()
         undated = F.col("event_time").isNull()
         known = known.filter(undated if low is None else undated | F.col("event_time").between(low, high))
-    return insert_new(known, batch, keys, order)
+    return _without_keys_of(batch, known, keys) if unique else insert_new(known, batch, keys, order)
 
 
 def upsert_table(

@@ -220,23 +220,30 @@ class Lake:
             # Records that could not be read have no key but their text.
             more = (MALFORMED,) if MALFORMED in delivered.columns else ()
             raw = self._add(load, "events_raw", delivered, (*EVENT_KEY, *more))
-            events = self._add(load, "events_cleaned", to_silver(raw), ("event_id",))
+            # Unique by id before the derived columns exist; the range of times needs no unique rows.
+            clean, valid = to_silver(raw, by_id=True), to_silver(raw, dedup=False)
+            events = self._add(load, "events_cleaned", clean, ("event_id",), unique=True, times=valid)
             self._quarantine(load, raw)
             if tables.exists(self.spark, self.at["events_cleaned"]):
                 self._gold(self._kept(load, events))
         self.journal.close(load)
 
-    def _add(self, load: str, name: str, rows: DataFrame, keys: Sequence[str]) -> DataFrame:
-        """Append the rows whose key is new, first staged; returns them."""
+    def _add(
+        self, load: str, name: str, rows: DataFrame, keys: Sequence[str], unique: bool = False, times: DataFrame | None = None
+    ) -> DataFrame:
+        """Append the rows whose key is new, first staged; returns them. ``unique`` and ``times`` are as in ``new_rows``."""
         there = tables.exists(self.spark, self.at[name])
         before = self.journal.staged(load, name)
         if before is None:
-            fresh = new_rows(rows, self.at[name], keys) if there else deduplicate(rows, keys)
+            if there:
+                fresh = new_rows(rows, self.at[name], keys, unique=unique, times=times)
+            else:
+                fresh = rows if unique else deduplicate(rows, keys)
             fresh = self.journal.stage(load, name, fresh)
             left = fresh
         else:  # the load broke off, perhaps while it appended
             fresh = before
-            left = new_rows(fresh, self.at[name], keys) if there else fresh
+            left = new_rows(fresh, self.at[name], keys, unique=True) if there else fresh
         if not left.isEmpty():
             tables.append(left, self.at[name], TABLES[name].partition_by)
         return fresh
@@ -254,7 +261,7 @@ class Lake:
             known = tables.exists(self.spark, ready)
             some = events if known else self.read("events_cleaned")
             slots = add_load(kept, some, self.state(name), load)
-            done = finish_load(kept, some, self.state(name), slots) if name in self.kept else slots
+            done = finish_load(kept, some, self.state(name), slots, load) if name in self.kept else slots
             if not known:
                 tables.touch(self.spark, ready)
             return done

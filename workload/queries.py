@@ -628,9 +628,9 @@ def batch_load(spark, d):
 
 def _part(spark, d, folder, rows, **columns):
     """The CSV rows that meet a condition as further files of a folder, one a task."""
-    raw = to_bronze(read_events_csv(spark, csv_folder(spark, d)))
-    text_time = F.concat(F.date_format("event_time", "yyyy-MM-dd HH:mm:ss"), F.lit(" UTC"))
-    out = raw.filter(rows).withColumn("event_time", text_time).select(*RAW_SCHEMA.names).withColumns(columns)
+    raw = to_bronze(read_events_csv(spark, csv_folder(spark, d)).withColumn("text_time", F.col("event_time")))
+    # The files hold times in the form they are to have.
+    out = raw.filter(rows).withColumn("event_time", F.col("text_time")).select(*RAW_SCHEMA.names).withColumns(columns)
     out.write.mode("append").option("header", True).csv(folder)
 
 
