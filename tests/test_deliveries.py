@@ -51,3 +51,17 @@ def test_one_batch_a_delivery_whatever_its_files(spark, many_files, name):
     assert {r.batch_id: r.input_rows for r in rows} == want
     if name == "processed_files":
         assert {r.files for r in rows} == {1} and {r.committed for r in rows} == {True}
+
+
+def test_late_events_come_in_one_batch_a_delivery(spark, many_files, monkeypatch):
+    batches = []
+    insert = queries.streaming.insert_new_table
+    monkeypatch.setattr(queries.streaming, "insert_new_table", lambda *a: batches.append(1) or insert(*a))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "64k")
+    spark.conf.set("spark.sql.files.openCostInBytes", "0")
+    try:
+        queries.stream_late(spark, TESTDATA)
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    assert len(batches) == len(queries.LATE_DELIVERIES) == 4

@@ -502,15 +502,17 @@ def stream_silver(spark, d):
 
 
 def stream_late(spark, d):
-    """The same events in several micro-batches, the latest days first: late events and late copies arrive."""
-    folder = scratch_path(spark, "late")
-    raw = to_bronze(read_events_csv(spark, csv_folder(spark, d)))
-    day = F.dayofmonth("event_time")
-    for part in (day > 20, day <= 10, day > 5, F.lit(True)):
-        write_events_csv(raw.filter(part), folder, mode="append")
+    """The same events in several micro-batches, the latest days first: late events and late copies arrive.
+
+    One micro-batch a delivery: each looks its keys up in the table, so batches of a fixed number of files would do so ever more often.
+    """
     target, checkpoint = scratch_path(spark, "silver"), scratch_path(spark, "stream")
-    events = streaming.silver_stream(to_bronze(streaming.read_event_stream(spark, folder, max_files=2)), audit=False)
-    streaming.run_available(streaming.insert_silver(events, target, checkpoint))
+
+    def start(folders):
+        events = streaming.silver_stream(to_bronze(streaming.read_event_stream(spark, folders)), audit=False)
+        return streaming.insert_silver(events, target, checkpoint)
+
+    _each_delivery(spark, d, start, LATE_DELIVERIES)
     return plain(tables.read_table(spark, target))
 
 
@@ -530,10 +532,14 @@ def stream_upsert(spark, d):
 DELIVERIES = ("day(event_time) BETWEEN 11 AND 20", "day(event_time) > 20", "day(event_time) <= 12")
 
 
-def _each_delivery(spark, d, start) -> None:
+# Four, the latest days first: the last two bring copies of all before them.
+LATE_DELIVERIES = ("day(event_time) > 20", "day(event_time) <= 10", "day(event_time) > 5", "true")
+
+
+def _each_delivery(spark, d, start, deliveries=DELIVERIES) -> None:
     """Drain each delivery when it has come, however many files it has: one micro-batch each. ``start`` makes a query of the folders."""
     folder = scratch_path(spark, "deliveries")
-    for number, rows in enumerate(DELIVERIES):
+    for number, rows in enumerate(deliveries):
         _part(spark, d, f"{folder}/{number}", F.expr(rows))
         streaming.run_available(start(f"{folder}/*"))
 
