@@ -9,7 +9,7 @@ import pytest
 
 from shopstream.llm import ngram_join
 from shopstream.llm.graph import components
-from shopstream.llm.ngram_join import Classes, forest, jaccard_components, keep_one, overlaps, signatures
+from shopstream.llm.ngram_join import Classes, Sketches, forest, halved, jaccard_components, keep_one, overlaps, signatures, sketch
 from shopstream.llm.words import shingle_sets, words
 from tests.llm.helpers import AWKWARD, docs, jaccard_labels, least_label, prose, shingles
 
@@ -153,3 +153,59 @@ def test_two_sides_of_a_product():
     links = [(a, b) for a in range(11) for b in range(11, 30) if 100 * len(exact[a] & exact[b]) >= 90 * len(exact[a] | exact[b])]
     found = forest(sets, 90, 11)
     assert least_label(30, found) == least_label(30, links) and len(links) > len(found)
+
+
+def test_signatures_of_most_sets_are_left_out():
+    """Whatever the order of the signatures, linked sets still share one without the last ones that each may leave out."""
+    rng = np.random.default_rng(3)
+    for percent in (60, 80, 90):
+        classes = Classes(percent)
+        for _ in range(200):
+            union = rng.integers(0, 2**64, rng.integers(20, 400), dtype=np.uint64)
+            apart = int(len(union) * (100 - percent) / 100)
+            cut = rng.integers(0, apart + 1)
+            sets = np.unique(union[cut:]), np.unique(np.concatenate([union[:cut], union[apart:]]))
+            left = []
+            for s in sets:
+                spares = [0, 0]
+                found = signatures(s, classes, spares)
+                # Those that both have are last in the order, which is the worst case.
+                other = signatures(sets[1] if s is sets[0] else sets[0], classes)
+                order = np.lexsort((found, np.isin(found, other)))
+                for odd in (0, 1):
+                    own = [x for x in found[order].tolist() if x % 2 == odd]
+                    left.append((odd, set(own[: len(own) - spares[odd]])))
+            both = len(np.intersect1d(*sets))
+            if 100 * both >= percent * (len(sets[0]) + len(sets[1]) - both) and both < max(map(len, sets)):
+                assert left[0][1] & left[2][1] or left[1][1] & left[3][1]
+
+
+def test_sketches_never_lose_a_link():
+    import pyarrow as pa
+
+    rng = np.random.default_rng(5)
+    classes = Classes(80)
+    base = rng.integers(0, 2**64, 300, dtype=np.uint64)
+    sets = [np.unique(np.concatenate([base[rng.integers(0, 60) :], rng.integers(0, 2**64, rng.integers(0, 60), dtype=np.uint64)])) for _ in range(60)]
+    sets += [np.unique(rng.integers(0, 2**64, 300, dtype=np.uint64)) for _ in range(20)]
+    made = Sketches(pa.array([sketch(s, classes) for s in sets], pa.binary()), np.array([len(s) for s in sets]), 80)
+    a, b = np.triu_indices(len(sets), 1)
+    near = made.near(a, b)
+    apart = np.array([len(np.setxor1d(sets[i], sets[j])) for i, j in zip(a, b)])
+    linked = apart <= classes.apart(made.size[a], made.size[b])
+    assert near[linked].all() and linked.any() and not near[apart > 2 * classes.apart(made.size[a], made.size[b])].any()
+    rows = next(iter(made.rows.values()))
+    assert halved(rows).shape[1] == rows.shape[1] // 2
+
+
+def test_texts_that_share_a_passage_are_not_compared(spark, monkeypatch):
+    """A passage common to many texts, of a third of each, puts no text into a tile; the near copies among them are found."""
+    compared = []
+    products = ngram_join.products
+    monkeypatch.setattr(ngram_join, "products", lambda tiles, *a: compared.append(tiles.count()) or products(tiles, *a))
+    passage = prose(1, 60)
+    rows = [(i, " ".join(passage + prose(100 + i, 120))) for i in range(80)]
+    rows += [(200 + i, " ".join(passage + prose(100 + i, 120) + ["more"])) for i in range(0, 80, 20)]
+    found = {r.doc_id: r.component_id for r in jaccard_components(docs(spark, rows), 5, 80).collect()}
+    assert found == dict(zip([i for i, _ in rows], (c for _, c in jaccard_labels(rows, 5, 80))))
+    assert sum(compared) <= 16
