@@ -56,9 +56,12 @@ def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """``doc_id, n_tokens, ids, decoded_sha256``: the identifiers, and a digest of the bytes they decode to; a null text is empty."""
+    """``doc_id, n_tokens, ids, decoded_sha256``: the identifiers, and a digest of the bytes they decode to; a null text is empty.
+
+    The identifiers are written before they are decoded: in one pass each task would hold two Python workers, one for either side.
+    """
     ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
-    encoded = bpe_codec.encode(docs, ranks, public_tokenizers.PATTERN)
+    encoded = written(bpe_codec.encode(docs, ranks, public_tokenizers.PATTERN), "identifiers")
     return bpe_codec.decode(encoded, ranks).select(
         "doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids", F.sha2("decoded", 256).alias("decoded_sha256")
     )

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import ctypes
 import os
 from collections.abc import Callable, Iterator
+from functools import cache
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -14,6 +16,44 @@ ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__)
 
 # Bytes of text handled at once inside a task; bounds the memory of vectorised work.
 BLOCK_BYTES = 2 << 20
+# The same for work that holds many numbers for each byte of text.
+SMALL_BLOCK_BYTES = 512 << 10
+# Bytes of a group after which a task that works on groups gives memory back.
+LARGE_GROUP = 1 << 20
+
+
+@cache
+def _trim() -> Callable[[int], int] | None:
+    """The C library's way to give freed memory back, where it has one."""
+    try:
+        return ctypes.CDLL(None).malloc_trim
+    except (AttributeError, OSError, TypeError):
+        return None
+
+
+def give_back() -> None:
+    """Return to the system what freed arrays have left with the allocators.
+
+    Python workers outlive their tasks, and those that stand idle count in an executor's memory too.
+    """
+    pa.default_memory_pool().release_unused()
+    trim = _trim()
+    if trim:
+        trim(0)
+
+
+def lean(work: Callable[[pa.Table], pa.Table]) -> Callable[[pa.Table], pa.Table]:
+    """``work`` on groups, giving memory back after large ones."""
+
+    def run(table: pa.Table) -> pa.Table:
+        size = table.nbytes
+        made = work(table)
+        del table
+        if size >= LARGE_GROUP:
+            give_back()
+        return made
+
+    return run
 
 
 def narrow(df: DataFrame, **columns: str) -> DataFrame:
@@ -43,14 +83,19 @@ def map_blocks(
     schema: str,
     block_bytes: int = BLOCK_BYTES,
 ) -> DataFrame:
-    """Apply ``work`` to consecutive blocks of rows, each of about ``block_bytes``."""
+    """Apply ``work`` to consecutive blocks of rows, each of about ``block_bytes``. A task gives its memory back at its end."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for block in blocks(batch, block_bytes):
-                made = work(block)
-                if made is not None:
-                    yield made
+        batch = block = made = None
+        try:
+            for batch in batches:
+                for block in blocks(batch, block_bytes):
+                    made = work(block)
+                    if made is not None:
+                        yield made
+        finally:
+            del batch, block, made
+            give_back()
 
     return map_arrow(df, run, schema)
 

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from shopstream.llm.arrow import batch, importable, map_blocks, narrow
+from shopstream.llm.arrow import SMALL_BLOCK_BYTES, batch, importable, lean, map_blocks, narrow
 from shopstream.llm.graph import components, written
 from shopstream.llm.words import mix, shingle_sets, words
 
@@ -162,7 +162,7 @@ def features(docs: DataFrame, k: int, percent: int, id_col: str, text_col: str)
 
     kind = dict(docs.dtypes)[id_col]
     schema = f"doc_id {kind}, n_shingles bigint, set_a bigint, set_b bigint, signatures array<bigint>, spares array<int>, sketch binary"
-    return map_blocks(narrow(docs, doc_id=id_col, text=text_col), work, schema)
+    return map_blocks(narrow(docs, doc_id=id_col, text=text_col), work, schema, SMALL_BLOCK_BYTES)
 
 
 def overlaps(sets: list[np.ndarray], left: int | None = None) -> np.ndarray:
@@ -239,7 +239,7 @@ def products(tiles: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFr
         return pa.table({"a": pairs[:, 0], "b": pairs[:, 1]})
 
     importable(tiles.sparkSession)
-    return tiles.join(texts, "node").groupBy("tile").applyInArrow(work, "a bigint, b bigint")
+    return tiles.join(texts, "node").groupBy("tile").applyInArrow(lean(work), "a bigint, b bigint")
 
 
 def blocks_of(rows: DataFrame, group: str) -> DataFrame:
@@ -398,7 +398,7 @@ def candidates(placed: DataFrame, about: DataFrame, percent: int, whole: bool) -
             F.least("chunk", "other").alias("low"), F.greatest("chunk", "other").alias("high"),
         )
         rows = rows.select(tile.alias("tile"), "signature", "node", "label", "n_shingles", F.col("chunk").alias("side"))
-        found = rows.join(about.select("node", "sketch"), "node").groupBy("tile").applyInArrow(work, "a bigint, b bigint, label_a bigint, label_b bigint")
+        found = rows.join(about.select("node", "sketch"), "node").groupBy("tile").applyInArrow(lean(work), "a bigint, b bigint, label_a bigint, label_b bigint")
         made.append(written(found, "near"))
     if not made:
         return placed.select(*(F.lit(0).cast("bigint").alias(c) for c in ("a", "b", "label_a", "label_b"))).limit(0)
@@ -518,7 +518,7 @@ def node_texts(docs: DataFrame, involved: DataFrame, k: int, id_col: str, text_c
         return batch(["doc_id", "set_a", "set_b", "n_shingles", "text"], [block.column(0), pa.array(hashes[:, 0]), pa.array(hashes[:, 1]), sizes, block.column(1)])
 
     kind = dict(docs.dtypes)[id_col]
-    found = map_blocks(rows, work, f"doc_id {kind}, set_a bigint, set_b bigint, n_shingles bigint, text string")
+    found = map_blocks(rows, work, f"doc_id {kind}, set_a bigint, set_b bigint, n_shingles bigint, text string", SMALL_BLOCK_BYTES)
     key = ["doc_id", "set_a", "set_b", "n_shingles"]
     return found.dropDuplicates(key).join(involved.withColumnRenamed("least", "doc_id"), key).select("node", "text")
 

@@ -53,3 +53,11 @@ def test_decisions_take_effect(spark):
     assert sorted((r.doc_id or 0) for r in kept) == [0, 1, 3]
     masked = corpus_pipeline.secrets(spark, spark.createDataFrame([(1, "password = abcdefgh1234", 23)], "doc_id bigint, text string, n_chars bigint"), TESTDATA).first()
     assert "abcdefgh1234" not in masked.text and masked.n_chars == len(masked.text)
+
+
+def test_a_task_of_the_last_stage_needs_one_worker(spark):
+    docs = table(spark, AWKWARD)
+    made = corpus_pipeline.encoding(spark, docs, TESTDATA)
+    assert made._jdf.queryExecution().optimizedPlan().toString().count("MapInArrow") == 1
+    assert {(r.doc_id, r.n_tokens) for r in made.collect()} >= {(1, 0), (2, 0)}
+    assert made.count() == docs.count()
